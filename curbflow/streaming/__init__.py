@@ -1,0 +1,4 @@
+"""Deliberately empty: every question this library answers is a batch question.
+
+The operators are plain ``DataFrame -> DataFrame`` functions without actions.
+"""
