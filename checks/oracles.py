@@ -403,12 +403,10 @@ UNION ALL
 SELECT 'events' AS dataset, CAST(hour(ts) AS INT) AS pickup_hour, count(*) AS trip_count FROM events GROUP BY 2"""
 DAY_DISTRIBUTION = f"""{steps(TRIPS)}
 SELECT 'trips' AS dataset, pickup_day, count(*) AS trip_count FROM trips GROUP BY pickup_day"""
-HOUR_DENSE = f"""{steps(TRIPS)}
-SELECT 'long_trips' AS dataset, CAST(h.hour AS INT) AS pickup_hour, count(t.pickup_hour) AS trip_count
-FROM range(24) h(hour)
-LEFT JOIN (SELECT pickup_hour FROM trips WHERE trip_distance > 12 AND duration_minutes > 91) t
-  ON h.hour = t.pickup_hour
-GROUP BY h.hour"""
+DAY_DENSE = """
+SELECT 'events' AS dataset, CAST(d.day AS INT) AS pickup_day, count(ts) AS trip_count
+FROM range(1, 32) d(day) LEFT JOIN events ON day(ts) = d.day
+GROUP BY d.day"""
 
 _SUMMARY = "trip_distance trip_distance_km duration_minutes fare_amount tip_amount total_amount".split()
 NUMERIC_SUMMARY = f"""{steps(TRIPS)} {" UNION ALL ".join(
@@ -551,8 +549,8 @@ ORACLES = {
     "od_top_decrease": OD_DECREASE,
     "null_profile": NULL_PROFILE,
     "hour_distribution": HOUR_DISTRIBUTION,
-    "hour_distribution_dense": HOUR_DENSE,
     "day_distribution": DAY_DISTRIBUTION,
+    "day_distribution_dense": DAY_DENSE,
     "numeric_summary": NUMERIC_SUMMARY,
     "numeric_summary_approx": NUMERIC_SUMMARY,
     "log_histogram": LOG_HISTOGRAM,

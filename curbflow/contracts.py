@@ -67,10 +67,10 @@ DERIVED_FIELDS = (
     ("trip_distance_km", "double"),
 )
 
-# Timestamp text formats of the two file generations.  The second
-# generation is read with or without a fraction of a second.
-GEO_TIME_FORMATS = ("yyyy-MM-dd HH:mm:ss",)
-ZONED_TIME_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss.SSS", "yyyy-MM-dd'T'HH:mm:ss")
+# Timestamp text of the two file generations, yyyy-MM-dd HH:mm:ss and
+# yyyy-MM-dd'T'HH:mm:ss.SSS.  The second is read with or without its fraction of a second.
+GEO_TIME = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+ZONED_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{3})?$"
 
 _TYPES = {
     "int": T.IntegerType(),
@@ -98,7 +98,7 @@ class TripSpec:
 
     name: str
     fields: tuple
-    time_formats: tuple
+    time_pattern: str
     year: int | None
     partition_by: str
 
@@ -111,8 +111,8 @@ class TripSpec:
         return typed_schema(self.fields, DERIVED_FIELDS)
 
 
-TRIPS_GEO = TripSpec("trips_geo", GEO_FIELDS, GEO_TIME_FORMATS, 2015, "pickup_hour")
-TRIPS_ZONED = TripSpec("trips_zoned", ZONED_FIELDS, ZONED_TIME_FORMATS, 2024, "pickup_day")
+TRIPS_GEO = TripSpec("trips_geo", GEO_FIELDS, GEO_TIME, 2015, "pickup_hour")
+TRIPS_ZONED = TripSpec("trips_zoned", ZONED_FIELDS, ZONED_TIME, 2024, "pickup_day")
 
 RAW_ZONES = raw_schema(ZONE_FIELDS)
 ZONES = typed_schema(ZONE_FIELDS)

@@ -26,6 +26,10 @@ def _change(before: str, before_n: str, after: str, after_n: str) -> Column:
     return F.when(F.col(before) > 0, F.try_divide((new - old) * 100, old))
 
 
+def _mean(total: str, n: str, name: str) -> Column:
+    return M.amount(F.try_divide(total, n), name)
+
+
 def od_period_change(trips: DataFrame, split_day: int = SPLIT_DAY, min_trips: int = MIN_TRIPS) -> DataFrame:
     """Keys with at least ``min_trips`` trips in both halves, and how the second half differs.
 
@@ -33,14 +37,15 @@ def od_period_change(trips: DataFrame, split_day: int = SPLIT_DAY, min_trips: in
     aggregated apart and joined.  A key without trips in one half has no change and is left out.
     """
     first = F.col("pickup_day") <= split_day
-    halves = {"h1": first, "h2": ~first}
     sums = []
-    for half, rows in halves.items():
-        sums.append(F.count_if(rows).alias(f"trips_{half}"))
-        for money in ("fare", "total"):
-            taken = F.when(rows, F.col(f"{money}_amount"))
-            sums.append(F.sum(taken).alias(f"{money}_{half}"))
-            sums.append(F.count(taken).alias(f"{money}_n_{half}"))
+    for half, rows in (("h1", first), ("h2", ~first)):
+        total = F.when(rows, F.col("total_amount"))
+        sums += [
+            F.count_if(rows).alias(f"trips_{half}"),
+            F.sum(F.when(rows, F.col("fare_amount"))).alias(f"fare_{half}"),
+            F.sum(total).alias(f"total_{half}"),
+            F.count(total).alias(f"totals_{half}"),
+        ]
     enough = max(1, min_trips)
     compared = (
         question_trips(trips, "od_change")
@@ -49,24 +54,18 @@ def od_period_change(trips: DataFrame, split_day: int = SPLIT_DAY, min_trips: in
         .filter((F.col("trips_h1") >= enough) & (F.col("trips_h2") >= enough))
     )
 
-    def mean(money, half):
-        return M.amount(F.try_divide(f"{money}_{half}", f"{money}_n_{half}"), f"avg_{money}_{half}")
-
-    def change(money, name):
-        return M.amount(_change(f"{money}_h1", f"{money}_n_h1", f"{money}_h2", f"{money}_n_h2"), name)
-
     grown = F.try_divide((F.col("trips_h2") - F.col("trips_h1")) * 100, "trips_h1")
     return compared.select(
         *KEYS,
         "trips_h1",
         "trips_h2",
         M.amount(grown, "trips_change_pct"),
-        mean("fare", "h1"),
-        mean("fare", "h2"),
-        change("fare", "fare_change_pct"),
-        mean("total", "h1"),
-        mean("total", "h2"),
-        change("total", "total_amount_change_pct"),
+        _mean("fare_h1", "trips_h1", "avg_fare_h1"),
+        _mean("fare_h2", "trips_h2", "avg_fare_h2"),
+        M.amount(_change("fare_h1", "trips_h1", "fare_h2", "trips_h2"), "fare_change_pct"),
+        _mean("total_h1", "totals_h1", "avg_total_h1"),
+        _mean("total_h2", "totals_h2", "avg_total_h2"),
+        M.amount(_change("total_h1", "totals_h1", "total_h2", "totals_h2"), "total_amount_change_pct"),
     )
 
 

@@ -206,34 +206,41 @@ def top_keys(
     )
 
 
+# Kinds of suspicious trips: the column that shows it, whether its largest or smallest values
+# are the worst, and the rule a value must meet.
+ANOMALIES = {
+    "largest_trip_distance": ("trip_distance", "largest", lambda c: c.isNotNull()),
+    "largest_duration_minutes": ("duration_minutes", "largest", lambda c: c.isNotNull()),
+    "negative_fare_amount": ("fare_amount", "smallest", lambda c: c < 0),
+    "zero_or_negative_duration": ("duration_minutes", "smallest", lambda c: c <= 0),
+    "negative_total_amount": ("total_amount", "smallest", lambda c: c < 0),
+}
+
+
 def anomaly_samples(df: DataFrame, dataset: str, n: int = 5) -> DataFrame:
     """The ``n`` most suspicious records of each kind, numbered from the worst.
 
-    All kinds are ranked in the same pass: a row enters each kind it qualifies for, and every
-    task keeps only its own ``n`` rows per kind before anything is shuffled.
+    The n-th worst value of each kind is found on that one column first.  Whole records are then
+    read once, and only those that reach such a value, ties included, are ranked.
     """
-    distance, minutes = F.col("trip_distance"), F.col("duration_minutes")
-    fare, total = F.col("fare_amount"), F.col("total_amount")
-    kinds = {
-        "largest_trip_distance": (distance.isNotNull(), -distance),
-        "largest_duration_minutes": (minutes.isNotNull(), -minutes),
-        "negative_fare_amount": (fare < 0, fare),
-        "zero_or_negative_duration": (minutes <= 0, minutes),
-        "negative_total_amount": (total < 0, total),
-    }
     record = C.existing(df, RECORD_COLUMNS)
-    entries = F.array_compact(
-        F.array(
-            *[
-                F.when(applies, F.struct(F.lit(kind).alias("category"), badness.alias("badness")))
-                for kind, (applies, badness) in kinds.items()
-            ]
+    reached, entries = F.lit(False), []
+    for kind, (name, end, rule) in ANOMALIES.items():
+        value, largest = F.col(name), end == "largest"
+        worst = df.filter(rule(value)).select(name).orderBy(value.desc() if largest else value.asc()).limit(n)
+        edge = worst.agg(F.min(name) if largest else F.max(name)).scalar()
+        reached |= rule(value) & (value >= edge if largest else value <= edge)
+        entry = F.struct(
+            F.lit(kind).alias("category"),
+            F.when(F.lit(largest), value).alias("high"),
+            F.when(F.lit(not largest), value).alias("low"),
         )
-    )
-    worst = Window.partitionBy("category").orderBy("badness", *record)
+        entries.append(F.when(rule(value), entry))
+    order = Window.partitionBy("category").orderBy(F.desc("high"), F.asc("low"), *record)
     return (
-        df.select(*record, F.inline(entries))
-        .withColumn("rank", F.row_number().over(worst))
+        df.filter(reached)
+        .select(*record, F.inline(F.array_compact(F.array(*entries))))
+        .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= n)
         .select(F.lit(dataset).alias("dataset"), "category", "rank", *record)
         .orderBy("category", "rank")

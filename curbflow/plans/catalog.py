@@ -103,10 +103,9 @@ def _hour_distribution(spark, folder) -> DataFrame:
     )
 
 
-def _hour_distribution_dense(spark, folder) -> DataFrame:
-    longest = (F.col("trip_distance") > 12) & (F.col("duration_minutes") > 91)
-    trips = trips_like(spark, folder).filter(longest)
-    return profile.value_distribution(trips, "pickup_hour", "long_trips", densify=range(24))
+def _day_distribution_dense(spark, folder) -> DataFrame:
+    events = table(spark, folder, "events").select(F.dayofmonth("ts").alias("pickup_day"))
+    return profile.value_distribution(events, "pickup_day", "events", densify=range(1, 32))
 
 
 def _numeric_summary(accuracy=None):
@@ -154,17 +153,17 @@ def _ingest_zones(spark, folder) -> DataFrame:
 def _display_labels(spark, folder) -> DataFrame:
     trips, zones = trips_like(spark, folder), zones_like(spark, folder)
 
-    def labelled(kind, rows, label, count="trips"):
-        return rows.select(F.lit(kind).alias("kind"), label.alias("label"), F.col(count).alias("trips"))
+    def labelled(kind, rows, label):
+        return rows.select(F.lit(kind).alias("kind"), label.alias("label"), "trips")
 
-    named = trips.groupBy("pu_location_id", "pickup_hour").agg(F.count(F.lit(1)).alias("trips"))
-    named = named.join(zones, F.col("pu_location_id") == F.col("location_id"), "left")
+    counts = trips.groupBy("pu_location_id", "pickup_hour").agg(F.count(F.lit(1)).alias("trips"))
+    named = counts.join(zones, F.col("pu_location_id") == F.col("location_id"), "left")
+    per_zone = named.groupBy("pu_location_id", "zone", "borough").agg(F.sum("trips").alias("trips"))
     hours = named.groupBy("zone", F.col("pickup_hour").alias("hour")).agg(F.sum("trips").alias("trips"))
-    every = profile.top_keys(trips, zones, k=1000)
     return (
         labelled("flow", flows.borough_flow_table(_ends(spark, folder)), labels.flow_label())
         .unionByName(labelled("revenue", _revenue(spark, folder), labels.zone_bucket_label()))
-        .unionByName(labelled("zone", every, labels.zone_label(), "trip_count"))
+        .unionByName(labelled("zone", per_zone, labels.zone_label()))
         .unionByName(labelled("zone_hour", hours, labels.zone_hour_label()))
     )
 
@@ -226,8 +225,8 @@ def registered() -> dict:
         "od_top_decrease": lambda s, d: od_change.rank_od_change(_od_change(s, d), "decrease"),
         "null_profile": _null_profile,
         "hour_distribution": _hour_distribution,
-        "hour_distribution_dense": _hour_distribution_dense,
         "day_distribution": _on_trips(profile.value_distribution, "pickup_day", "trips"),
+        "day_distribution_dense": _day_distribution_dense,
         "numeric_summary": _numeric_summary(),
         "numeric_summary_approx": _numeric_summary(accuracy=FINE),
         "log_histogram": _log_histogram,

@@ -9,12 +9,23 @@ from curbflow.contracts import GEO_FIELDS, ZONED_FIELDS
 from curbflow.functions.columns import with_derived
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+# The columns of the tables used here.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_extendedprice double""",
+    "events": """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double,
+        props string""",
+}
 
 
-def _minutes(n: Column) -> Column:
-    return F.make_dt_interval(F.lit(0), F.lit(0), n.cast("int"))
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One table under its known schema, so that no job is run to find it out."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def trips_like(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,43 +33,40 @@ def trips_like(spark: SparkSession, folder: str) -> DataFrame:
 
     Orders and customers are joined first, so line items are shuffled once, by order.
     """
-    order = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    supplier = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
-    buyer = order.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    buyer = table(spark, folder, "orders").join(
+        table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")
+    )
+    supplier = table(spark, folder, "supplier")
     line = (
         table(spark, folder, "lineitem")
         .join(buyer, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     )
-    key, part, number = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
-    customer_key, home = F.col("o_custkey"), F.col("c_nationkey")
-    payment = (key % 4 + 1).cast("int")
-    fare = (F.floor(F.col("l_extendedprice") / 1000) - 2).cast("double")
-    tip = F.when(payment == 1, F.floor(F.col("l_quantity") / 4).cast("double")).otherwise(0.0)
-    pickup = F.col("o_orderdate") + _minutes((key * 7 + part) % 1440)
-    trips = line.select(
-        (F.col("l_suppkey") % 2 + 1).cast("int").alias("vendor_id"),
-        pickup.alias("pickup_ts"),
-        (pickup + _minutes((part * 13 + number * 11) % 95 - 2)).alias("dropoff_ts"),
-        F.when(key % 10 != 0, number).alias("passenger_count"),
-        ((F.col("l_quantity") - 1) / 4).alias("trip_distance"),
-        F.when(key % 97 == 0, 99).otherwise(home).alias("pu_location_id"),
-        F.col("s_nationkey").alias("do_location_id"),
-        payment.alias("payment_type"),
-        fare.alias("fare_amount"),
-        F.lit(0.5).alias("extra"),
-        F.lit(0.5).alias("mta_tax"),
-        tip.alias("tip_amount"),
-        F.lit(0.0).alias("tolls_amount"),
-        F.when(number != 1, 1.0).alias("improvement_surcharge"),
-        (fare + tip + 1).alias("total_amount"),
-        F.when(number != 2, 2.0).alias("congestion_surcharge"),
-        F.when(home.isin(3, 11), 1.75).otherwise(0.0).alias("airport_fee"),
-        (-74.30 + (customer_key * 7 % 720) / 1000).alias("pickup_longitude"),
-        (40.45 + (part * 3 % 520) / 1000).alias("pickup_latitude"),
-        (-74.30 + (part * 11 % 720) / 1000).alias("dropoff_longitude"),
-        (40.45 + (customer_key * 5 % 520) / 1000).alias("dropoff_latitude"),
+    pickup = "o_orderdate + make_dt_interval(0, 0, cast((l_orderkey * 7 + l_partkey) % 1440 as int))"
+    minutes = "((l_partkey * 13 + l_linenumber * 11) % 95 - 2)"
+    trips = line.selectExpr(
+        "cast(l_suppkey % 2 + 1 as int) AS vendor_id",
+        f"{pickup} AS pickup_ts",
+        f"{pickup} + make_dt_interval(0, 0, cast({minutes} as int)) AS dropoff_ts",
+        f"cast({minutes} as double) AS duration_minutes",
+        "if(l_orderkey % 10 = 0, NULL, l_linenumber) AS passenger_count",
+        "(l_quantity - 1) / 4 AS trip_distance",
+        "if(l_orderkey % 97 = 0, 99, c_nationkey) AS pu_location_id",
+        "s_nationkey AS do_location_id",
+        "cast(l_orderkey % 4 + 1 as int) AS payment_type",
+        "cast(floor(l_extendedprice / 1000) - 2 as double) AS fare_amount",
+        "0.5D AS extra",
+        "0.5D AS mta_tax",
+        "if(l_orderkey % 4 = 0, cast(floor(l_quantity / 4) as double), 0D) AS tip_amount",
+        "0D AS tolls_amount",
+        "if(l_linenumber = 1, NULL, 1D) AS improvement_surcharge",
+        "fare_amount + tip_amount + 1 AS total_amount",
+        "if(l_linenumber = 2, NULL, 2D) AS congestion_surcharge",
+        "if(c_nationkey IN (3, 11), 1.75D, 0D) AS airport_fee",
+        "-74.30D + (o_custkey * 7 % 720) / 1000D AS pickup_longitude",
+        "40.45D + (l_partkey * 3 % 520) / 1000D AS pickup_latitude",
+        "-74.30D + (l_partkey * 11 % 720) / 1000D AS dropoff_longitude",
+        "40.45D + (o_custkey * 5 % 520) / 1000D AS dropoff_latitude",
     )
     return with_derived(trips)
 
