@@ -432,10 +432,9 @@ hist AS (
   {_histogram("trips", "total_amount", "trips")}
   UNION ALL {_histogram("orders", "total_amount", "(SELECT o_totalprice AS total_amount FROM orders)")}
 )
-SELECT n.dataset, b.column_name, b.log10_floor_bucket, coalesce(h."count", 0) AS "count"
-FROM (SELECT DISTINCT column_name, log10_floor_bucket FROM hist) b
-CROSS JOIN (VALUES ('trips'), ('orders')) n(dataset)
-LEFT JOIN hist h ON h.dataset = n.dataset AND h.column_name = b.column_name
+SELECT b.dataset, b.column_name, b.log10_floor_bucket, coalesce(h."count", 0) AS "count"
+FROM (SELECT DISTINCT column_name, log10_floor_bucket, unnest(['trips', 'orders']) AS dataset FROM hist) b
+LEFT JOIN hist h ON h.dataset = b.dataset AND h.column_name = b.column_name
   AND h.log10_floor_bucket = b.log10_floor_bucket"""
 SIGN_COUNTS = f"""{steps(TRIPS)} {" UNION ALL ".join(
     f'''SELECT 'trips' AS dataset, '{c}' AS column_name, count(*) FILTER (WHERE {c} < 0) AS negative_count,

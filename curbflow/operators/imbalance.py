@@ -24,23 +24,17 @@ def zone_activity(trips: DataFrame, window: TripWindow = TripWindow()) -> DataFr
     Unknown (NULL) zones of pickups and dropoffs are not known to be the same place and stay
     two rows, as they would in an outer join of the two counts.
     """
-    ends = F.array(
-        *[
-            F.struct(
-                F.col(location).alias("location_id"),
-                F.when(F.col(location).isNull(), F.lit(location)).alias("unknown_end"),
-                F.lit(picked).alias("pickup"),
-                F.lit(1 - picked).alias("dropoff"),
-            )
-            for location, picked in (("pu_location_id", 1), ("do_location_id", 0))
-        ]
+    pickup, dropoff = "pu_location_id", "do_location_id"
+    ends = (
+        question_trips(trips, "imbalance", window)
+        .select(F.col("pickup_hour").alias("hour"), pickup, dropoff)
+        .unpivot("hour", [pickup, dropoff], "end", "location_id")
     )
+    picked = F.col("end") == pickup
     return (
-        question_trips(trips, "imbalance", window)
-        .select(F.col("pickup_hour").alias("hour"), F.inline(ends))
-        .groupBy("hour", "location_id", "unknown_end")
-        .agg(F.sum("pickup").alias("pickups"), F.sum("dropoff").alias("dropoffs"))
-        .drop("unknown_end")
+        ends.groupBy("hour", "location_id", (F.col("location_id").isNull() & picked).alias("unknown_pickup"))
+        .agg(F.count_if(picked).alias("pickups"), F.count_if(~picked).alias("dropoffs"))
+        .drop("unknown_pickup")
     )
 
 

@@ -44,13 +44,11 @@ RECORD_COLUMNS = (
 QUARTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
 
 
-def _long(df: DataFrame, cols, *keep: str) -> DataFrame:
+def _long(df: DataFrame, cols) -> DataFrame:
     """One row per input row and column: ``column_name`` and ``value`` as double."""
-    pairs = [
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
-        for c in C.existing(df, cols)
-    ]
-    return df.select(*keep, F.inline(F.array(*pairs)))
+    names = C.existing(df, cols)
+    numbers = df.select(*[F.col(name).cast("double").alias(name) for name in names])
+    return numbers.unpivot([], names, "column_name", "value")
 
 
 def null_profile(df: DataFrame, dataset: str) -> DataFrame:

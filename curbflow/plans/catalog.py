@@ -175,7 +175,6 @@ def _by_sql(name):
             spark,
             name,
             WINDOW,
-            accuracy=FINE,
             threshold=ACTIVITY,
             airport_pattern=AIRPORT,
             airport_borough="",

@@ -81,6 +81,16 @@ SELECT *,
     CASE WHEN haversine_km > :min_straight_km
         THEN try_divide(trip_distance_km, haversine_km) END AS detour_ratio
 FROM straight_trips""",
+    "per_second": f"""
+SELECT pickup_hour, {_SECONDS} AS seconds, count(*) AS n, sum(speed_kmh) AS speed,
+    sum(trip_distance_km) AS km, sum(haversine_km) AS straight, sum(distance_gap_km) AS gap,
+    sum(detour_ratio) AS detour, count(detour_ratio) AS detours,
+    count_if(speed_kmh < {C.SLOW_KMH}D AND trip_distance_km >= {C.SLOW_MIN_KM}D) AS slow
+FROM geometry GROUP BY ALL""",
+    "running": """
+SELECT *, sum(n) OVER (PARTITION BY pickup_hour ORDER BY seconds) AS upto,
+    sum(n) OVER (PARTITION BY pickup_hour) AS whole
+FROM per_second""",
     "revenue_per_id": f"""
 SELECT pu_location_id, {_bucket("trip_distance")} AS distance_bucket,
     count(*) AS n, sum(total_amount) AS revenue, sum(trip_distance) AS miles,
@@ -130,12 +140,11 @@ SELECT hour, location_id, sum(pickup) AS pickups, sum(dropoff) AS dropoffs,
     sum(pickup) + sum(dropoff) AS activity, sum(pickup) - sum(dropoff) AS net_pickups
 FROM (
     SELECT pickup_hour AS hour,
-        stack(2, pu_location_id, 'pickup', 1, 0, do_location_id, 'dropoff', 0, 1)
-            AS (location_id, side, pickup, dropoff)
+        stack(2, pu_location_id, 1, 0, do_location_id, 0, 1) AS (location_id, pickup, dropoff)
     FROM trips
     WHERE {_WINDOW} AND pickup_ts IS NOT NULL AND duration_minutes > 0 AND total_amount > 0
 )
-GROUP BY hour, location_id, CASE WHEN location_id IS NULL THEN side END
+GROUP BY hour, location_id, location_id IS NULL AND pickup = 1
 HAVING activity >= :threshold""",
     "zone_imbalance": """
 SELECT hour, a.location_id, coalesce(borough, 'Unknown') AS borough, coalesce(zone, 'Unknown') AS zone,
@@ -171,20 +180,19 @@ LIMIT :top_k""",
         f"SELECT *, {_SHARE} FROM bands ORDER BY trips DESC, time_band",
     ),
     "speed_by_hour": (
-        _SPEED,
-        f"""
-SELECT pickup_hour, count(*) AS trips,
-    {_MEAN_MINUTES} AS avg_duration_minutes,
-    round(percentile_approx(duration_minutes, 0.5D, :accuracy), 4) AS median_duration_minutes,
-    round(percentile_approx(duration_minutes, 0.9D, :accuracy), 4) AS p90_duration_minutes,
-    round(avg(speed_kmh), 4) AS avg_speed_kmh,
-    round(sum(trip_distance_km) * 3600 / sum({_SECONDS}), 4) AS agg_speed_kmh,
-    round(avg(haversine_km), 4) AS avg_haversine_km,
-    round(avg(distance_gap_km), 4) AS avg_distance_gap_km,
-    round(avg(detour_ratio), 4) AS avg_detour_ratio,
-    round(avg(CAST(speed_kmh < {C.SLOW_KMH}D AND trip_distance_km >= {C.SLOW_MIN_KM}D AS int)), 6)
-        AS congestion_candidate_share
-FROM geometry GROUP BY pickup_hour ORDER BY pickup_hour""",
+        (*_SPEED, "per_second", "running"),
+        """
+SELECT pickup_hour, sum(n) AS trips,
+    round(sum(n * seconds) / (60D * sum(n)), 4) AS avg_duration_minutes,
+    round(min(seconds) FILTER (WHERE upto >= whole * 0.5D) / 60D, 4) AS median_duration_minutes,
+    round(min(seconds) FILTER (WHERE upto >= whole * 0.9D) / 60D, 4) AS p90_duration_minutes,
+    round(sum(speed) / sum(n), 4) AS avg_speed_kmh,
+    round(try_divide(sum(km) * 3600, sum(n * seconds)), 4) AS agg_speed_kmh,
+    round(sum(straight) / sum(n), 4) AS avg_haversine_km,
+    round(sum(gap) / sum(n), 4) AS avg_distance_gap_km,
+    round(try_divide(sum(detour), sum(detours)), 4) AS avg_detour_ratio,
+    round(sum(slow) / sum(n), 6) AS congestion_candidate_share
+FROM running GROUP BY pickup_hour ORDER BY pickup_hour""",
     ),
     "slowest_trips": (
         _SPEED,
@@ -305,7 +313,6 @@ FROM zone_imbalance GROUP BY hour ORDER BY mean_abs_imbalance_ratio DESC, hour""
 # Defaults of the parameters that are not part of the window.
 PARAMETERS = {
     "min_straight_km": C.MIN_STRAIGHT_KM,
-    "accuracy": 10000,
     "samples": 5,
     "examples": 10,
     "threshold": ACTIVITY_THRESHOLD,

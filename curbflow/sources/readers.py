@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curbflow.contracts import RAW_ZONES, TripSpec
@@ -17,12 +16,11 @@ def read_csv(
     Missing fields of short lines are NULL.  With ``drop_short_lines`` lines of the wrong
     length are left out.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if not drop_short_lines:
-        return reader.schema(schema).csv(path)
-    flagged = T.StructType([*schema.fields, T.StructField("_unfit_line", T.StringType())])
-    lines = reader.option("columnNameOfCorruptRecord", "_unfit_line").schema(flagged).csv(path)
-    return lines.filter(F.col("_unfit_line").isNull()).drop("_unfit_line")
+    reader = spark.read.schema(schema).option("header", True)
+    if drop_short_lines:
+        # A pruned parse would not see that a line is short.
+        reader = reader.option("mode", "DROPMALFORMED").option("columnPruning", False)
+    return reader.csv(path)
 
 
 def read_raw_trips(spark: SparkSession, path: str, spec: TripSpec, **options) -> DataFrame:
