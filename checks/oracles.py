@@ -169,6 +169,13 @@ def _extremes(metric: str) -> str:
 SELECT {_TRIP_ROUNDED} FROM (SELECT {_TRIP} FROM geometry ORDER BY {metric} DESC, {_TRIP} LIMIT 5)"""
 
 
+GEOMETRY = f"""{steps(TRIPS, _geometry())}
+SELECT {_TIES}, round(duration_per_km, 6) AS duration_per_km, round(speed_kmh, 6) AS speed_kmh,
+  round(haversine_km, 6) AS haversine_km, round(haversine_mi, 6) AS haversine_mi,
+  round(distance_gap_km, 6) AS distance_gap_km, round(detour_ratio, 6) AS detour_ratio,
+  pickup_longitude, pickup_latitude, dropoff_longitude, dropoff_latitude,
+  CASE WHEN speed_kmh < 16.09344 AND trip_distance_km >= 1.609344 THEN 1 ELSE 0 END AS congestion_candidate
+FROM geometry"""
 HAVERSINE = f"""{steps(TRIPS, _geometry(question=False))}
 SELECT vendor_id, pickup_ts, pickup_longitude, pickup_latitude, dropoff_longitude, dropoff_latitude,
   round(haversine_km, 6) AS haversine_km
@@ -268,6 +275,19 @@ ends AS (
   LEFT JOIN marked d ON t.do_location_id = d.location_id
   WHERE {WINDOW} AND {TIMED} AND trip_distance > 0 AND total_amount > 0
 )"""
+ENDPOINTS = f"""{steps(TRIPS, ZONES, _AIRPORTS)}
+SELECT pickup_ts, dropoff_ts, trip_distance, pu_location_id, do_location_id,
+  coalesce(p.borough, 'Unknown') AS pu_borough, coalesce(p.zone, 'Unknown') AS pu_zone,
+  coalesce(p.service_zone, 'Unknown') AS pu_service_zone,
+  coalesce(d.borough, 'Unknown') AS do_borough, coalesce(d.zone, 'Unknown') AS do_zone,
+  coalesce(d.service_zone, 'Unknown') AS do_service_zone,
+  CAST(coalesce(p.airport, false) OR airport_fee > 0 AS INT) AS pu_is_airport,
+  CAST(coalesce(d.airport, false) AS INT) AS do_is_airport,
+  CAST(coalesce(p.airport, false) OR airport_fee > 0 OR coalesce(d.airport, false) AS INT) AS airport_trip
+FROM trips t
+LEFT JOIN marked p ON t.pu_location_id = p.location_id
+LEFT JOIN marked d ON t.do_location_id = d.location_id
+WHERE {WINDOW} AND {TIMED} AND trip_distance > 0 AND total_amount > 0"""
 _FLOWS = f"""
 flows AS (
   SELECT pu_borough, do_borough, count(*) AS trips,
@@ -539,6 +559,8 @@ ORACLES = {
     "demand_events_hourly": DEMAND_EVENTS,
     "speed_by_hour_approx": _speed_by_hour(0.2),
     "speed_by_hour_any_detour": _speed_by_hour(0.0),
+    "with_trip_geometry": GEOMETRY,
+    "with_endpoints": ENDPOINTS,
     "haversine_native": HAVERSINE,
     "haversine_udf": HAVERSINE,
     "speed_by_hour_udf": _speed_by_hour(0.2),

@@ -53,15 +53,13 @@ def _long(df: DataFrame, cols) -> DataFrame:
 
 def null_profile(df: DataFrame, dataset: str) -> DataFrame:
     """NULL count and percentage of every column, emptiest column first."""
-    counted = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("column_name"), F.count_if(F.col(f"`{c}`").isNull()).alias("null_count"))
-                for c in df.columns
-            ]
-        ).alias("columns"),
-    )
+    # Numbered, so that names with dots or quotes need no care.
+    numbered = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    nulls = [
+        F.struct(F.lit(name).alias("column_name"), F.count_if(F.col(f"c{i}").isNull()).alias("null_count"))
+        for i, name in enumerate(df.columns)
+    ]
+    counted = numbered.agg(F.count(F.lit(1)).alias("rows"), F.array(*nulls).alias("columns"))
     percentage = F.coalesce(F.try_divide("null_count", "rows") * 100.0, F.lit(0.0))
     return (
         counted.select("rows", F.inline("columns"))

@@ -73,6 +73,23 @@ def _ends(spark, folder, **kwargs) -> DataFrame:
     )
 
 
+def _geometry_rows(spark, folder) -> DataFrame:
+    geometry = _geometry(spark, folder).select(
+        *speed.EXTREME_COLUMNS, F.round("haversine_mi", 6).alias("haversine_mi"), "congestion_candidate"
+    )
+    return _rounded_extremes(geometry)
+
+
+def _endpoint_rows(spark, folder) -> DataFrame:
+    return _ends(spark, folder).select(
+        "pickup_ts",
+        "dropoff_ts",
+        "trip_distance",
+        *[f"{side}_{name}" for side in ("pu", "do") for name in ("location_id", *flows.NAMES, "is_airport")],
+        "airport_trip",
+    )
+
+
 def _revenue(spark, folder) -> DataFrame:
     return revenue.zone_revenue(trips_like(spark, folder), zones_like(spark, folder), WINDOW)
 
@@ -196,6 +213,7 @@ def registered() -> dict:
         "speed_by_hour_approx": lambda s, d: speed.speed_by_hour(_geometry(s, d), accuracy=FINE),
         "speed_by_hour_any_detour": lambda s, d: speed.speed_by_hour(_geometry(s, d, min_straight_km=0.0)),
         "speed_by_hour_udf": lambda s, d: speed.speed_by_hour(_geometry(s, d, distance=haversine_udf)),
+        "with_trip_geometry": _geometry_rows,
         "slowest_trips": _extremes("slowest"),
         "fastest_trips": _extremes("fastest"),
         "haversine_native": _haversine(C.haversine_km),
@@ -208,6 +226,7 @@ def registered() -> dict:
         "payment_mix_by_hour": _on_trips(payments.payment_mix_by_hour, WINDOW),
         "payment_mix_by_vendor": _on_trips(payments.payment_mix_by_vendor, WINDOW),
         "card_vs_cash": _on_trips(payments.card_vs_cash, WINDOW),
+        "with_endpoints": _endpoint_rows,
         "borough_flows": lambda s, d: flows.borough_flows(_ends(s, d), WINDOW.top_k),
         "borough_flows_merge_join": lambda s, d: flows.borough_flows(
             _ends(s, d, strategy="merge"), WINDOW.top_k

@@ -63,12 +63,24 @@ def test_day_partitions_are_pruned_and_scanned_once(stored, zones, name):
     assert "mta_tax" not in scan or name == "revenue"
 
 
-def test_sql_prunes_day_partitions(spark, stored, zones):
+WINDOWED_SQL = [name for name in QUERIES if ":days" in sql_text(name)]
+
+
+@pytest.mark.parametrize("name", WINDOWED_SQL)
+def test_sql_prunes_day_partitions(spark, stored, zones, name):
     register_views(stored, zones)
-    (scan,) = trip_scans(question_sql(spark, "demand_top_hours"))
+    (scan,) = trip_scans(question_sql(spark, name))
     assert re.search(r"PartitionFilters: \[[^]]*array_contains\(\[26,27,28\], pickup_day", scan), scan
 
 
+def test_hour_partitions_are_pruned(spark, make_trips, folder):
+    trips = make_trips(*[{"pickup_ts": at(2, hour)} for hour in (3, 22)])
+    writers.write_partitioned(trips, f"{folder}/by_hour", "pickup_hour")
+    geometry = speed.with_trip_geometry(readers.read_parquet(spark, f"{folder}/by_hour"))
+    (scan,) = scans(speed.speed_by_hour(geometry))
+    assert re.search(r"PartitionFilters: \[[^]]*pickup_hour#\d+ IN \(21,22,23,0\)", scan), scan
+
+
 def test_recomputing_the_partition_column_would_lose_pruning(stored):
     shadowed = stored.withColumn("pickup_day", F.dayofmonth("pickup_ts"))
     (scan,) = scans(demand.demand_top_hours(shadowed))
