@@ -230,15 +230,16 @@ paid AS (
 
 
 def _mix(key: str, share: str, more: str = "") -> str:
-    return f"""{steps(TRIPS, _PAID)}
+    return f"""{steps(TRIPS, _PAID)},
+totals AS (SELECT {key}, count(*) AS n FROM paid GROUP BY {key})
 SELECT {key}, payment_type, payment_label, count(*) AS trips,
-  {r(f"count(*) / sum(count(*)) OVER (PARTITION BY {key})", 6)} AS {share},
+  {r("count(*) / n", 6)} AS {share},
   {r("avg(fare_amount)")} AS avg_fare_amount,
   {r("avg(total_amount)")} AS avg_total_amount,
   {r("avg(tip_amount)")} AS avg_tip_amount,
   {r("avg(tip_amount / fare_amount)", 6)} AS tip_rate,
   {r("avg(CASE WHEN tip_amount = 0 THEN 1.0 ELSE 0.0 END)", 6)} AS zero_tip_share {more}
-FROM paid GROUP BY {key}, payment_type, payment_label"""
+FROM paid JOIN totals USING ({key}) GROUP BY {key}, payment_type, payment_label, n"""
 
 
 MIX_BY_HOUR = _mix(
