@@ -1,0 +1,464 @@
+"""The training-data operators against brute force on small tables, and on odd input."""
+
+import html
+import re
+import zlib
+from collections import Counter, defaultdict
+from math import log10
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from checks.compare import differences, oracle_connection
+from curbflow.llm import components as graph
+from curbflow.llm import decontaminate, html_extract, language_id, markov_model, packing, quality_model, quality_rules, simhash, substring_dedup, url_filter
+from curbflow.llm.common import held_out
+from curbflow.llm.queries import ORACLES, QUERIES, URL_RULES
+
+FOLDER = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = {k: k + 32 for k in range(65, 91)}
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, text_hash string, spans int, digest int, held string"
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+@pytest.fixture(scope="module")
+def real(spark):
+    return spark.read.parquet(f"{FOLDER}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.read.parquet(f"{FOLDER}/labels.parquet")
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    return spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """NULLs in every column, empty and very long texts, repeated rows, ties, and columns whose names clash."""
+    long = " ".join(f"w{k % 977}x" for k in range(60_000))
+    texts = [None, "", " \n\t ", "one", "One", "a b c d", "Ärger über Öl", "x" * 100_000, long, long, "a # b\n\na # b", "<|endoftext|> tail", None, None]
+    rows = [(k, t, "en", "s", len(t or ""), "x", "h", 1, 2, "n") for k, t in enumerate(texts)]
+    rows += [rows[5], rows[5], (None, "null id", None, None, None, None, None, None, None, None), (None, None, None, None, None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def pandas(df, key="doc_id"):
+    return df.toPandas().set_index(key)
+
+
+# 1 quality rules
+
+
+def test_statistics_equal_brute_force(real, odd):
+    for docs in (real, odd.filter("doc_id is not null").dropDuplicates(["doc_id"])):
+        found, text = pandas(quality_rules.text_statistics(docs)), pandas(docs.select("doc_id", "text"))["text"]
+        for k, value in text.items():
+            own = WORD.findall(value or "")
+            seen = Counter(zip(own, own[1:], own[2:]))
+            inside = {j for i in range(len(own) - 2) if seen[tuple(own[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+            lines = [line for line in (value or "").split("\n") if WORD.search(line)]
+            expected = (len(own), sum(map(len, own)), len(re.findall(r"[#*$%&|<>]", value or "")), len(lines) - len(set(lines)), len(inside))
+            assert tuple(found.loc[k, ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]]) == expected
+
+
+def test_rules_separate_what_thresholds_can(spark):
+    rows = [(k, f"{'word ' * 3}{' '.join(f'v{k}n{j}' for j in range(60))}{' ###' * (6 if k % 5 == 0 else 0)}") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 5 != 0).cast("int").alias("quality"))
+    judged = quality_rules.quality_rules(docs, labels)
+    assert judged.filter("kept <> (doc_id % 5 <> 0)").isEmpty()
+    assert "Python" not in judged._jdf.queryExecution().toString()
+
+
+def test_rules_on_odd_input(odd, none, labels):
+    judged = quality_rules.quality_rules(odd, labels)
+    assert judged.count() == odd.count() and judged.filter("kept is null or base_failed is null").isEmpty()
+    assert quality_rules.quality_rules(none, labels).isEmpty()
+    assert quality_rules.quality_rules(odd, labels.limit(0)).filter("rule is not null").isEmpty()
+
+
+# 2 decontamination
+
+
+def test_contamination_equals_brute_force(spark, odd):
+    random = np.random.default_rng(1)
+    vocabulary = [f"t{k}" for k in range(6)]
+    item = lambda n: " ".join(random.choice(vocabulary, n))
+    bench = [(k, item(n)) for k, n in enumerate([4, 5, 3, 12, 20, 9, 9, 1, 0])] + [(3, "t0 t1"), (None, "t5 t5 t5 t5"), (40, None), (41, "...")]
+    docs = [(k, item(int(n)) + "! Zz,") for k, n in enumerate(random.integers(0, 60, 60))]
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    token = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    for window, block in ((5, 10_000), (5, 15)):
+        found = pandas(decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), items, window, block))
+        phrases = defaultdict(set)
+        for name, text in bench:
+            own = token.findall((text or "").translate(LOWER))
+            for i in range(max(1, len(own) - window + 1) if own else 0):
+                phrases[tuple(own[i : i + window])].add(name)
+        for k, text in docs:
+            own, hit, names = token.findall(text.translate(LOWER)), set(), set()
+            for i in range(len(own)):
+                for n in range(1, window + 1):
+                    if i + n <= len(own) and (which := phrases.get(tuple(own[i : i + n]))):
+                        hit |= set(range(i, i + n))
+                        names |= which
+            row = found.loc[k]
+            assert (row["n_words"], row["n_hit"], list(row["items"])) == (len(own), len(hit), sorted(str(n) for n in names if n is not None))
+    assert decontaminate.contamination(odd, items).count() == odd.count()
+    assert decontaminate.contamination(odd, items.limit(0)).filter("n_hit > 0").isEmpty()
+
+
+def test_decontaminated_texts_hold_no_window(real, items, odd, none):
+    cleaned = decontaminate.decontaminate(real, items)
+    assert decontaminate.contamination(cleaned, items).filter("n_hit > 0").isEmpty()
+    clean = decontaminate.contamination(real, items).filter("n_hit = 0").select("doc_id")
+    assert real.join(clean, "doc_id").exceptAll(cleaned).isEmpty()
+    assert odd.exceptAll(decontaminate.decontaminate(odd, items)).isEmpty()
+    assert decontaminate.decontaminate(none, items).isEmpty()
+
+
+# 3 URL filters
+
+
+def test_urls_equal_brute_force(spark):
+    rules = [*URL_RULES, ("example.com", "/en", "block"), ("a.b", "", "block"), ("a.b", "/x/y", "allow"), (None, "/", "block"), ("com", "/", "allow")]
+    hosts = ["com", "example.com", "WWW.example.com", "x.www.example.com", "xexample.com", "a.b", "c.a.b", "net", "q.net:80", ""]
+    paths = ["", "/", "/en", "/en/", "/english", "/x/y", "/x/yz/..", "/es/?q=/fr/", "/fr/#a", "//en/"]
+    urls = [f"http://{h}{p}" for h in hosts for p in paths] + [None, "", "no scheme", "a\nb://example.com/en/1", "http://x.com://example.com/"]
+    rows = [(k, u) for k, u in enumerate(urls)] + [(0, urls[0]), (None, None)]
+    pages = spark.createDataFrame([(k, u, "z", "y") for k, u in rows], "page_id long, url string, rule string, host string")
+    found = url_filter.judge_urls(pages, spark.createDataFrame(rules, "host string, path string, verdict string"))
+    expected = []
+    for k, u in rows:
+        m = re.match(r"(?s)(?:.*?)://([^/?#]*)([^?#]*)", u or "")
+        host, path = (m[1].translate(LOWER), m[2]) if m else ("", "")
+        fits = [(len(h + p), len(h), v, h + p) for h, p, v in rules if h and (host == h or host.endswith("." + h)) and path.startswith(p)]
+        best = max(fits, default=(0, 0, "allow", None))
+        expected.append((k, host, path, best[3], best[2]))
+    assert sorted(map(tuple, found.drop("url").collect()), key=repr) == sorted(expected, key=repr)
+    assert url_filter.judge_urls(pages.limit(0), found.limit(0).select("host", "path", "verdict")).isEmpty()
+
+
+# 4 HTML
+
+
+PAGE = (
+    "<html><head><title>T</title><script>if (a<b) x='</p>'</script></head><body><nav><a>Menu</a></nav><div class='ad x'>Buy</div>"
+    "<article><h1>Head &amp; tail</h1><p><b>one\n two<br>three<p>four &#233;<div class=comments><p>nice</div><aside>side</aside><ul><li>x<li>y</ul>"
+    "</article><div class='cookie-notice'>Accept</div><footer>&copy; me</footer>"
+)
+
+
+def test_main_text(spark):
+    rows = [(k, f"http://h{k % 2}.x/{k}", PAGE) for k in range(20)] + [(30, None, None), (31, "", ""), (32, "http://z/", "plain <b>text"), (0, "http://h0.x/0", PAGE)]
+    pages = spark.createDataFrame([(*r, "s", 1) for r in rows], "page_id long, url string, html string, slot string, salt int")
+    found = html_extract.extract_text(pages)
+    assert found.count() == len(rows)
+    texts = {r["page_id"]: r["text"] for r in found.collect()}
+    assert texts[0] == "Head & tail\none two three\nfour é\nx\ny"
+    assert (texts[30], texts[31], texts[32]) == ("", "", "plain text")
+    assert html_extract.extract_text(pages.limit(0)).isEmpty()
+
+
+def test_articles_of_the_test_pages(spark):
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
+    found = pandas(html_extract.extract_text(pages), "page_id")["text"]
+    for row in pages.collect():
+        article = re.search(r"<article>(.*?)</article>", row["html"], re.S)[1]
+        blocks = [re.sub(r"<[^>]+>", "", b.replace("<br>", " ")) for b in re.split(r"</?(?:p|h\d)>", article)]
+        blocks = [re.sub(r"\s+", " ", html.unescape(b)).strip() for b in blocks]
+        assert found[row["page_id"]] == "\n".join(b for b in blocks if b)
+
+
+# 5 languages
+
+
+def test_language_accuracy_on_held_out_documents(real, odd, none):
+    model = language_id.train(real.filter(~held_out("doc_id", 3, 1)))
+    tested = real.filter(held_out("doc_id", 3, 1))
+    right = language_id.identify(tested, model).join(tested, "doc_id").filter("lang_pred = lang").count()
+    assert right >= 0.97 * tested.count()
+    judged = language_id.identify(odd, model)
+    assert judged.count() == odd.count() and judged.filter("score < 0 or score > 1 or lang_pred is null").isEmpty()
+    assert judged.filter("doc_id in (0, 1, 2)").filter("lang_pred <> 'und'").isEmpty()
+    assert language_id.train(none) is None and language_id.identify(odd, None).filter("lang_pred <> 'und'").isEmpty()
+
+
+# 6 SimHash
+
+
+def brute_classes(prints, budget):
+    ids, values = list(prints), np.array(list(prints.values()), dtype=np.uint64)
+    root = list(range(len(ids)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for i in range(len(ids)):
+        for j in np.flatnonzero(np.bitwise_count(values ^ values[i]) <= budget):
+            root[max(find(i), find(int(j)))] = min(find(i), find(int(j)))
+    least = defaultdict(list)
+    for k, name in enumerate(ids):
+        least[find(k)].append(name)
+    return {name: min(least[find(k)]) for k, name in enumerate(ids)}
+
+
+def test_near_duplicates_equal_brute_force(real, odd, none):
+    found = pandas(simhash.near_duplicates(real))
+    prints = {}
+    for row in real.select("doc_id", "text").collect():
+        own = [w.encode() for w in words(row["text"])]
+        shingles = [xxhash.xxh64_intdigest(b" ".join(own[i : i + 3]), 42) for i in range(max(1, len(own) - 2) if own else 0)]
+        prints[row["doc_id"]] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in shingles) > len(shingles))
+    assert {k: f"{v:016x}" for k, v in prints.items()} == found["fingerprint"].to_dict()
+    assert brute_classes(prints, 2) == found["component_id"].to_dict()
+    judged = simhash.near_duplicates(odd)
+    assert judged.count() == odd.count()
+    rows = judged.filter("doc_id in (0, 1, 2, 12, 13)").select("fingerprint", "component_id").distinct().collect()
+    assert [tuple(r) for r in rows] == [("0" * 16, 0)]
+    assert simhash.near_duplicates(none).isEmpty()
+
+
+def test_trie_join_splits_large_nodes(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "NODE_LIMIT", 20)
+    random = np.random.default_rng(3)
+    base = random.integers(0, 1 << 63, 3, dtype=np.uint64)
+    values = {int(b) ^ sum(1 << int(x) for x in random.integers(0, 64, int(n))) for b in base for n in random.integers(0, 7, 200)}
+    rows = [(k, v - (1 << 64) if v >> 63 else v, 0) for k, v in enumerate(sorted(values))]
+    prints = spark.createDataFrame(rows, "doc_id long, high long, low long")
+    for budget, segments in ((2, 3), (4, 3), (1, 1)):
+        links = simhash.hamming_links(prints, budget, segments)
+        roots = {r["node"]: r["root"] for r in graph.components(links, "high", "other_high").collect()}
+        expected = brute_classes({h: h % (1 << 64) for _, h, _ in rows}, budget)
+        groups = lambda m: sorted(sorted(x) for x in _grouped(m).values() if len(x) > 1)
+        assert groups(roots) == groups(expected)
+
+
+def _grouped(labels):
+    out = defaultdict(list)
+    for k, v in labels.items():
+        out[v].append(k)
+    return out
+
+
+def test_components(spark):
+    chain = [(k, k + 1) for k in range(40)] + [(100 + k, 100) for k in range(30)] + [(7, 7), (3, 2), (None, 4), (200, 201)]
+    found = {r["node"]: r["root"] for r in graph.components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert found == {**{k: 0 for k in range(41)}, **{100 + k: 100 for k in range(30)}, 200: 200, 201: 200}
+    assert graph.components(spark.createDataFrame([], "a long, b long")).isEmpty()
+
+
+# 7 packing
+
+
+def test_packing_is_a_round_trip(real, odd, none):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for docs in (real, odd.filter("doc_id is not null").dropDuplicates(["doc_id"])):
+        pieces = packing.pack(docs.repartition(3)).toPandas()
+        texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+        for k, own in pieces.sort_values("start").groupby("doc_id"):
+            ids = tokenizer.encode(texts.pop(k) or "", add_special_tokens=False).ids + [1]
+            assert np.frombuffer(b"".join(own["ids"]), "<u4").tolist() == ids and set(own["doc_tokens"]) == {len(ids)}
+            assert (own["start"] == own["length"].cumsum() - own["length"]).all()
+        assert not texts
+        own = pieces.sort_values(["sequence_id", "offset"])
+        assert (own["offset"] == own.groupby("sequence_id")["length"].cumsum() - own["length"]).all()
+        sizes = pieces.groupby("sequence_id")["length"].sum()
+        assert sizes.max() <= 2048 and sum(2048 - n for n in sizes if n & (n - 1)) <= 0.01 * sizes.sum()
+    assert packing.pack(odd).filter("start = 0").count() == odd.count()
+    assert packing.pack(none).isEmpty()
+
+
+# 8 language model
+
+
+def test_markov_scores(spark, real, odd, none):
+    found = pandas(markov_model.score_texts(real.withColumn("held_out", held_out("doc_id", 7, 2)), limit=500))
+    tokens = {r["doc_id"]: [*words(r["text"]), None] for r in real.collect()}
+    trained = Counter(w for k, own in tokens.items() if zlib.crc32(str(k).encode()) % 7 != 2 for w in own)
+    total, kinds = trained.total(), len(trained)
+    for k, own in tokens.items():
+        row = found.loc[k]
+        assert row["base_score"] == pytest.approx(sum(log10((trained[w] + 1) / (total + kinds + 1)) for w in own), rel=1e-9)
+        assert (row["n_tokens"], row["n_known"], row["train_tokens"]) == (len(own), sum(trained[w] > 0 for w in own), total)
+    tested = found[found["held_out"]]
+    assert tested["score"].sum() > tested["base_score"].sum()
+    judged = markov_model.score_texts(odd.withColumn("held_out", held_out("doc_id", 7, 2)))
+    assert judged.count() == odd.count() and judged.filter("score is null or isnan(score) or score > 0").isEmpty()
+    assert markov_model.score_texts(none.withColumn("held_out", F.lit(False))).isEmpty()
+    untrained = markov_model.score_texts(odd.withColumn("held_out", F.lit(True)))
+    assert untrained.filter("base_score <> 0 or n_known <> 0").isEmpty()
+
+
+def test_forward_and_counts_equal_enumeration():
+    random = np.random.default_rng(2)
+    chain = markov_model.Chain(random.dirichlet([1, 1]), random.dirichlet([1, 1], 2), random.dirichlet([1] * 4, 2).T)
+    ids, lengths = random.integers(0, 4, 9), np.array([3, 5, 1])
+    start, move, emit, expected, at = np.zeros(2), np.zeros((2, 2)), np.zeros((4, 2)), [], 0
+    for n in lengths:
+        own, weights = ids[at : at + n], {}
+        for code in range(1 << n):
+            path = [code >> t & 1 for t in range(n)]
+            p = chain.start[path[0]] * chain.emit[own[0], path[0]]
+            for t in range(1, n):
+                p *= chain.move[path[t - 1], path[t]] * chain.emit[own[t], path[t]]
+            weights[tuple(path)] = p
+        whole = sum(weights.values())
+        expected.append(log10(whole))
+        for path, p in weights.items():
+            start[path[0]] += p / whole
+            for t in range(n):
+                emit[own[t], path[t]] += p / whole
+                if t:
+                    move[path[t - 1], path[t]] += p / whole
+        at += n
+    assert chain.log10_likelihoods(ids, lengths) == pytest.approx(expected)
+    for found, wanted in zip(chain.counts(ids, lengths), (start, move, emit)):
+        assert found == pytest.approx(wanted)
+
+
+# 9 quality model
+
+
+def test_quality_on_held_out_labels(real, labels, odd, none):
+    model = quality_model.train(real, labels.filter("crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2"))
+    tested = labels.filter("crc32(cast(cast(doc_id as string) as binary)) % 4 = 2")
+    scored = quality_model.scored(real, model, ("doc_id",)).join(tested, "doc_id").toPandas()
+    assert ((scored["score"] >= 0.7) == (scored["quality"] == 1)).mean() >= 0.9
+    judged = quality_model.scored(odd, model)
+    assert judged.count() == odd.count() and judged.filter("score is null or score < 0 or score > 1").isEmpty()
+    assert quality_model.scored(none, model).isEmpty()
+    untrained = quality_model.train(real, labels.limit(0))
+    assert quality_model.scored(odd, untrained).filter("abs(score - 0.5) > 1e-9").isEmpty()
+
+
+# 10 repeated passages
+
+
+def _prose(seed, n):
+    random = np.random.default_rng(seed)
+    out = []
+    for k in range(n):
+        word = "".join(random.choice(list("abcdefghijklmnopqrstuvwxyz"), 6))
+        out.append((word.capitalize() if k % 9 == 0 else word) + ("." if k % 9 == 8 else ""))
+    return " ".join(out)
+
+
+def test_repeated_passages_go_from_later_documents(spark):
+    passage = _prose(1, 63)
+    near = passage.split()
+    near[30] = "other"
+    rows = [
+        (1, f"{_prose(2, 30)} and {passage} then {_prose(3, 40)}"),
+        (2, _prose(4, 80)),
+        (5, f"{_prose(5, 31)}\n{' '.join(near)}\n{_prose(6, 20)}"),
+        (7, f"{_prose(7, 25)} but {passage} so {_prose(8, 33)}"),
+        (8, f"{_prose(9, 40)} All rights reserved to the owners of this page."),
+        (9, f"{_prose(10, 40)} All rights reserved to the owners of this page."),
+        (10, None),
+        (11, ""),
+        (2, _prose(4, 80)),
+    ]
+    docs = spark.createDataFrame([(k, t, len(t or ""), "p") for k, t in rows], "doc_id long, text string, n_chars long, passages string")
+    found = substring_dedup.substring_dedup(docs)
+    assert found.count() == len(rows)
+    by_id = {r["doc_id"]: r for r in found.collect()}
+    unchanged = {1, 2, 8, 9, 10, 11}
+    for k, text in rows:
+        if k in unchanged:
+            assert by_id[k]["text"] == text and by_id[k]["removed_words"] == 0
+    for k in (5, 7):
+        kept = by_id[k]["text"]
+        assert by_id[k]["n_chars"] == len(kept) and by_id[k]["removed_words"] >= 50
+        assert len(set(kept.lower().split()) & set(passage.lower().split())) <= 12
+    assert substring_dedup.substring_dedup(docs.limit(0)).isEmpty()
+
+
+def test_similar_paragraphs_equal_brute_force(spark, real, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "BLOCK", 4)
+    base = _prose(20, 70).split()
+    random = np.random.default_rng(4)
+    rows = []
+    for k in range(40):
+        own = list(base)
+        for _ in range(int(random.integers(0, 5))):
+            own[int(random.integers(0, 70))] = f"z{k}"
+        rows.append((k, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = substring_dedup.stored(
+        substring_dedup.paragraphs(docs, *substring_dedup.tuned_bands()).filter("bands is not null")
+    )
+    roots = {r["node"]: r["root"] for r in graph.components(substring_dedup.similar_paragraphs(found)).collect()}
+    sets = {r["digest"]: set(np.frombuffer(bytes(r["shingles"]), np.uint32).tolist()) for r in found.collect()}
+    linked = [(a, b) for a in sets for b in sets if a > b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert sum(roots.get(a) == roots.get(b) != None for a, b in linked) >= 0.99 * len(linked)  # noqa: E711
+
+
+def test_tuned_bands_keep_the_recall():
+    for similarity in (0.5, 0.8, 0.9):
+        bands, rows = substring_dedup.tuned_bands(similarity, 0.99, 64)
+        assert bands * rows <= 64 and 1 - (1 - similarity**rows) ** bands >= 0.99
+
+
+def test_substring_dedup_on_odd_input(odd, none):
+    assert substring_dedup.substring_dedup(odd).count() == odd.count()
+    assert substring_dedup.substring_dedup(none).isEmpty()
+
+
+# Registered queries and the pipeline
+
+
+@pytest.mark.parametrize("name", ORACLES)
+def test_query_equals_its_oracle(spark, name):
+    answer = QUERIES[name](spark, FOLDER).toPandas()
+    assert not differences(answer, oracle_connection(FOLDER).execute(ORACLES[name]).df())
+
+
+def test_one_query_for_each_operator():
+    assert sorted(QUERIES) == sorted([*[n for k in range(1, 11) for n in QUERIES if n.startswith(f"op{k}_")], "pipeline"])
+
+
+def test_pipeline_stages(spark, real, labels):
+    docs, before = real, None
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before, docs = docs, substring_dedup.stored(stage(spark, docs, FOLDER))
+        if number < 4:
+            assert docs.columns == real.columns
+            ids = {r["doc_id"] for r in docs.select("doc_id").collect()}
+            assert ids <= {r["doc_id"] for r in before.select("doc_id").collect()}
+        if number == 0:
+            good = labels.filter("quality = 1").join(real, "doc_id")
+            assert good.join(docs, "doc_id").count() >= 0.97 * good.count()
+            assert labels.filter("quality = 0").join(docs, "doc_id").count() <= 0.1 * labels.filter("quality = 0").count()
+        if number == 1:
+            text = {r["doc_id"]: words(r["text"]) for r in before.collect()}
+            sets = {k: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for k, w in text.items()}
+            pairs = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+            gone = [b for _, b in pairs if b not in ids]
+            assert len(gone) >= 0.9 * len(pairs)
+            lonely = set(sets) - {k for a in sets for b in sets if a != b and len(sets[a] & sets[b]) >= 0.5 * len(sets[a] | sets[b]) for k in (a, b)}
+            assert lonely <= ids
+    whole = before.agg(F.count("*")).first()[0]
+    assert docs.filter("start = 0").count() == whole
+
