@@ -21,6 +21,8 @@ LINE_WORDS = 45
 PART_WORDS = 6
 # Neighbouring repeated parts make a passage if they have this many words together.
 PASSAGE_WORDS = 30
+# Fewer words than this between two of them (a changed sentence, or parts too short to compare) belong to the passage.
+GAP_WORDS = 12
 # Paragraphs of one band bucket that meet in one task at most; larger buckets are dealt out as pairs of blocks.
 BLOCK = 1024
 
@@ -207,14 +209,15 @@ def repeated_spans(docs: DataFrame, similarity: float = SIMILARITY, recall: floa
 
 
 def passages(text: bytes, spans: list[tuple[int, int]], least: int = PASSAGE_WORDS) -> list[tuple[int, int, int]]:
-    """(start, end, words) of the runs of repeated paragraphs with enough words; shorter parts between two are part of them."""
+    """(start, end, words) of the runs of repeated paragraphs that have enough words; a short gap between two is part of the run."""
     runs: list[list[int]] = []
     for a, b in spans:
-        if runs and (a <= runs[-1][1] or len(text[runs[-1][1] : a].split()) < PART_WORDS):
+        if runs and (a <= runs[-1][1] or len(text[runs[-1][1] : a].split()) < GAP_WORDS):
+            runs[-1][2] += len(text[max(a, runs[-1][1]) : b].split())
             runs[-1][1] = max(b, runs[-1][1])
         else:
-            runs.append([a, b])
-    return [(a, b, n) for a, b in runs if (n := len(text[a:b].split())) >= least]
+            runs.append([a, b, len(text[a:b].split())])
+    return [(a, b, len(text[a:b].split())) for a, b, repeated in runs if repeated >= least]
 
 
 def substring_dedup(docs: DataFrame, similarity: float = SIMILARITY, least: int = PASSAGE_WORDS, recall: float = 0.998) -> DataFrame:

@@ -244,7 +244,7 @@ def test_trie_join_splits_large_nodes(spark, monkeypatch):
     values = {int(b) ^ sum(1 << int(x) for x in random.integers(0, 64, int(n))) for b in base for n in random.integers(0, 7, 200)}
     rows = [(k, v - (1 << 64) if v >> 63 else v, 0) for k, v in enumerate(sorted(values))]
     prints = spark.createDataFrame(rows, "doc_id long, high long, low long")
-    for budget, segments in ((2, 3), (4, 3), (1, 1)):
+    for budget, segments in ((2, 3), (4, 3), (1, 2)):
         links = simhash.hamming_links(prints, budget, segments)
         roots = {r["node"]: r["root"] for r in graph.components(links, "high", "other_high").collect()}
         expected = brute_classes({h: h % (1 << 64) for _, h, _ in rows}, budget)
