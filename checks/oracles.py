@@ -315,11 +315,16 @@ AIRPORT_ZONES = f"""{steps(ZONES, _AIRPORTS)}
 SELECT location_id, borough, zone, service_zone FROM marked WHERE airport
 ORDER BY borough, zone, location_id LIMIT 10"""
 _BOROUGHS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST", "Unknown"]
-FLOW_MATRIX = f"""{_ALL_FLOWS}
-SELECT pu_borough, {", ".join(
-    f'''{big(f"coalesce(sum(trips) FILTER (WHERE do_borough = '{b}'), 0)")} AS "{b}"''' for b in _BOROUGHS
-)}
-FROM flows GROUP BY pu_borough"""
+
+
+def _flow_matrix(boroughs) -> str:
+    listed = ", ".join(f"'{b}'" for b in boroughs)
+    names = [(b, f"do_borough = '{b}'") for b in boroughs] + [("other", f"coalesce(do_borough NOT IN ({listed}), true)")]
+    columns = ", ".join(f"""{big(f"coalesce(sum(trips) FILTER (WHERE {where}), 0)")} AS "{name}\"""" for name, where in names)
+    return f"{_ALL_FLOWS} SELECT pu_borough, {columns} FROM flows GROUP BY pu_borough"
+
+
+FLOW_MATRIX, FLOW_MATRIX_OTHER = _flow_matrix(_BOROUGHS), _flow_matrix(_BOROUGHS[1:3])
 
 # Imbalance ---------------------------------------------------------------------------------
 
@@ -355,13 +360,20 @@ IMBALANCE_BY_HOUR = f"""{_ALL_IMBALANCE}
 SELECT hour, {big("sum(abs(net_pickups))")} AS total_abs_net_pickups,
   {r("avg(abs(net_pickups) / activity)", 6)} AS mean_abs_imbalance_ratio
 FROM imbalance GROUP BY hour"""
-IMBALANCE_MATRIX = f"""{_ALL_IMBALANCE},
+
+
+def _imbalance_matrix(hours) -> str:
+    names = [(f"h{h}", f"hour = {h}") for h in hours] + [("other", f"hour NOT IN {hours}")]
+    columns = ", ".join(f"{r(f'avg(imbalance_ratio) FILTER (WHERE {where})', 6)} AS {name}" for name, where in names)
+    return f"""{_ALL_IMBALANCE},
 top_zones AS (
   SELECT zone FROM imbalance GROUP BY zone
   ORDER BY round(avg(abs(imbalance_ratio)), 10) DESC, zone LIMIT 20
 )
-SELECT zone, {", ".join(f"{r(f'avg(imbalance_ratio) FILTER (WHERE hour = {h})', 6)} AS h{h}" for h in (21, 22, 23, 0))}
-FROM imbalance WHERE zone IN (SELECT zone FROM top_zones) GROUP BY zone"""
+SELECT zone, {columns} FROM imbalance WHERE zone IN (SELECT zone FROM top_zones) GROUP BY zone"""
+
+
+IMBALANCE_MATRIX, IMBALANCE_MATRIX_OTHER = _imbalance_matrix((21, 22, 23, 0)), _imbalance_matrix((21, 22))
 
 # Change between month halves ---------------------------------------------------------------
 
@@ -391,12 +403,9 @@ OD_DECREASE = f"{OD_CHANGE} ORDER BY trips_change_pct, trips_h1 DESC, {_KEYS} LI
 
 # Profiles ----------------------------------------------------------------------------------
 
-_TRIP_COLUMNS = """vendor_id pickup_ts dropoff_ts passenger_count trip_distance pu_location_id do_location_id
-payment_type fare_amount extra mta_tax tip_amount tolls_amount improvement_surcharge total_amount
-congestion_surcharge airport_fee pickup_longitude pickup_latitude dropoff_longitude dropoff_latitude
-pickup_date pickup_day pickup_hour duration_minutes trip_distance_km""".split()
-_ZONE_COLUMNS = "location_id borough zone service_zone".split()
-_EVENT_COLUMNS = "event_id ts user_id event_type value props".split()
+_TRIP_COLUMNS = ("vendor_id", "pickup_ts", "dropoff_ts", "passenger_count", "trip_distance", "pu_location_id", "do_location_id", "payment_type", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount", "congestion_surcharge", "airport_fee", "pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude", "pickup_date", "pickup_day", "pickup_hour", "duration_minutes", "trip_distance_km")
+_ZONE_COLUMNS = ("location_id", "borough", "zone", "service_zone")
+_EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
 def _nulls(dataset: str, columns: list[str]) -> str:
@@ -412,11 +421,17 @@ _ALL_NULLS = " UNION ALL ".join(
     [_nulls("trips", _TRIP_COLUMNS), _nulls("zones", _ZONE_COLUMNS), _nulls("events", _EVENT_COLUMNS)]
 )
 NULL_PROFILE = f"{steps(TRIPS, ZONES)} {_ALL_NULLS}"
-NULL_MATRIX = f"""{steps(TRIPS, ZONES)}
-SELECT column_name, {", ".join(
-    f"coalesce(avg(null_percentage) FILTER (WHERE dataset = '{d}'), 0) AS {d}" for d in ("trips", "zones", "events")
-)}
-FROM ({_ALL_NULLS}) GROUP BY column_name"""
+
+
+def _null_matrix(datasets) -> str:
+    listed = ", ".join(f"'{d}'" for d in datasets)
+    names = [(d, f"dataset = '{d}'") for d in datasets] + [("other", f"dataset NOT IN ({listed})")]
+    columns = ", ".join(f"coalesce(avg(null_percentage) FILTER (WHERE {where}), 0) AS {name}" for name, where in names)
+    return f"{steps(TRIPS, ZONES)} SELECT column_name, {columns} FROM ({_ALL_NULLS}) GROUP BY column_name"
+
+
+NULL_MATRIX, NULL_MATRIX_OTHER = _null_matrix(("trips", "zones", "events")), _null_matrix(("zones",))
+
 
 HOUR_DISTRIBUTION = f"""{steps(TRIPS)}
 SELECT 'trips' AS dataset, pickup_hour, count(*) AS trip_count FROM trips GROUP BY pickup_hour
@@ -424,12 +439,18 @@ UNION ALL
 SELECT 'events' AS dataset, CAST(hour(ts) AS INT) AS pickup_hour, count(*) AS trip_count FROM events GROUP BY 2"""
 DAY_DISTRIBUTION = f"""{steps(TRIPS)}
 SELECT 'trips' AS dataset, pickup_day, count(*) AS trip_count FROM trips GROUP BY pickup_day"""
-DAY_DENSE = """
-SELECT 'events' AS dataset, CAST(d.day AS INT) AS pickup_day, count(ts) AS trip_count
-FROM range(1, 32) d(day) LEFT JOIN events ON day(ts) = d.day
-GROUP BY d.day"""
 
-_SUMMARY = "trip_distance trip_distance_km duration_minutes fare_amount tip_amount total_amount".split()
+
+def _day_dense(first: int, end: int) -> str:
+    return f"""SELECT 'events' AS dataset, coalesce(d.day, e.day) AS pickup_day, coalesce(n, 0) AS trip_count
+FROM (SELECT CAST(day AS INT) AS day FROM range({first}, {end}) d(day)) d
+FULL JOIN (SELECT CAST(day(ts) AS INT) AS day, count(*) AS n FROM events GROUP BY 1) e ON d.day = e.day"""
+
+
+DAY_DENSE, DAY_DENSE_FROM_20 = _day_dense(1, 32), _day_dense(20, 40)
+
+
+_SUMMARY = ("trip_distance", "trip_distance_km", "duration_minutes", "fare_amount", "tip_amount", "total_amount")
 NUMERIC_SUMMARY = f"""{steps(TRIPS)} {" UNION ALL ".join(
     f'''SELECT 'trips' AS dataset, '{c}' AS column_name, count({c}) AS non_null_count, min({c}) AS min,
   quantile_disc({c}, 0.25) AS p25, quantile_disc({c}, 0.5) AS median, quantile_disc({c}, 0.75) AS p75,
@@ -573,6 +594,7 @@ ORACLES = {
     "hour_distribution": HOUR_DISTRIBUTION,
     "day_distribution": DAY_DISTRIBUTION,
     "day_distribution_dense": DAY_DENSE,
+    "day_distribution_dense_from_20": DAY_DENSE_FROM_20,
     "numeric_summary": NUMERIC_SUMMARY,
     "numeric_summary_approx": NUMERIC_SUMMARY,
     "log_histogram": LOG_HISTOGRAM,
@@ -587,7 +609,10 @@ ORACLES = {
     "ingest_trips_geo": _ingested(_GEO),
     "ingest_zones": f"{steps(ZONES)} SELECT * FROM zones",
     "flow_matrix": FLOW_MATRIX,
+    "flow_matrix_other": FLOW_MATRIX_OTHER,
     "imbalance_matrix": IMBALANCE_MATRIX,
+    "imbalance_matrix_other": IMBALANCE_MATRIX_OTHER,
     "null_matrix": NULL_MATRIX,
+    "null_matrix_other": NULL_MATRIX_OTHER,
     "display_labels": LABELS,
 }

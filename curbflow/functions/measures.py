@@ -22,6 +22,25 @@ def share(value, name: str) -> Column:
     return F.round(value, SHARE_DIGITS).alias(name)
 
 
+def money(value, digits: int = AMOUNT_DIGITS) -> Column:
+    """An amount as a decimal of the scale, rounded half up: its sums do not depend on partition order.
+
+    Amounts with more digits need a larger scale; what is not finite becomes NULL.
+    """
+    column = F.col(value) if isinstance(value, str) else value
+    return column.try_cast(f"decimal(28,{digits})")
+
+
+def exact_sum(value, digits: int = AMOUNT_DIGITS) -> Column:
+    """Sum of an amount, added up exactly and then turned into a double once."""
+    return F.sum(money(value, digits)).cast("double")
+
+
+def exact_mean(value, digits: int = AMOUNT_DIGITS) -> Column:
+    """Mean of an amount, from its exact sum."""
+    return F.try_divide(exact_sum(value, digits), F.count(money(value, digits)))
+
+
 def trips() -> Column:
     return F.count(F.lit(1)).alias("trips")
 
@@ -42,7 +61,7 @@ def share_where(condition: Column) -> Column:
 
 def total_ratio(numerator, denominator) -> Column:
     """Ratio of two sums, NULL when the lower one is zero."""
-    return F.try_divide(F.sum(numerator), F.sum(denominator))
+    return F.try_divide(F.sum(numerator).cast("double"), F.sum(denominator).cast("double"))
 
 
 def whole(count: str, *within: str) -> Column:

@@ -50,7 +50,9 @@ def in_window(window: TripWindow, days=True) -> Column:
 
 
 def in_year(year: int) -> Column:
-    return F.year("pickup_ts") == year
+    """A half-open range, which the scan can use; NULL for a NULL timestamp."""
+    first, end = (F.expr(f"TIMESTAMP '{y:04d}-01-01 00:00:00'") for y in (year, year + 1))
+    return (F.col("pickup_ts") >= first) & (F.col("pickup_ts") < end)
 
 
 def question_trips(

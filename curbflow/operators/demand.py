@@ -19,9 +19,9 @@ def _demand(df: DataFrame, *keys: str) -> DataFrame:
         F.countDistinct("pu_location_id").alias("unique_pickup_zones"),
         M.amount(F.avg("passenger_count"), "avg_passenger_count"),
         M.amount(M.mean_minutes(), "avg_duration_minutes"),
-        M.amount(F.avg("trip_distance"), "avg_trip_distance"),
-        M.amount(F.avg("total_amount"), "avg_total_amount"),
-        M.amount(F.sum("total_amount"), "total_revenue"),
+        M.amount(M.exact_mean("trip_distance"), "avg_trip_distance"),
+        M.amount(M.exact_mean("total_amount"), "avg_total_amount"),
+        M.amount(M.exact_sum("total_amount"), "total_revenue"),
     )
 
 

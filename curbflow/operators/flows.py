@@ -64,9 +64,9 @@ def borough_flow_table(ends: DataFrame) -> DataFrame:
         ends.groupBy("pu_borough", "do_borough")
         .agg(
             M.trips(),
-            M.amount(F.sum("total_amount"), "total_revenue"),
-            M.amount(F.avg("total_amount"), "avg_total_amount"),
-            M.amount(F.avg("trip_distance"), "avg_trip_distance"),
+            M.amount(M.exact_sum("total_amount"), "total_revenue"),
+            M.amount(M.exact_mean("total_amount"), "avg_total_amount"),
+            M.amount(M.exact_mean("trip_distance"), "avg_trip_distance"),
             M.amount(M.mean_minutes(), "avg_duration_minutes"),
             M.share(F.avg("airport_trip"), "airport_trip_share"),
         )
@@ -100,10 +100,10 @@ def airport_routes(ends: DataFrame, k: int = 20) -> DataFrame:
         .groupBy("pu_zone", "do_zone")
         .agg(
             M.trips(),
-            M.amount(F.avg(F.coalesce("airport_fee", F.lit(0.0))), "avg_airport_fee"),
-            M.amount(F.avg("total_amount"), "avg_total_amount"),
+            M.amount(M.exact_mean(F.coalesce("airport_fee", F.lit(0.0))), "avg_airport_fee"),
+            M.amount(M.exact_mean("total_amount"), "avg_total_amount"),
             M.amount(M.mean_minutes(), "avg_duration_minutes"),
-            M.amount(F.avg("trip_distance"), "avg_trip_distance"),
+            M.amount(M.exact_mean("trip_distance"), "avg_trip_distance"),
         )
         .orderBy(F.desc("trips"), F.desc("avg_total_amount"), "pu_zone", "do_zone")
         .limit(k)

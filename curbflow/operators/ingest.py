@@ -23,7 +23,10 @@ def parsed_time(column: str, pattern: str) -> Column:
 
 
 def _typed(raw_name: str, name: str, kind: str, time_pattern: str) -> Column:
-    """Text to type, with NULL for text that does not fit; whole numbers may come as ``1.0``."""
+    """Text to type, with NULL for text that does not fit; whole numbers may come as ``1.0``.
+
+    Texts that read as infinity or NaN do not fit either: one of them would spoil every sum it is in.
+    """
     text = F.col(f"`{raw_name}`")
     if kind == "timestamp":
         value = parsed_time(raw_name, time_pattern)
@@ -33,6 +36,8 @@ def _typed(raw_name: str, name: str, kind: str, time_pattern: str) -> Column:
         value = text
     else:
         value = text.try_cast(kind)
+        if kind in ("double", "float"):
+            value = F.when(F.abs(value) < float("inf"), value)
     return value.alias(name)
 
 
@@ -52,15 +57,17 @@ def ingest_zones(raw: DataFrame) -> DataFrame:
     return raw.select(*[_typed(*field, "") for field in ZONE_FIELDS])
 
 
-def ingest_quality(raw: DataFrame, spec: TripSpec, year: int | None = None) -> DataFrame:
+def ingest_quality(raw: DataFrame, spec: TripSpec, year: int | str | None = SPEC_YEAR) -> DataFrame:
     """Raw rows, unreadable and wrong-year pickups, first and last pickup: one pass, one row.
 
+    ``year`` is that of the spec unless another is given; with ``None`` no year is wrong.
+
     A pass of its own rather than counters hung on the write job: counters of a retried
     task may count twice, an aggregate may not.
     """
     pickup = next(raw_name for raw_name, name, _ in spec.fields if name == "pickup_ts")
     times = raw.select(parsed_time(pickup, spec.time_pattern).alias("pickup_ts"))
-    expected = spec.year if year is None else year
+    expected = spec.year if year == SPEC_YEAR else year
     wrong_year = F.lit(False) if expected is None else ~in_year(expected)
     return times.agg(
         F.count(F.lit(1)).alias("raw_row_count"),

@@ -42,8 +42,8 @@ def od_period_change(trips: DataFrame, split_day: int = SPLIT_DAY, min_trips: in
         total = F.when(rows, F.col("total_amount"))
         sums += [
             F.count_if(rows).alias(f"trips_{half}"),
-            F.sum(F.when(rows, F.col("fare_amount"))).alias(f"fare_{half}"),
-            F.sum(total).alias(f"total_{half}"),
+            M.exact_sum(F.when(rows, F.col("fare_amount"))).alias(f"fare_{half}"),
+            M.exact_sum(total).alias(f"total_{half}"),
             F.count(total).alias(f"totals_{half}"),
         ]
     enough = max(1, min_trips)

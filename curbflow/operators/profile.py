@@ -80,11 +80,14 @@ def null_profile(df: DataFrame, dataset: str) -> DataFrame:
 
 
 def value_distribution(df: DataFrame, key: str, dataset: str, densify: range | None = None) -> DataFrame:
-    """Rows per value of ``key``; with ``densify`` every value of that range, absent ones with 0."""
+    """Rows per value of ``key``; ``densify`` adds the absent values of that range with 0.
+
+    Values outside the range and NULL stay, so the counts always add up to the input.
+    """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("trip_count"))
     if densify is not None:
         spine = df.sparkSession.range(densify.start, densify.stop, densify.step, 1)
-        counts = spine.select(F.col("id").cast("int").alias(key)).join(counts, key, "left")
+        counts = spine.select(F.col("id").cast("int").alias(key)).join(counts, key, "full")
     return counts.select(
         F.lit(dataset).alias("dataset"), key, F.coalesce("trip_count", F.lit(0)).alias("trip_count")
     ).orderBy(key)
@@ -100,7 +103,8 @@ def numeric_summary(
     the cheaper way for columns whose values hardly repeat.
     """
     names = C.existing(df, cols)
-    values = _long(df, names).filter(F.col("value").isNotNull())
+    # NaN is no value: it would be the maximum and turn the mean into NaN.
+    values = _long(df, names).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     if accuracy is not None:
         quartiles = F.percentile_approx("value", list(QUARTILES.values()), accuracy)
         summary = values.groupBy("position").agg(
@@ -130,12 +134,14 @@ def numeric_summary(
 
 
 def log_histogram(df: DataFrame, dataset: str, cols=HISTOGRAM_COLUMNS) -> DataFrame:
-    """Positive values counted by the power of ten they lie above."""
+    """Positive values counted by the power of ten they lie above; infinity and NaN have the bucket NULL."""
     names = C.existing(df, cols)
+    finite = F.col("value") < float("inf")
+    bucket = F.when(finite, F.floor(F.log10("value")).try_cast("int"))
     return (
         _long(df, names)
         .filter(F.col("value") > 0)
-        .groupBy("position", F.floor(F.log10("value")).cast("int").alias("log10_floor_bucket"))
+        .groupBy("position", bucket.alias("log10_floor_bucket"))
         .agg(F.count(F.lit(1)).alias("count"))
         .select(F.lit(dataset).alias("dataset"), _name(names), "log10_floor_bucket", "count")
         .orderBy("column_name", "log10_floor_bucket")
@@ -147,21 +153,22 @@ def densify_histogram(histogram: DataFrame, datasets: list[str]) -> DataFrame:
     keys = ["column_name", "log10_floor_bucket"]
     names = F.explode(F.array(*[F.lit(d) for d in datasets])).alias("dataset")
     spine = histogram.select(*keys).distinct().select(names, *keys)
+    same = [spine[name].eqNullSafe(histogram[name]) for name in ("dataset", *keys)]
     return (
-        spine.join(histogram, ["dataset", *keys], "left")
-        .fillna(0, subset=["count"])
+        spine.join(histogram, same, "left")
+        .select(*[spine[name] for name in ("dataset", *keys)], F.coalesce("count", F.lit(0)).alias("count"))
         .orderBy("dataset", *keys)
     )
 
 
 def sign_counts(df: DataFrame, dataset: str, cols=SIGN_COLUMNS) -> DataFrame:
-    """Negative, zero and positive values per column; NULLs are in the total only."""
+    """Negative, zero and positive values per column; NULL and NaN are in the total only."""
     per_column = [
         F.struct(
             F.lit(c).alias("column_name"),
             F.count_if(F.col(c) < 0).alias("negative_count"),
             F.count_if(F.col(c) == 0).alias("zero_count"),
-            F.count_if(F.col(c) > 0).alias("positive_count"),
+            F.count_if((F.col(c) > 0) & ~F.isnan(c)).alias("positive_count"),
             F.count(F.lit(1)).alias("total_rows"),
         )
         for c in C.existing(df, cols)

@@ -1,33 +1,36 @@
-"""Matrix forms of result tables.  Columns are named up front, so no job is run to find them."""
+"""Matrix forms of result tables.
+
+Columns are named up front, so no job is run to find them; whatever is not named, NULL included, is in the column
+``other``, so that no row of the input is lost.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbflow.functions import measures as M
 
 
+def _spread(key: str, names: list, value: str, aggregate) -> list[tuple[str, Column]]:
+    """The aggregate of ``value`` for each name of ``key``, and for all others together."""
+    listed = F.coalesce(F.col(key).isin(list(names)), F.lit(False))
+    columns = [(str(name), aggregate(F.when(F.col(key) == name, F.col(value)))) for name in names]
+    return [*columns, ("other", aggregate(F.when(~listed, F.col(value))))]
+
+
 def null_matrix(nulls: DataFrame, datasets: list[str]) -> DataFrame:
-    """NULL percentage per column (rows) and dataset (columns), 0 for columns a dataset lacks."""
-    return (
-        nulls.groupBy("column_name")
-        .pivot("dataset", datasets)
-        .agg(F.avg("null_percentage"))
-        .fillna(0.0)
-        .orderBy("column_name")
-    )
+    """Mean NULL percentage per column (rows) and dataset (columns), 0 for columns a dataset lacks."""
+    columns = _spread("dataset", datasets, "null_percentage", F.avg)
+    wide = nulls.groupBy("column_name").agg(*[value.alias(name) for name, value in columns])
+    return wide.fillna(0.0).orderBy("column_name")
 
 
 def flow_matrix(flows: DataFrame, boroughs: list[str]) -> DataFrame:
     """Trips per pickup borough (rows) and dropoff borough (columns), 0 where there are none."""
-    return (
-        flows.groupBy("pu_borough")
-        .pivot("do_borough", boroughs)
-        .agg(F.sum("trips"))
-        .fillna(0)
-        .orderBy("pu_borough")
-    )
+    columns = _spread("do_borough", boroughs, "trips", F.sum)
+    wide = flows.groupBy("pu_borough").agg(*[value.alias(name) for name, value in columns])
+    return wide.fillna(0, subset=[name for name, _ in columns]).orderBy("pu_borough")
 
 
 def imbalance_matrix(imbalance: DataFrame, hours, n: int = 20) -> DataFrame:
@@ -39,9 +42,6 @@ def imbalance_matrix(imbalance: DataFrame, hours, n: int = 20) -> DataFrame:
         .orderBy(F.round("one_sided", 10).desc(), "zone")
         .limit(n)
     )
-    slots = imbalance.join(zones, "zone", "left_semi").withColumn(
-        "slot", F.concat(F.lit("h"), F.col("hour").cast("string"))
-    )
-    names = [f"h{hour}" for hour in hours]
-    wide = slots.groupBy("zone").pivot("slot", names).agg(F.avg("imbalance_ratio"))
-    return wide.select("zone", *[M.share(name, name) for name in names]).orderBy("zone")
+    columns = _spread("hour", list(hours), "imbalance_ratio", lambda ratio: M.exact_mean(ratio, M.SHARE_DIGITS))
+    named = [M.share(value, name if name == "other" else f"h{name}") for name, value in columns]
+    return imbalance.join(zones, "zone", "left_semi").groupBy("zone").agg(*named).orderBy("zone")

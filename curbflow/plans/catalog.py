@@ -120,9 +120,12 @@ def _hour_distribution(spark, folder) -> DataFrame:
     )
 
 
-def _day_distribution_dense(spark, folder) -> DataFrame:
-    events = table(spark, folder, "events").select(F.dayofmonth("ts").alias("pickup_day"))
-    return profile.value_distribution(events, "pickup_day", "events", densify=range(1, 32))
+def _day_distribution_dense(days):
+    def query(spark, folder):
+        events = table(spark, folder, "events").select(F.dayofmonth("ts").alias("pickup_day"))
+        return profile.value_distribution(events, "pickup_day", "events", densify=days)
+
+    return query
 
 
 def _numeric_summary(accuracy=None):
@@ -244,7 +247,8 @@ def registered() -> dict:
         "null_profile": _null_profile,
         "hour_distribution": _hour_distribution,
         "day_distribution": _on_trips(profile.value_distribution, "pickup_day", "trips"),
-        "day_distribution_dense": _day_distribution_dense,
+        "day_distribution_dense": _day_distribution_dense(range(1, 32)),
+        "day_distribution_dense_from_20": _day_distribution_dense(range(20, 40)),
         "numeric_summary": _numeric_summary(),
         "numeric_summary_approx": _numeric_summary(accuracy=FINE),
         "log_histogram": _log_histogram,
@@ -259,6 +263,10 @@ def registered() -> dict:
         "ingest_trips_geo": _ingest_trips(TRIPS_GEO, geo=True),
         "ingest_zones": _ingest_zones,
         "flow_matrix": lambda s, d: reshape.flow_matrix(flows.borough_flow_table(_ends(s, d)), BOROUGHS),
+        # Lists that leave values out: those are in the column `other`.
+        "flow_matrix_other": lambda s, d: reshape.flow_matrix(flows.borough_flow_table(_ends(s, d)), BOROUGHS[1:3]),
+        "imbalance_matrix_other": lambda s, d: reshape.imbalance_matrix(_imbalance(s, d), WINDOW.hours[:2]),
+        "null_matrix_other": lambda s, d: reshape.null_matrix(_null_profile(s, d), ["zones"]),
         "imbalance_matrix": lambda s, d: reshape.imbalance_matrix(_imbalance(s, d), WINDOW.hours),
         "null_matrix": lambda s, d: reshape.null_matrix(_null_profile(s, d), ["trips", "zones", "events"]),
         "display_labels": _display_labels,

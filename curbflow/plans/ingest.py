@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +36,14 @@ def run_trip_ingest(
     written.
     """
     raw = read_raw_trips(spark, source, spec)
+    started = time.monotonic()
     write_partitioned(ingest_trips(raw, spec), path, spec.partition_by, mode)
-    return ingest_quality(raw, spec).select(*_described(spark, spec.name, source, path), "*")
+    written = [
+        F.lit(round(time.monotonic() - started, 3)).alias("conversion_time_seconds"),
+        F.array(F.lit(spec.partition_by)).alias("partition_columns"),
+        F.lit(spec.time_pattern).alias("timestamp_format"),
+    ]
+    return ingest_quality(raw, spec).select(*_described(spark, spec.name, source, path), *written, "*")
 
 
 def run_zone_ingest(

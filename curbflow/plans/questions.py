@@ -23,7 +23,7 @@ class Answer:
 
 
 def _demand(trips, zones, window) -> Answer:
-    columns = "pickup_ts dropoff_ts pickup_date pickup_day pickup_hour duration_minutes trip_distance".split()
+    columns = ["pickup_ts", "dropoff_ts", "pickup_date", "pickup_day", "pickup_hour", "duration_minutes", "trip_distance"]
     columns += ["total_amount", "passenger_count", "pu_location_id"]
     kept = question_trips(trips, "demand", window).select(*columns)
     return Answer(
@@ -55,7 +55,7 @@ def _revenue(trips, zones, window) -> Answer:
 
 
 def _payments(trips, zones, window) -> Answer:
-    columns = "pickup_ts dropoff_ts pickup_day pickup_hour duration_minutes trip_distance fare_amount".split()
+    columns = ["pickup_ts", "dropoff_ts", "pickup_day", "pickup_hour", "duration_minutes", "trip_distance", "fare_amount"]
     columns += ["total_amount", "tip_amount", "payment_type", "vendor_id"]
     kept = question_trips(trips, "payments", window).select(*columns)
     return Answer(
@@ -69,7 +69,7 @@ def _payments(trips, zones, window) -> Answer:
 
 
 def _flows(trips, zones, window) -> Answer:
-    columns = "pu_borough do_borough pu_zone do_zone airport_trip airport_fee total_amount".split()
+    columns = ["pu_borough", "do_borough", "pu_zone", "do_zone", "airport_trip", "airport_fee", "total_amount"]
     ends = flows.with_endpoints(trips, zones, window).select(*columns, "trip_distance", "duration_minutes")
     return Answer(
         {

@@ -39,7 +39,7 @@ def run_report(
     kept = [df.persist() for df in (*shared, *tables.values())]
     try:
         for t, df in tables.items():
-            write_csv_table(df, paths[f"table:{t}"], mode)
+            write_csv_table(df, paths[f"table:{t}"], mode, single_file=True)
             write_text(spark, plans[t], paths[f"plan:{t}"], mode)
         elapsed = round(time.monotonic() - started, 3)
         previews = [_preview(df, preview_rows).alias(f"{t}_preview") for t, df in tables.items()]

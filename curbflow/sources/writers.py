@@ -30,7 +30,7 @@ def write_partitioned(df: DataFrame, path: str, by=(), mode: str = "errorifexist
 
 
 def write_csv_table(
-    df: DataFrame, path: str, mode: str = "errorifexists", *, single_file: bool = True
+    df: DataFrame, path: str, mode: str = "errorifexists", *, single_file: bool = False
 ) -> None:
     """A headed CSV result table.  ``single_file`` is for limited or grouped results only."""
     out = df.coalesce(1) if single_file else df
@@ -57,7 +57,14 @@ def plan_text(df: DataFrame, mode: str = "extended") -> str:
 
 
 def dataset_footprint(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """One row: path, total bytes and number of data files.  File contents are not read."""
+    """One row: path, total bytes and number of data files, 0 for a path that does not exist.
+
+    File contents are not read.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        zero = F.lit(0).cast("long")
+        return spark.range(1).select(F.lit(path).alias("path"), zero.alias("bytes"), zero.alias("files"))
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)

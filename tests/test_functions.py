@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curbflow.functions import columns as C
-from curbflow.functions import labels, predicates
+from curbflow.functions import labels, measures, predicates
 from curbflow.functions.udf import haversine_udf
 from curbflow.params import TripWindow
 from tests.conftest import at, rows_of
@@ -160,3 +160,12 @@ def test_labels(spark):
         ("Queens : JFK - 7", "Queens → JFK", "JFK (h=7)", "JFK (Queens)"),
         ("Unknown : Unknown - 7", "Unknown → Unknown", "Unknown (h=7)", "132"),
     ]
+
+
+def test_sums_of_cents_do_not_depend_on_partitions(spark):
+    cents = spark.range(20_000).selectExpr("cast(id * 7919 % 100003 as double) / 100 AS total_amount", "id % 3 AS k")
+    sums = [
+        rows_of(cents.repartition(n).groupBy("k").agg(measures.exact_sum("total_amount"), measures.exact_mean("total_amount")).orderBy("k"))
+        for n in (1, 64)
+    ]
+    assert sums[0] == sums[1]

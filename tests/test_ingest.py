@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curbflow.contracts import RAW_ZONES, TRIPS_GEO, TRIPS_ZONED, ZONES
+from curbflow.operators import ingest
 from curbflow.operators.ingest import ingest_quality, ingest_trips, ingest_zones
 from curbflow.plans.ingest import run_trip_ingest, run_zone_ingest
 from curbflow.sources import readers, writers
@@ -146,10 +147,17 @@ def test_footprint(spark, folder):
 
 def test_result_table_round_trip(spark, folder):
     table = spark.createDataFrame([(1, "a,b", 0.5), (2, None, 1.0)], "k int, name string, v double")
-    writers.write_csv_table(table, f"{folder}/r")
+    writers.write_csv_table(table, f"{folder}/r", single_file=True)
     assert len(list(Path(f"{folder}/r").glob("part-*.csv"))) == 1
     assert sorted(rows_of(readers.read_result_table(spark, f"{folder}/r"))) == [(1, "a,b", 0.5), (2, None, 1.0)]
     writers.write_csv_table(table.repartition(2), f"{folder}/r", "overwrite", single_file=False)
     assert readers.read_result_table(spark, f"{folder}/r").count() == 2
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         readers.read_result_table(spark, f"{folder}/nothing")
+
+
+def test_texts_that_are_not_finite_are_null(spark, folder):
+    raw = spark.createDataFrame([("NaN",), ("Infinity",), ("-Infinity",), ("1.5",), ("x",)], "fare_amount string")
+    typed = raw.select(ingest._typed("fare_amount", "fare_amount", "double", ""))
+    assert rows_of(typed) == [(None,), (None,), (None,), (1.5,), (None,)]
+    assert rows_of(writers.dataset_footprint(spark, f"{folder}/nothing")) == [(f"{folder}/nothing", 0, 0)]

@@ -27,8 +27,21 @@ def test_value_distribution(make_trips):
         ("t", 22, 2),
     ]
     dense = rows_of(profile.value_distribution(trips, "pickup_hour", "t", densify=range(24)))
-    assert [h for _, h, _ in dense] == list(range(24))
-    assert {h: n for _, h, n in dense if n} == {1: 1, 22: 2}
+    assert [h for _, h, _ in dense] == [None, *range(24)]
+    assert {h: n for _, h, n in dense if n} == {None: 1, 1: 1, 22: 2}
+    narrow = rows_of(profile.value_distribution(trips, "pickup_hour", "t", densify=range(20, 22)))
+    assert {h: n for _, h, n in narrow} == {None: 1, 1: 1, 20: 0, 21: 0, 22: 2}
+
+
+def test_numbers_that_are_not_finite(spark):
+    rows = [(float("inf"),), (float("nan"),), (float("-inf"),), (12.0,), (0.0,), (None,)]
+    df = spark.createDataFrame(rows, "fare_amount double")
+    assert rows_of(profile.log_histogram(df, "t", ["fare_amount"])) == [("t", "fare_amount", None, 2), ("t", "fare_amount", 1, 1)]
+    histogram = profile.log_histogram(df, "t", ["fare_amount"])
+    assert profile.densify_histogram(histogram, ["t", "u"]).agg(F.sum("count")).first()[0] == 3
+    assert rows_of(profile.sign_counts(df, "t", ["fare_amount"])) == [("t", "fare_amount", 1, 1, 2, 6)]
+    finite = df.filter("abs(fare_amount) < 1e9 or isnan(fare_amount)")
+    assert rows_of(profile.numeric_summary(finite, "t", ["fare_amount"]))[0][2:] == (2, 0.0, 0.0, 0.0, 12.0, 12.0, 6.0)
 
 
 @pytest.mark.parametrize("accuracy", [None, 10000])

@@ -287,13 +287,16 @@ def test_imbalance_rankings(spark):
 
 def test_matrices(spark):
     table = _imbalance(spark, [(1, 8, "a", 9, 1), (2, 8, "a", 1, 9), (1, 7, "b", 9, 1), (1, 5, "c", 5, 4)])
-    assert rows_of(reshape.imbalance_matrix(table, (1, 2), n=2)) == [("a", 0.8, -0.8), ("b", 0.8, None)]
+    assert rows_of(reshape.imbalance_matrix(table, (1, 2), n=2)) == [("a", 0.8, -0.8, None), ("b", 0.8, None, None)]
+    assert rows_of(reshape.imbalance_matrix(table, (1,), n=2)) == [("a", 0.8, -0.8), ("b", 0.8, None)]
     table = spark.createDataFrame([("A", "B", 3), ("A", "A", 1), ("C", "B", 2)], "pu_borough string, do_borough string, trips bigint")
-    assert rows_of(reshape.flow_matrix(table, ["A", "B"])) == [("A", 1, 3), ("C", 0, 2)]
+    assert rows_of(reshape.flow_matrix(table, ["A", "B"])) == [("A", 1, 3, 0), ("C", 0, 2, 0)]
+    assert rows_of(reshape.flow_matrix(table.unionByName(table.selectExpr("pu_borough", "NULL AS do_borough", "trips")), ["A"])) == [("A", 1, 7), ("C", 0, 4)]
     nulls = spark.createDataFrame(
         [("x", "a", 10.0), ("y", "a", 5.0), ("y", "b", 1.0)], "dataset string, column_name string, null_percentage double"
     )
-    assert rows_of(reshape.null_matrix(nulls, ["x", "y"])) == [("a", 10.0, 5.0), ("b", 0.0, 1.0)]
+    assert rows_of(reshape.null_matrix(nulls, ["x", "y"])) == [("a", 10.0, 5.0, 0.0), ("b", 0.0, 1.0, 0.0)]
+    assert rows_of(reshape.null_matrix(nulls, ["x"])) == [("a", 10.0, 5.0), ("b", 0.0, 1.0)]
 
 
 # Change between month halves
