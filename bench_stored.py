@@ -73,7 +73,7 @@ def main() -> None:
     by_hour = read_parquet(spark, f"{folder}/hour")
     zones = zones_like(spark, source)
     geometry = speed.with_trip_geometry(by_hour)
-    ends = flows.with_endpoints(by_day, zones)
+    groups = flows.flow_groups(by_day, zones)
     imbalances = imbalance.zone_imbalance(by_day, zones)
     change = od_change.od_period_change(by_day)
     questions = {
@@ -87,8 +87,8 @@ def main() -> None:
         "payment_mix_by_hour": payments.payment_mix_by_hour(by_day),
         "payment_mix_by_vendor": payments.payment_mix_by_vendor(by_day),
         "card_vs_cash": payments.card_vs_cash(by_day),
-        "borough_flows": flows.borough_flows(ends),
-        "airport_routes": flows.airport_routes(ends),
+        "borough_flows": flows.borough_flows(groups),
+        "airport_routes": flows.airport_routes(groups),
         "imbalance_top_abs": imbalance.rank_imbalance(imbalances, "absolute"),
         "imbalance_by_hour": imbalance.imbalance_by_hour(imbalances),
         "od_top_increase": od_change.rank_od_change(change, "increase"),

@@ -11,6 +11,7 @@ from curbflow.operators.flows import (
     airport_zones,
     borough_flow_table,
     borough_flows,
+    flow_groups,
     with_endpoints,
 )
 from curbflow.operators.imbalance import imbalance_by_hour, rank_imbalance, zone_activity, zone_imbalance
@@ -70,6 +71,7 @@ __all__ = [
     "speed_by_hour",
     "top_keys",
     "value_distribution",
+    "flow_groups",
     "with_endpoints",
     "with_trip_geometry",
     "zone_activity",

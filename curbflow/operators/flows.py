@@ -41,13 +41,17 @@ def with_endpoints(
     A pickup also counts as an airport pickup when an airport fee was paid; a dropoff does
     not, as the fee is charged where the trip starts.
     """
-    joined = question_trips(trips, "flows", window)
+    rows = question_trips(trips, "flows", window)
+    return _named(rows, zones, F.col("airport_fee") > 0, airport_pattern, airport_special, strategy)
+
+
+def _named(rows: DataFrame, zones: DataFrame, paid: Column, pattern: str, special: Column | None, strategy: str) -> DataFrame:
+    """Rows with location ids, with the names of both ends and airport flags; ``paid``: an airport fee was paid."""
     for side in ("pu", "do"):
-        ends = dimension(_end(zones, side, airport_pattern, airport_special), strategy)
-        joined = joined.join(ends, f"{side}_location_id", "left")
-    named = C.fill_unknown(joined, *[f"{side}_{name}" for side in ("pu", "do") for name in NAMES])
+        rows = rows.join(dimension(_end(zones, side, pattern, special), strategy), f"{side}_location_id", "left")
+    named = C.fill_unknown(rows, *[f"{side}_{name}" for side in ("pu", "do") for name in NAMES])
     false = F.lit(False)
-    pickup = F.coalesce("pu_at_airport", false) | F.coalesce(F.col("airport_fee") > 0, false)
+    pickup = F.coalesce("pu_at_airport", false) | F.coalesce(paid, false)
     dropoff = F.coalesce("do_at_airport", false)
     return named.withColumns(
         {
@@ -58,17 +62,48 @@ def with_endpoints(
     ).drop("pu_at_airport", "do_at_airport")
 
 
-def borough_flow_table(ends: DataFrame) -> DataFrame:
-    """All borough-to-borough flows of ``with_endpoints`` rows, with their share of all trips."""
+def flow_groups(
+    trips: DataFrame,
+    zones: DataFrame,
+    window: TripWindow = TripWindow(),
+    *,
+    airport_pattern: str = C.AIRPORT_PATTERN,
+    airport_special: Column | None = None,
+    strategy: str = "auto",
+) -> DataFrame:
+    """The trips of ``with_endpoints``, summed by both location ids and whether an airport fee was paid.
+
+    Trips are added up before the zones are joined: at most two rows per pair of zones meet the
+    zone table, however many trips a zone has and whichever join is asked for.
+    """
+    paid = F.coalesce(F.col("airport_fee") > 0, F.lit(False)).alias("fee_paid")
+    values = {
+        "total_amount": M.money("total_amount"),
+        "trip_distance": M.money("trip_distance"),
+        "airport_fee": M.money(F.coalesce("airport_fee", F.lit(0.0))),
+        "duration_seconds": C.whole_seconds("duration_minutes"),
+    }
+    sums = [part for name, value in values.items() for part in (F.sum(value).alias(name), F.count(value).alias(f"{name}_n"))]
+    groups = question_trips(trips, "flows", window).groupBy("pu_location_id", "do_location_id", paid).agg(M.trips(), *sums)
+    return _named(groups, zones, F.col("fee_paid"), airport_pattern, airport_special, strategy)
+
+
+def _mean(name: str, per: float = 1.0) -> Column:
+    """Mean over all trips of some groups, from their exact sums."""
+    return F.try_divide(F.sum(name).cast("double"), F.lit(per) * F.sum(f"{name}_n"))
+
+
+def borough_flow_table(groups: DataFrame) -> DataFrame:
+    """All borough-to-borough flows of ``flow_groups``, with their share of all trips."""
     return (
-        ends.groupBy("pu_borough", "do_borough")
+        groups.groupBy("pu_borough", "do_borough")
         .agg(
-            M.trips(),
-            M.amount(M.exact_sum("total_amount"), "total_revenue"),
-            M.amount(M.exact_mean("total_amount"), "avg_total_amount"),
-            M.amount(M.exact_mean("trip_distance"), "avg_trip_distance"),
-            M.amount(M.mean_minutes(), "avg_duration_minutes"),
-            M.share(F.avg("airport_trip"), "airport_trip_share"),
+            F.sum("trips").alias("trips"),
+            M.amount(F.sum("total_amount").cast("double"), "total_revenue"),
+            M.amount(_mean("total_amount"), "avg_total_amount"),
+            M.amount(_mean("trip_distance"), "avg_trip_distance"),
+            M.amount(_mean("duration_seconds", 60.0), "avg_duration_minutes"),
+            M.share(M.total_ratio(F.col("airport_trip") * F.col("trips"), "trips"), "airport_trip_share"),
         )
         .select(
             "pu_borough",
@@ -84,26 +119,26 @@ def borough_flow_table(ends: DataFrame) -> DataFrame:
     )
 
 
-def borough_flows(ends: DataFrame, k: int = 20) -> DataFrame:
+def borough_flows(groups: DataFrame, k: int = 20) -> DataFrame:
     """The ``k`` largest borough-to-borough flows."""
     return (
-        borough_flow_table(ends)
+        borough_flow_table(groups)
         .orderBy(F.desc("trips"), F.desc("total_revenue"), "pu_borough", "do_borough")
         .limit(k)
     )
 
 
-def airport_routes(ends: DataFrame, k: int = 20) -> DataFrame:
+def airport_routes(groups: DataFrame, k: int = 20) -> DataFrame:
     """The ``k`` busiest zone-to-zone routes among airport trips."""
     return (
-        ends.filter(F.col("airport_trip") == 1)
+        groups.filter(F.col("airport_trip") == 1)
         .groupBy("pu_zone", "do_zone")
         .agg(
-            M.trips(),
-            M.amount(M.exact_mean(F.coalesce("airport_fee", F.lit(0.0))), "avg_airport_fee"),
-            M.amount(M.exact_mean("total_amount"), "avg_total_amount"),
-            M.amount(M.mean_minutes(), "avg_duration_minutes"),
-            M.amount(M.exact_mean("trip_distance"), "avg_trip_distance"),
+            F.sum("trips").alias("trips"),
+            M.amount(_mean("airport_fee"), "avg_airport_fee"),
+            M.amount(_mean("total_amount"), "avg_total_amount"),
+            M.amount(_mean("duration_seconds", 60.0), "avg_duration_minutes"),
+            M.amount(_mean("trip_distance"), "avg_trip_distance"),
         )
         .orderBy(F.desc("trips"), F.desc("avg_total_amount"), "pu_zone", "do_zone")
         .limit(k)

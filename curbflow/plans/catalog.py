@@ -73,6 +73,12 @@ def _ends(spark, folder, **kwargs) -> DataFrame:
     )
 
 
+def _flow_groups(spark, folder, **kwargs) -> DataFrame:
+    return flows.flow_groups(
+        trips_like(spark, folder), zones_like(spark, folder), WINDOW, **_airport_rule(), **kwargs
+    )
+
+
 def _geometry_rows(spark, folder) -> DataFrame:
     geometry = _geometry(spark, folder).select(
         *speed.EXTREME_COLUMNS, F.round("haversine_mi", 6).alias("haversine_mi"), "congestion_candidate"
@@ -181,7 +187,7 @@ def _display_labels(spark, folder) -> DataFrame:
     per_zone = named.groupBy("pu_location_id", "zone", "borough").agg(F.sum("trips").alias("trips"))
     hours = named.groupBy("zone", F.col("pickup_hour").alias("hour")).agg(F.sum("trips").alias("trips"))
     return (
-        labelled("flow", flows.borough_flow_table(_ends(spark, folder)), labels.flow_label())
+        labelled("flow", flows.borough_flow_table(_flow_groups(spark, folder)), labels.flow_label())
         .unionByName(labelled("revenue", _revenue(spark, folder), labels.zone_bucket_label()))
         .unionByName(labelled("zone", per_zone, labels.zone_label()))
         .unionByName(labelled("zone_hour", hours, labels.zone_hour_label()))
@@ -230,11 +236,11 @@ def registered() -> dict:
         "payment_mix_by_vendor": _on_trips(payments.payment_mix_by_vendor, WINDOW),
         "card_vs_cash": _on_trips(payments.card_vs_cash, WINDOW),
         "with_endpoints": _endpoint_rows,
-        "borough_flows": lambda s, d: flows.borough_flows(_ends(s, d), WINDOW.top_k),
+        "borough_flows": lambda s, d: flows.borough_flows(_flow_groups(s, d), WINDOW.top_k),
         "borough_flows_merge_join": lambda s, d: flows.borough_flows(
-            _ends(s, d, strategy="merge"), WINDOW.top_k
+            _flow_groups(s, d, strategy="merge"), WINDOW.top_k
         ),
-        "airport_routes": lambda s, d: flows.airport_routes(_ends(s, d), WINDOW.top_k),
+        "airport_routes": lambda s, d: flows.airport_routes(_flow_groups(s, d), WINDOW.top_k),
         "airport_zones": lambda s, d: flows.airport_zones(zones_like(s, d), **_airport_rule()),
         "zone_imbalance": _imbalance,
         "imbalance_top_positive": lambda s, d: imbalance.rank_imbalance(_imbalance(s, d), "positive"),
@@ -262,9 +268,9 @@ def registered() -> dict:
         "ingest_trips_zoned": _ingest_trips(TRIPS_ZONED, geo=False),
         "ingest_trips_geo": _ingest_trips(TRIPS_GEO, geo=True),
         "ingest_zones": _ingest_zones,
-        "flow_matrix": lambda s, d: reshape.flow_matrix(flows.borough_flow_table(_ends(s, d)), BOROUGHS),
+        "flow_matrix": lambda s, d: reshape.flow_matrix(flows.borough_flow_table(_flow_groups(s, d)), BOROUGHS),
         # Lists that leave values out: those are in the column `other`.
-        "flow_matrix_other": lambda s, d: reshape.flow_matrix(flows.borough_flow_table(_ends(s, d)), BOROUGHS[1:3]),
+        "flow_matrix_other": lambda s, d: reshape.flow_matrix(flows.borough_flow_table(_flow_groups(s, d)), BOROUGHS[1:3]),
         "imbalance_matrix_other": lambda s, d: reshape.imbalance_matrix(_imbalance(s, d), WINDOW.hours[:2]),
         "null_matrix_other": lambda s, d: reshape.null_matrix(_null_profile(s, d), ["zones"]),
         "imbalance_matrix": lambda s, d: reshape.imbalance_matrix(_imbalance(s, d), WINDOW.hours),

@@ -1,4 +1,7 @@
-"""Question families: the result tables of each, from one pass over the trips, and the runs that write them."""
+"""Question families: the result tables of each, and the runs that write them.
+
+Only grouped frames are kept for several tables; trips are read again, pruned, rather than kept.
+"""
 
 from __future__ import annotations
 
@@ -16,7 +19,7 @@ from curbflow.plans.report import run_report
 
 @dataclass(frozen=True)
 class Answer:
-    """Result tables by name, and the reduced frames that several of them are made from."""
+    """Result tables by name, and the grouped frames that several of them are made from."""
 
     tables: dict[str, DataFrame]
     shared: tuple[DataFrame, ...] = field(default=())
@@ -30,8 +33,7 @@ def _demand(trips, zones, window) -> Answer:
         {
             "top_hours": demand.demand_top_hours(kept, window),
             "time_band_summary": demand.demand_by_band(kept, window),
-        },
-        (kept,),
+        }
     )
 
 
@@ -42,8 +44,7 @@ def _speed(trips, zones, window) -> Answer:
             "by_hour": speed.speed_by_hour(geometry),
             "slowest_per_km": speed.extreme_trips(geometry, "slowest"),
             "fastest": speed.extreme_trips(geometry, "fastest"),
-        },
-        (geometry,),
+        }
     )
 
 
@@ -63,21 +64,19 @@ def _payments(trips, zones, window) -> Answer:
             "by_hour_payment": payments.payment_mix_by_hour(kept, window),
             "vendor_payment": payments.payment_mix_by_vendor(kept, window),
             "card_vs_cash": payments.card_vs_cash(kept, window),
-        },
-        (kept,),
+        }
     )
 
 
 def _flows(trips, zones, window) -> Answer:
-    columns = ["pu_borough", "do_borough", "pu_zone", "do_zone", "airport_trip", "airport_fee", "total_amount"]
-    ends = flows.with_endpoints(trips, zones, window).select(*columns, "trip_distance", "duration_minutes")
+    groups = flows.flow_groups(trips, zones, window)
     return Answer(
         {
-            "borough_flows": flows.borough_flows(ends, window.top_k),
-            "airport_routes": flows.airport_routes(ends, window.top_k),
+            "borough_flows": flows.borough_flows(groups, window.top_k),
+            "airport_routes": flows.airport_routes(groups, window.top_k),
             "airport_zone_examples": flows.airport_zones(zones),
         },
-        (ends,),
+        (groups,),
     )
 
 

@@ -46,8 +46,8 @@ WINDOWED = {
     "mix": lambda t, z: payments.payment_mix_by_hour(t),
     "vendor": lambda t, z: payments.payment_mix_by_vendor(t),
     "cards": lambda t, z: payments.card_vs_cash(t),
-    "flows": lambda t, z: flows.borough_flows(flows.with_endpoints(t, z)),
-    "routes": lambda t, z: flows.airport_routes(flows.with_endpoints(t, z)),
+    "flows": lambda t, z: flows.borough_flows(flows.flow_groups(t, z)),
+    "routes": lambda t, z: flows.airport_routes(flows.flow_groups(t, z)),
     "imbalance": lambda t, z: imbalance.zone_imbalance(t, z),
 }
 
@@ -166,6 +166,16 @@ def test_revenue_joins_groups_not_trips(stored, zones):
     assert plan.index("BroadcastHashJoin") < plan.index("partial_sum(try_cast(total_amount")
 
 
+@pytest.mark.parametrize("strategy", ["auto", "merge"])
+@pytest.mark.parametrize("table", [flows.borough_flows, flows.airport_routes])
+def test_flows_join_groups_not_trips(stored, zones, table, strategy):
+    plan = plan_text(table(flows.flow_groups(stored, zones, strategy=strategy)), "simple")
+    below = plan[plan.index("partial_sum(try_cast(total_amount") :]
+    assert "Join" in plan and len(trip_scans(table(flows.flow_groups(stored, zones, strategy=strategy)))) == 1
+    # Indented further than the aggregate of trips: what it reads, up to the next branch of the plan.
+    assert "Join" not in below[: below.index("/trips")]
+
+
 def test_samples_are_limited_before_the_shuffle(stored):
     assert "WindowGroupLimit" in plan_text(profile.anomaly_samples(stored, "t"), "simple")
 

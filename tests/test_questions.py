@@ -206,17 +206,18 @@ def test_endpoints_and_airport_flags(make_trips, zones):
         ("Unknown", "Newark", 0, 1, 1),
         ("Unknown", "Unknown", 0, 0, 0),
     ]
-    table = rows_of(flows.borough_flows(ends), "pu_borough", "do_borough", "trips", "trip_share", "airport_trip_share")
+    groups = flows.flow_groups(trips, zones)
+    table = rows_of(flows.borough_flows(groups), "pu_borough", "do_borough", "trips", "trip_share", "airport_trip_share")
     assert table == [
         ("Manhattan", "Manhattan", 2, 0.4, 0.5),
         ("Manhattan", "Queens", 1, 0.2, 1.0),
         ("Unknown", "EWR", 1, 0.2, 1.0),
         ("Unknown", "Unknown", 1, 0.2, 0.0),
     ]
-    routes = rows_of(flows.airport_routes(ends, 2), "pu_zone", "do_zone", "trips", "avg_airport_fee")
+    routes = rows_of(flows.airport_routes(groups, 2), "pu_zone", "do_zone", "trips", "avg_airport_fee")
     assert routes == [("Midtown", "Harlem", 1, 1.75), ("Midtown", "JFK Airport", 1, 0.0)]
-    merged = flows.with_endpoints(trips, zones, strategy="merge")
-    assert rows_of(flows.borough_flows(merged)) == rows_of(flows.borough_flows(ends))
+    merged = flows.flow_groups(trips, zones, strategy="merge")
+    assert rows_of(flows.borough_flows(merged)) == rows_of(flows.borough_flows(groups))
 
 
 def test_airport_zone_list(zones):
