@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -137,22 +138,24 @@ class Automaton:
         return spans, names, longest
 
 
-def automata(items: DataFrame, window: int = 10, block_words: int = BLOCK_WORDS) -> list[Automaton]:
-    """One automaton for each block of items; blocks are dealt by the item's hash and hold about block_words words."""
+def automata(items: DataFrame, window: int = 10, block_words: int = BLOCK_WORDS) -> Iterator[tuple[Automaton, bool]]:
+    """One automaton after the other for blocks of items, and whether it is the last; without items an empty one.
+
+    Blocks are dealt by the item's hash and hold about block_words words; repeated items count once. The driver holds one
+    block at a time, however many items there are.
+    """
 
     def run(batch: pa.RecordBatch) -> dict:
         words = [b" ".join(item_words(t)) for t in texts(batch)]
         return {"item_id": batch.column("item_id"), "words": words, "n": [w.count(b" ") + 1 for w in words]}
 
     kept = items.select(F.col("item_id").cast("string"), "text").filter("text is not null")
-    kept = stored(map_slices(kept, run, "item_id string, words binary, n long"))
-    total = kept.agg(F.sum("n")).first()[0] or 0
-    blocks = -(-total // block_words)
-    kept = kept.withColumn("block", F.pmod(F.xxhash64("item_id", "words"), F.lit(max(1, blocks))))
-    return [
-        Automaton([(r["item_id"], bytes(r["words"]).split()) for r in kept.filter(F.col("block") == b).sort("item_id", "words").collect()], window)
-        for b in range(blocks)
-    ]
+    kept = stored(map_slices(kept, run, "item_id string, words binary, n long").distinct())
+    blocks = max(1, -(-(kept.agg(F.sum("n")).first()[0] or 0) // block_words))
+    kept = kept.withColumn("block", F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks)))
+    for block in range(blocks):
+        own = kept.filter(F.col("block") == block).sort("item_id", "words").collect()
+        yield Automaton([(r["item_id"], bytes(r["words"]).split()) for r in own], window), block + 1 == blocks
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -166,14 +169,12 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, block_wor
     of a block of bounded size is broadcast, and the documents stream past one block after the other.
     """
     result = docs.select("doc_id", "text")
-    blocks = automata(items, window, block_words) or [Automaton([], window)]
     schema = "doc_id {kind}, text string, n_words long, spans array<struct<start: int, end: int>>, items array<string>, longest long"
     kind = result.schema["doc_id"].dataType.simpleString()
-    for number, automaton in enumerate(blocks):
+    for automaton, last in automata(items, window, block_words):
         shared = Shared(docs.sparkSession, automaton)
-        keep_text = number + 1 < len(blocks)
-        result = map_slices(result, _scanner(shared, keep_text), schema.format(kind=kind))
-        if keep_text:
+        result = map_slices(result, _scanner(shared, not last), schema.format(kind=kind))
+        if not last:
             result = stored(result)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
     return result.select("doc_id", "n_words", hit.alias("n_hit"), "items", "longest")
@@ -222,8 +223,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, max_cover
     """
     counted = "n_chars" in docs.columns
     result = docs
-    blocks = automata(items, window, block_words)
-    for number, automaton in enumerate(blocks):
+    for automaton, last in automata(items, window, block_words):
         shared = Shared(docs.sparkSession, automaton)
 
         def run(batch: pa.RecordBatch) -> dict | None:
@@ -245,7 +245,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, max_cover
             return out
 
         result = map_slices(result, run, _ddl(docs))
-        if number + 1 < len(blocks):
+        if not last:
             result = stored(result)
     return result
 
