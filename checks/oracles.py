@@ -140,12 +140,13 @@ geometry AS (
 )"""
 
 
-def _speed_by_hour(min_straight_km: float) -> str:
+def _speed_by_hour(min_straight_km: float, exact: bool = True) -> str:
+    median, p90 = (r(f"quantile_disc(duration_minutes, {p})") if exact else "true" for p in (0.5, 0.9))
     return f"""{steps(TRIPS, _geometry(min_straight_km))}
 SELECT pickup_hour, count(*) AS trips,
   {r("avg(duration_minutes)")} AS avg_duration_minutes,
-  {r("quantile_disc(duration_minutes, 0.5)")} AS median_duration_minutes,
-  {r("quantile_disc(duration_minutes, 0.9)")} AS p90_duration_minutes,
+  {median} AS median_duration_minutes,
+  {p90} AS p90_duration_minutes,
   {r("avg(speed_kmh)")} AS avg_speed_kmh,
   {r("sum(trip_distance_km) / (sum(duration_minutes) / 60)")} AS agg_speed_kmh,
   {r("avg(haversine_km)")} AS avg_haversine_km,
@@ -451,13 +452,22 @@ DAY_DENSE, DAY_DENSE_FROM_20 = _day_dense(1, 32), _day_dense(20, 40)
 
 
 _SUMMARY = ("trip_distance", "trip_distance_km", "duration_minutes", "fare_amount", "tip_amount", "total_amount")
-NUMERIC_SUMMARY = f"""{steps(TRIPS)} {" UNION ALL ".join(
-    f'''SELECT 'trips' AS dataset, '{c}' AS column_name, count({c}) AS non_null_count, min({c}) AS min,
-  quantile_disc({c}, 0.25) AS p25, quantile_disc({c}, 0.5) AS median, quantile_disc({c}, 0.75) AS p75,
+
+
+def _numeric_summary(exact: bool) -> str:
+    def quartile(c: str, p: float) -> str:
+        return f"quantile_disc({c}, {p})" if exact else "true"
+
+    return f"""{steps(TRIPS)} {" UNION ALL ".join(
+        f'''SELECT 'trips' AS dataset, '{c}' AS column_name, count({c}) AS non_null_count, min({c}) AS min,
+  {quartile(c, 0.25)} AS p25, {quartile(c, 0.5)} AS median, {quartile(c, 0.75)} AS p75,
   max({c}) AS max, {r(f"avg({c})", 6)} AS avg
 FROM trips'''
-    for c in _SUMMARY
-)}"""
+        for c in _SUMMARY
+    )}"""
+
+
+NUMERIC_SUMMARY, NUMERIC_SUMMARY_KEPT = _numeric_summary(True), _numeric_summary(False)
 
 
 def _histogram(dataset: str, column: str, source: str) -> str:
@@ -509,11 +519,33 @@ ANOMALIES = f"""{steps(TRIPS)} {" UNION ALL ".join(
 FROM trips WHERE {where}) WHERE rank <= 5'''
     for kind, where, order in _KINDS
 )}"""
-_DESCRIBED = ("trip_distance", "passenger_count", "total_amount")
-DESCRIBE = f"""{steps(TRIPS)} {" UNION ALL ".join(
-    f"SELECT '{name}' AS summary, " + ", ".join(f"{r(f'{fn}({c})', 6)} AS {c}" for c in _DESCRIBED) + " FROM trips"
-    for name, fn in (("count", "count"), ("mean", "avg"), ("stddev", "stddev_samp"), ("min", "min"), ("max", "max"))
-)}"""
+_MEASURES = (("count", "count"), ("mean", "avg"), ("stddev", "stddev_samp"), ("min", "min"), ("max", "max"))
+
+
+def _describe(source: str, numbers, texts=()) -> str:
+    def columns(fn: str) -> str:
+        of_texts = {"avg": "CAST(NULL AS VARCHAR)", "stddev_samp": "CAST(NULL AS VARCHAR)"}
+        cells = [f"{r(f'{fn}({c})', 6)} AS {c}" for c in numbers]
+        cells += [f"{of_texts.get(fn, f'CAST({fn}({c}) AS VARCHAR)')} AS {c}" for c in texts]
+        return ", ".join(cells)
+
+    return " UNION ALL ".join(f"SELECT '{name}' AS summary, {columns(fn)} FROM {source}" for name, fn in _MEASURES)
+
+
+_TIMES = ("pickup_ts", "dropoff_ts", "pickup_date")
+DESCRIBE = f"{steps(TRIPS)} {_describe('trips', [c for c in _TRIP_COLUMNS if c not in _TIMES])}"
+DESCRIBE_EVENTS = _describe("events", ("event_id", "user_id", "value"), ("event_type", "props"))
+SCHEMA = """WITH fields AS (
+  SELECT row_number() OVER () AS place, column_name AS name,
+    CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp_ntz' END AS kind
+  FROM (DESCRIBE events)
+),
+named AS (SELECT *, replace(kind, 'bigint', 'long') AS long_kind FROM fields)
+SELECT 'root' || chr(10) || string_agg(' |-- ' || name || ': ' || long_kind || ' (nullable = true)' || chr(10), '' ORDER BY place) AS tree_string,
+  'struct<' || string_agg(name || ':' || kind, ',' ORDER BY place) || '>' AS simple_string,
+  '{"fields":[' || string_agg('{"metadata":{},"name":"' || name || '","nullable":true,"type":"' || long_kind || '"}', ',' ORDER BY place)
+    || '],"type":"struct"}' AS json
+FROM named"""
 
 # Ingest ------------------------------------------------------------------------------------
 
@@ -579,7 +611,7 @@ ORACLES = {
     **{f"sql_{name}": text for name, text in _QUESTIONS.items()},
     "demand_by_hour": DEMAND_BY_HOUR,
     "demand_events_hourly": DEMAND_EVENTS,
-    "speed_by_hour_approx": _speed_by_hour(0.2),
+    "speed_by_hour_approx": _speed_by_hour(0.2, exact=False),
     "speed_by_hour_any_detour": _speed_by_hour(0.0),
     "with_trip_geometry": GEOMETRY,
     "with_endpoints": ENDPOINTS,
@@ -596,7 +628,7 @@ ORACLES = {
     "day_distribution_dense": DAY_DENSE,
     "day_distribution_dense_from_20": DAY_DENSE_FROM_20,
     "numeric_summary": NUMERIC_SUMMARY,
-    "numeric_summary_approx": NUMERIC_SUMMARY,
+    "numeric_summary_approx": NUMERIC_SUMMARY_KEPT,
     "log_histogram": LOG_HISTOGRAM,
     "log_histogram_dense": HISTOGRAM_DENSE,
     "sign_counts": SIGN_COUNTS,
@@ -604,6 +636,8 @@ ORACLES = {
     "top_keys": TOP_KEYS,
     "anomaly_samples": ANOMALIES,
     "describe_table": DESCRIBE,
+    "describe_events": DESCRIBE_EVENTS,
+    "schema_table": SCHEMA,
     "ingest_quality": QUALITY,
     "ingest_trips_zoned": _ingested(_ZONED),
     "ingest_trips_geo": _ingested(_GEO),

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CELLS_PER_OCTAVE = 4096
+# Equal parts into which the range of one such cell is cut.
+PARTS_PER_CELL = 4096
 
 
 def value_at(probability: float, value: str, cumulative: str, total: str) -> Column:
@@ -44,30 +46,68 @@ def frequency_quantiles(
     """One row per key with one exact quantile column per entry of ``probabilities``.
 
     For any number of distinct values: counts per cell of close values find the cell each
-    quantile lies in, and only the values of those few cells are put in order.
+    quantile lies in, counts per equal part of that cell's own range find the part, and only the values of
+    those few parts are put in order.  A narrow column, all of it in a handful of cells, is split by the second step.
     """
-    celled = freq.withColumn("cell", _cell(value))
-    cells = with_cumulative(
-        celled.groupBy(*keys, "cell").agg(F.sum(count).alias("in_cell")), keys, "cell", "in_cell"
-    ).withColumn("before", F.col("cumulative") - F.col("in_cell"))
     wanted = F.array(
         *[
             F.struct(F.lit(name).alias("quantile"), F.lit(p).alias("p"))
             for name, p in probabilities.items()
         ]
     )
+    celled = freq.withColumn("cell", _cell(value))
     targets = (
-        cells.select(*keys, "cell", "before", "cumulative", "total", F.inline(wanted))
+        _counted(celled, [*keys], "cell", value, count)
+        .select("*", F.inline(wanted))
         .withColumn("rank", F.col("p") * F.col("total"))
-        .filter((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("cumulative")))
-        .select(*keys, "cell", "quantile", (F.col("rank") - F.col("before")).alias("rank"))
     )
-    order = Window.partitionBy(*keys, "quantile").orderBy(value)
+    inside = celled.join(_reached(targets, [*keys, "cell", "quantile"]), [*keys, "cell"])
+    width = F.col("high") - F.col("low")
+    part = F.when(width > 0, F.floor((F.col(value) - F.col("low")) / width * PARTS_PER_CELL)).otherwise(F.lit(0))
+    inside = inside.select(*keys, "quantile", value, count, "rank", F.coalesce(part, F.lit(0)).alias("part"))
+    group = [*keys, "quantile"]
+    ranks = F.first("rank").alias("rank")
+    parts = _reached(_counted(inside, group, "part", value, count, ranks), [*group, "part"])
+    order = Window.partitionBy(*group).orderBy(value)
     found = (
-        celled.join(targets, [*keys, "cell"])
+        inside.drop("rank")
+        .join(parts.drop("low", "high"), [*group, "part"])
         .withColumn("cumulative", F.sum(count).over(order.rowsBetween(Window.unboundedPreceding, 0)))
         .filter(F.col("cumulative") >= F.col("rank"))
     )
     return found.groupBy(*keys).agg(
         *[F.min(F.when(F.col("quantile") == name, F.col(value))).alias(name) for name in probabilities]
     )
+
+
+def _counted(rows: DataFrame, keys: list[str], cell: str, value: str, count: str, *more: Column) -> DataFrame:
+    """Counts of each cell and of those before it, and its smallest and largest value."""
+    ends = (F.min(value).alias("low"), F.max(value).alias("high"))
+    cells = rows.groupBy(*keys, cell).agg(F.sum(count).alias("in_cell"), *ends, *more)
+    cells = with_cumulative(cells, keys, cell, "in_cell")
+    return cells.withColumn("before", F.col("cumulative") - F.col("in_cell"))
+
+
+def _reached(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """The cells in which their rank lies, and the rank within the cell."""
+    reached = (F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("cumulative"))
+    return cells.filter(reached).select(*keys, "low", "high", (F.col("rank") - F.col("before")).alias("rank"))
+
+
+def rank_errors(
+    freq: DataFrame, estimates: DataFrame, keys: list[str], value: str, count: str, probabilities: dict[str, float]
+) -> DataFrame:
+    """How far each estimated quantile is from its rank, as a share of the key's ``total`` count; 0 if exact.
+
+    ``estimates`` has one row per key and one column per entry of ``probabilities``.
+    """
+    joined = freq.join(estimates, keys)
+    below = [F.sum(F.when(F.col(value) < F.col(q), F.col(count)).otherwise(0)).alias(f"below_{q}") for q in probabilities]
+    upto = [F.sum(F.when(F.col(value) <= F.col(q), F.col(count)).otherwise(0)).alias(f"upto_{q}") for q in probabilities]
+    ranked = joined.groupBy(*keys).agg(F.sum(count).alias("total"), *below, *upto)
+    errors = []
+    for q, p in probabilities.items():
+        rank = F.col("total") * p
+        off = F.greatest(F.col(f"below_{q}") - rank, rank - F.col(f"upto_{q}"), F.lit(0.0))
+        errors.append((off / F.col("total")).alias(q))
+    return ranked.select(*keys, "total", *errors)

@@ -26,6 +26,7 @@ from curbflow.operators.profile import (
     log_histogram,
     null_profile,
     numeric_summary,
+    quartile_errors,
     schema_table,
     sign_counts,
     top_keys,
@@ -60,6 +61,7 @@ __all__ = [
     "null_matrix",
     "null_profile",
     "numeric_summary",
+    "quartile_errors",
     "od_period_change",
     "payment_mix_by_hour",
     "payment_mix_by_vendor",

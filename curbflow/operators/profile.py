@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from curbflow.functions import columns as C
 from curbflow.functions.joins import dimension
-from curbflow.functions.quantiles import frequency_quantiles
+from curbflow.functions.quantiles import frequency_quantiles, rank_errors
 
 # Columns profiled by default, and columns shown for a suspicious trip.
 SUMMARY_COLUMNS = (
@@ -133,6 +133,17 @@ def numeric_summary(
     ).orderBy("column_name")
 
 
+def quartile_errors(df: DataFrame, summary: DataFrame) -> DataFrame:
+    """How far the quartiles of a ``numeric_summary`` are from their ranks, as a share of each column's values.
+
+    Exact quartiles have 0; ``percentile_approx`` promises at most ``1 / accuracy``.
+    """
+    names = C.existing(df, SUMMARY_COLUMNS)
+    values = _long(df, names).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    freq = values.groupBy("position", "value").agg(F.count(F.lit(1)).alias("n")).select(_name(names), "value", "n")
+    return rank_errors(freq, summary.select("column_name", *QUARTILES), ["column_name"], "value", "n", QUARTILES)
+
+
 def log_histogram(df: DataFrame, dataset: str, cols=HISTOGRAM_COLUMNS) -> DataFrame:
     """Positive values counted by the power of ten they lie above; infinity and NaN have the bucket NULL."""
     names = C.existing(df, cols)
@@ -217,6 +228,9 @@ def top_keys(
     )
 
 
+# Groups over which rows are dealt out per record of a sample.
+GROUPS_PER_SAMPLE = 32
+
 # Kinds of suspicious trips: the column that shows it, whether its largest or smallest values
 # are the worst, and the rule a value must meet.
 ANOMALIES = {
@@ -228,19 +242,35 @@ ANOMALIES = {
 }
 
 
+def _edges(df: DataFrame, n: int) -> DataFrame:
+    """One row: per kind of anomaly a value that its ``n`` worst rows reach; NULL where any row may be among them.
+
+    Rows are dealt out over groups and the worst value of each group is kept, in one aggregate over
+    the columns concerned: the n-th worst of these is reached by at least ``n`` rows, and by hardly more.
+    """
+    names = list(dict.fromkeys(name for name, _, _ in ANOMALIES.values()))
+    group = F.pmod(F.xxhash64(*names), F.lit(GROUPS_PER_SAMPLE * n))
+    worst, nth = [], []
+    for kind, (name, end, rule) in ANOMALIES.items():
+        value, largest = F.when(rule(F.col(name)), F.col(name)), end == "largest"
+        worst.append((F.max(value) if largest else F.min(value)).alias(kind))
+        nth.append(F.get(F.sort_array(F.collect_list(kind), asc=not largest), n - 1).alias(kind))
+    return df.groupBy(group).agg(*worst).agg(*nth)
+
+
 def anomaly_samples(df: DataFrame, dataset: str, n: int = 5) -> DataFrame:
     """The ``n`` most suspicious records of each kind, numbered from the worst.
 
-    The n-th worst value of each kind is found on that one column first.  Whole records are then
-    read once, and only those that reach such a value, ties included, are ranked.
+    Values that the worst records reach are found in one pass over four columns.  Whole records are
+    then read once, and only those that reach such a value, ties included, are ranked.
     """
     record = C.existing(df, RECORD_COLUMNS)
+    edges = _edges(df, n)
     reached, entries = F.lit(False), []
     for kind, (name, end, rule) in ANOMALIES.items():
         value, largest = F.col(name), end == "largest"
-        worst = df.filter(rule(value)).select(name).orderBy(value.desc() if largest else value.asc()).limit(n)
-        edge = worst.agg(F.min(name) if largest else F.max(name)).scalar()
-        reached |= rule(value) & (value >= edge if largest else value <= edge)
+        edge = edges.select(kind).scalar()
+        reached |= rule(value) & (edge.isNull() | (value >= edge if largest else value <= edge))
         entry = F.struct(
             F.lit(kind).alias("category"),
             F.when(F.lit(largest), value).alias("high"),

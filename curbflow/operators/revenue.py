@@ -59,14 +59,27 @@ def zone_revenue(
     )
 
 
-def supported(grouped: DataFrame) -> DataFrame:
-    """Groups with enough trips for their rates to mean something."""
-    threshold = F.greatest(
+def _threshold(all_trips: str):
+    return F.greatest(
         F.lit(SUPPORT_FLOOR),
-        F.least(F.lit(SUPPORT_CEILING), F.floor(F.col("all_trips") * SUPPORT_SHARE)),
+        F.least(F.lit(SUPPORT_CEILING), F.floor(F.col(all_trips) * SUPPORT_SHARE)),
     )
+
+
+def supported(grouped: DataFrame) -> DataFrame:
+    """Groups with enough trips for their rates to mean something."""
     total = M.whole("trips")
-    return grouped.withColumn("all_trips", total).filter(F.col("trips") >= threshold).drop("all_trips")
+    return (
+        grouped.withColumn("all_trips", total)
+        .filter(F.col("trips") >= _threshold("all_trips"))
+        .drop("all_trips")
+    )
+
+
+def support_threshold(grouped: DataFrame) -> DataFrame:
+    """One number: the trips that a group needs to be ``supported``."""
+    total = grouped.agg(F.coalesce(F.sum("trips"), F.lit(0)).alias("all_trips"))
+    return total.select(_threshold("all_trips").alias("support_threshold"))
 
 
 def rank_zone_revenue(

@@ -14,15 +14,20 @@ from curbflow.functions import columns as C
 from curbflow.functions.predicates import question_trips
 from curbflow.operators import demand, flows, imbalance, od_change, payments, profile, revenue, speed
 from curbflow.params import TripWindow
-from curbflow.plans.report import run_report
+from curbflow.plans.report import rows, run_report
 
 
 @dataclass(frozen=True)
 class Answer:
-    """Result tables by name, and the grouped frames that several of them are made from."""
+    """Result tables by name, the grouped frames that several of them are made from, and numbers about the input."""
 
     tables: dict[str, DataFrame]
     shared: tuple[DataFrame, ...] = field(default=())
+    counts: dict[str, DataFrame | int] = field(default_factory=dict)
+
+
+def _counts(trips: DataFrame, kept: DataFrame, **more) -> dict[str, DataFrame | int]:
+    return {"input_rows": rows(trips), "filtered_rows": rows(kept), **more}
 
 
 def _demand(trips, zones, window) -> Answer:
@@ -33,7 +38,8 @@ def _demand(trips, zones, window) -> Answer:
         {
             "top_hours": demand.demand_top_hours(kept, window),
             "time_band_summary": demand.demand_by_band(kept, window),
-        }
+        },
+        counts=_counts(trips, kept),
     )
 
 
@@ -44,14 +50,22 @@ def _speed(trips, zones, window) -> Answer:
             "by_hour": speed.speed_by_hour(geometry),
             "slowest_per_km": speed.extreme_trips(geometry, "slowest"),
             "fastest": speed.extreme_trips(geometry, "fastest"),
-        }
+        },
+        counts=_counts(trips, geometry),
     )
 
 
 def _revenue(trips, zones, window) -> Answer:
     grouped = revenue.zone_revenue(trips, zones, window)
     return Answer(
-        {f"top_{m}": revenue.rank_zone_revenue(grouped, m, window.top_k) for m in revenue.METRICS}, (grouped,)
+        {f"top_{m}": revenue.rank_zone_revenue(grouped, m, window.top_k) for m in revenue.METRICS},
+        (grouped,),
+        _counts(
+            trips,
+            question_trips(trips, "revenue", window),
+            groups=rows(grouped),
+            support_threshold=revenue.support_threshold(grouped),
+        ),
     )
 
 
@@ -64,7 +78,8 @@ def _payments(trips, zones, window) -> Answer:
             "by_hour_payment": payments.payment_mix_by_hour(kept, window),
             "vendor_payment": payments.payment_mix_by_vendor(kept, window),
             "card_vs_cash": payments.card_vs_cash(kept, window),
-        }
+        },
+        counts=_counts(trips, kept),
     )
 
 
@@ -77,6 +92,7 @@ def _flows(trips, zones, window) -> Answer:
             "airport_zone_examples": flows.airport_zones(zones),
         },
         (groups,),
+        _counts(trips, question_trips(trips, "flows", window)),
     )
 
 
@@ -90,6 +106,12 @@ def _imbalance(trips, zones, window) -> Answer:
             "hourly_summary": imbalance.imbalance_by_hour(table),
         },
         (table,),
+        _counts(
+            trips,
+            question_trips(trips, "imbalance", window),
+            compared_zone_hours=rows(table),
+            activity_threshold=imbalance.ACTIVITY_THRESHOLD,
+        ),
     )
 
 
@@ -101,6 +123,9 @@ def _od_halves(trips, zones, window) -> Answer:
             "top_decrease": od_change.rank_od_change(change, "decrease", window.top_k),
         },
         (change,),
+        _counts(
+            trips, question_trips(trips, "od_change"), compared_pairs=rows(change), least_trips=od_change.MIN_TRIPS
+        ),
     )
 
 
@@ -131,7 +156,7 @@ def run_question(
     """Answer a question family and write its tables, plans and metrics document."""
     found = answer(family, trips, zones, window)
     params = {"days": window.days, "hours": window.hours, "top_k": window.top_k}
-    return run_report(family, found.tables, folder, params, shared=found.shared, **report)
+    return run_report(family, found.tables, folder, params, shared=found.shared, counts=found.counts, **report)
 
 
 def _union(frames) -> DataFrame:

@@ -18,6 +18,7 @@ def run_report(
     params: dict[str, str | int | float | bool] | None = None,
     *,
     shared: tuple[DataFrame, ...] = (),
+    counts: dict[str, DataFrame | int] | None = None,
     run: dict | None = None,
     preview_rows: int = 20,
     mode: str = "overwrite",
@@ -27,7 +28,8 @@ def run_report(
     ``tables`` are result tables: limited or grouped, small.  They are kept while the report
     runs, so that writing, counting and previewing them computes them once.  ``shared`` are
     inputs several tables are made from, already reduced to the columns needed; they are kept
-    too.  ``run`` adds fields such as ``config``, ``run_type`` or ``executor_config_expected``.
+    too.  ``counts`` are numbers, or frames of one number, about the input: rows read, rows
+    kept, thresholds.  ``run`` adds fields such as ``config``, ``run_type`` or ``executor_config_expected``.
     """
     spark = next(iter(tables.values())).sparkSession
     paths = {f"table:{t}": f"{folder}/tables/{name}/{t}" for t in tables}
@@ -43,13 +45,14 @@ def run_report(
             write_text(spark, plans[t], paths[f"plan:{t}"], mode)
         elapsed = round(time.monotonic() - started, 3)
         previews = [_preview(df, preview_rows).alias(f"{t}_preview") for t, df in tables.items()]
-        counts = [df.agg(F.count(F.lit(1))).scalar().alias(t) for t, df in tables.items()]
+        result_rows = [rows(df).scalar().alias(t) for t, df in tables.items()]
         document = spark.range(1).select(
             F.lit(name).alias("job"),
             F.lit(spark.sparkContext.applicationId).alias("spark_application_id"),
             *_fields(run),
             F.struct(*_fields(params)).alias("params") if params else F.lit(None).cast("string").alias("params"),
-            F.struct(*counts).alias("row_counts"),
+            F.struct(*result_rows).alias("row_counts"),
+            *([F.struct(*_fields(counts)).alias("counts")] if counts else []),
             F.struct(*_fields(paths)).alias("output_paths"),
             *previews,
             F.lit(elapsed).alias("elapsed_seconds"),
@@ -61,6 +64,11 @@ def run_report(
     return paths
 
 
+def rows(df: DataFrame) -> DataFrame:
+    """The number of rows, as a frame."""
+    return df.agg(F.count(F.lit(1)).alias("rows"))
+
+
 def _preview(df: DataFrame, rows: int):
     """The first rows of a result table as one array value."""
     return df.limit(rows).agg(F.collect_list(F.struct("*"))).scalar()
@@ -71,6 +79,8 @@ def _fields(values: dict | None) -> list:
 
 
 def _literal(value):
+    if isinstance(value, DataFrame):
+        return value.scalar()
     if isinstance(value, dict):
         return F.struct(*_fields(value))
     if isinstance(value, (list, tuple)):

@@ -5,6 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 import pytest
 
+from curbflow.functions import quantiles
 from curbflow.functions.quantiles import frequency_quantiles
 from curbflow.operators import profile
 from tests.conftest import at, one, rows_of
@@ -81,6 +82,33 @@ def test_one_value_held_by_most_rows(spark):
     assert one(frequency_quantiles(freq, ["k"], "value", "n", {"m": 0.5})).m == exact
 
 
+def test_a_narrow_column_is_split(spark, monkeypatch):
+    """Many values in few cells: only a small part of them is put in order."""
+    values = F.col("id") * 0.12 / 200_000 - 74.02
+    freq = spark.range(200_000).select(F.lit(1).alias("k"), values.alias("value"), (F.col("id") % 3 + 1).alias("n"))
+    ordered = []
+    grouped = quantiles._reached
+    monkeypatch.setattr(quantiles, "_reached", lambda cells, keys: ordered.append(grouped(cells, keys)) or ordered[-1])
+    row = one(frequency_quantiles(freq, ["k"], "value", "n", {"low": 0.25, "median": 0.5}))
+    counted = freq.select(F.explode(F.array_repeat("value", F.col("n").cast("int"))).alias("value"))
+    exact = counted.agg(*[F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY value)") for p in (0.25, 0.5)]).first()
+    assert [row.low, row.median] == list(exact)
+    cells, parts = (df.select("low", "high").collect() for df in ordered)
+    inside = lambda r: freq.filter(F.col("value").between(r.low, r.high)).count()
+    assert min(map(inside, cells)) > 1000 and max(map(inside, parts)) < 50
+
+
+def test_errors_of_approximate_quartiles(spark):
+    df = spark.range(5000).select(F.pow(F.col("id") % 1237, 2).cast("double").alias("fare_amount"))
+    sketch = profile.numeric_summary(df, "t", ["fare_amount"], accuracy=20)
+    coarse = one(profile.quartile_errors(df, sketch))
+    assert coarse.total == 5000 and all(coarse[q] <= 1 / 20 + 1 / 5000 for q in profile.QUARTILES)
+    exact = one(profile.quartile_errors(df, profile.numeric_summary(df, "t", ["fare_amount"])))
+    assert [exact[q] for q in profile.QUARTILES] == [0.0, 0.0, 0.0]
+    wrong = sketch.withColumn("median", F.lit(-1.0))
+    assert one(profile.quartile_errors(df, wrong)).median == 0.5
+
+
 def test_log_histogram(spark):
     df = spark.createDataFrame([(v,) for v in (0.001, 0.5, 1.0, 9.99, 10.0, 1e7, 0.0, -3.0, None)], "trip_distance double")
     histogram = profile.log_histogram(df, "t")

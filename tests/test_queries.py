@@ -48,7 +48,7 @@ def empty_tables(monkeypatch):
 
 # Tables about columns or the whole input have rows even when the input has none.
 ALWAYS = {"null_profile", "null_matrix", "sign_counts", "joinability", "describe_table", "ingest_quality"}
-ALWAYS |= {"day_distribution_dense", "day_distribution_dense_from_20", "null_matrix_other"}
+ALWAYS |= {"day_distribution_dense", "day_distribution_dense_from_20", "null_matrix_other", "describe_events", "schema_table"}
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("sql_")])

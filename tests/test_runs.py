@@ -28,6 +28,15 @@ def test_run_question(spark, folder, family):
     (file,) = Path(paths["metrics"]).glob("part-*.json")
     document = json.loads(file.read_text())
     assert document["row_counts"] == expected
+    counts = document["counts"]
+    assert counts["input_rows"] == trips.count() >= counts["filtered_rows"] > 0
+    more = {
+        "revenue": {"groups", "support_threshold"},
+        "imbalance": {"compared_zone_hours", "activity_threshold"},
+        "od_halves": {"compared_pairs", "least_trips"},
+    }
+    assert set(counts) == {"input_rows", "filtered_rows"} | more.get(family, set())
+    assert None not in counts.values() and 10 <= counts.get("support_threshold", 10) <= 50
     assert document["params"] == {"days": [26, 27, 28], "hours": [21, 22, 23, 0], "top_k": 20}
     for name, rows in expected.items():
         assert len(list(Path(paths[f"table:{name}"]).glob("part-*.csv"))) == 1
