@@ -44,17 +44,27 @@ def simhash(words: list[bytes], width: int, shingle_hash, size: int) -> list[int
     """The fingerprint of one word list as unsigned 64-bit numbers."""
     if not words:
         return [0] * (size // 8)
+    return majority(shingle_digests(words, width, shingle_hash, size))
+
+
+def shingle_digests(words: list[bytes], width: int, shingle_hash, size: int) -> np.ndarray:
+    """The hash of every shingle as a row of unsigned 64-bit numbers, repeats included."""
     text = b" ".join(words)
     count = max(1, len(words) - width + 1)
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
     last = ends[-count:].tolist()
     first = [0, *(ends[: count - 1] + 1).tolist()]
     hashes = np.frombuffer(b"".join([shingle_hash(text[i:j]) for i, j in zip(first, last)]), dtype=">u8")
-    hashes = hashes.reshape(count, size // 8).astype(np.uint64)
+    return hashes.reshape(count, size // 8).astype(np.uint64)
+
+
+def majority(hashes: np.ndarray) -> list[int]:
+    """Numbers whose bits are those that are set in over half the rows."""
+    count = len(hashes)
     lanes = np.uint64(0x0101010101010101)
     blocks = np.arange(0, count, 255)
     out = []
-    for k in range(size // 8):
+    for k in range(hashes.shape[1]):
         column, bits = hashes[:, k], 0
         for shift in range(8):
             # Eight bit counters in the bytes of one word: no carry within 255 rows.

@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curbflow.llm.buckets import dealt
 from curbflow.llm.common import LOWER, lower_words, map_slices, stored, texts
 from curbflow.llm.components import components
 
@@ -129,13 +130,7 @@ def similar_paragraphs(found: DataFrame, similarity: float = SIMILARITY) -> Data
     """
     own = found.filter("bands is not null")
     banded = own.groupBy("digest").agg(F.first("bands").alias("bands"))
-    keyed = stored(banded.select("digest", F.explode("bands").alias("band")))
-    shared = stored(keyed.groupBy("band").count().filter("count > 1"))
-    blocks = F.ceil(2 * F.col("count") / BLOCK).cast("int")
-    keyed = keyed.join(shared.withColumn("blocks", F.when(F.col("count") > BLOCK, blocks).otherwise(1)), "band")
-    keyed = keyed.withColumn("own", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    keyed = stored(keyed.withColumn("other", other).select("band", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "digest"))
+    keyed = dealt(banded.select("digest", F.explode("bands").alias("band")), BLOCK)
     wanted = keyed.select("digest").distinct()
     members = own.join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("shingles").alias("shingles"))
     joined = keyed.join(members, "digest")

@@ -462,3 +462,29 @@ def test_pipeline_stages(spark, real, labels):
     whole = before.agg(F.count("*")).first()[0]
     assert docs.filter("start = 0").count() == whole
 
+
+
+def _edited(seed, n, changes):
+    """A text of n words and one with some words replaced, spread evenly, and the Jaccard similarity of their five-word shingles."""
+    left = _prose(seed, n).split()
+    right = list(left)
+    for c in range(changes):
+        right[(c + 1) * n // (changes + 1)] = f"new{seed}x{c}"
+    a, b = ({tuple(w[i : i + 5]) for i in range(n - 4)} for w in ([x.lower() for x in left], [x.lower() for x in right]))
+    return " ".join(left), " ".join(right), len(a & b) / len(a | b)
+
+
+def test_near_dedup_decides_by_the_texts(spark):
+    rows, pairs = [], {}
+    for seed in range(120):
+        n = 200 + seed
+        left, right, similarity = _edited(1000 + seed, n, (n // 48) if seed % 2 else n // 28)
+        pairs[2 * seed + 1] = similarity
+        rows += [(2 * seed, left), (2 * seed + 1, right)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, FOLDER).collect()}
+    close = [k for k, s in pairs.items() if 0.8 <= s < 0.88]
+    apart = [k for k, s in pairs.items() if 0.6 < s < 0.8]
+    assert len(close) >= 50 and len(apart) >= 50
+    assert sum(k not in ids for k in close) >= 0.99 * len(close)
+    assert set(apart) <= ids and {k for k, _ in rows if k % 2 == 0} <= ids
