@@ -488,3 +488,16 @@ def test_near_dedup_decides_by_the_texts(spark):
     assert len(close) >= 50 and len(apart) >= 50
     assert sum(k not in ids for k in close) >= 0.99 * len(close)
     assert set(apart) <= ids and {k for k, _ in rows if k % 2 == 0} <= ids
+
+
+def test_near_dedup_keeps_one_row_of_each_group(spark):
+    left, right, similarity = _edited(7, 300, 3)
+    assert similarity >= 0.8
+    rows = [(1, left, "a")] * 3 + [(1, left, "b"), (1, right, "a"), (2, left, "a"), (4, _prose(8, 60), "a")]
+    rows += [(None, _prose(9, 60), "a")] * 4 + [(None, f"{_prose(9, 60)} ", "a"), (None, _prose(10, 60), "a"), (6, _prose(10, 60), "a"), (None, None, None), (None, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = corpus_pipeline.near_dedup(spark, docs, FOLDER)
+    assert found.columns == docs.columns
+    kept = found.collect()
+    assert sorted((r["doc_id"] or 0, len(words(r["text"]))) for r in kept) == [(0, 0), (0, 60), (1, 300), (4, 60), (6, 60)]
+    assert corpus_pipeline.near_dedup(spark, docs.limit(0), FOLDER).isEmpty()
