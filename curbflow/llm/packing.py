@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -14,22 +15,25 @@ CAPACITY = 2048
 END_ID = 1
 # Remainders are cut down to pieces of capacity / 2, / 4, ... as far as this size; what is left is smaller.
 SMALLEST = 64
+# tiktoken's pattern panics on a run of a million white-space characters; texts with a run of this length don't go there.
+LONG_SPACE = 10_000
 _OUT = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
 
 
 def encoder(vocabulary: str, ranks: str, special: str = "<|endoftext|>"):
     """A function from text to ids. `ranks` is the byte-pair vocabulary of `vocabulary` in rank form, which encodes faster;
-    texts that spell the special token go through the full tokenizer, which gives it its own id."""
+    texts that spell the special token go through the full tokenizer, which gives it its own id, and so do those with very long
+    runs of white space, which tiktoken cannot take."""
     import public_tokenizers
     import tiktoken
 
     with open(public_tokenizers.path(ranks), "rb") as lines:
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     fast = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-    full = []
+    full, spaces = [], re.compile(rf"\s{{{LONG_SPACE}}}")
 
     def encode(text: str) -> list[int]:
-        if special not in text:
+        if special not in text and (len(text) < LONG_SPACE or not spaces.search(text)):
             return fast.encode_ordinary(text)
         if not full:
             from tokenizers import Tokenizer

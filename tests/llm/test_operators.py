@@ -501,3 +501,15 @@ def test_near_dedup_keeps_one_row_of_each_group(spark):
     kept = found.collect()
     assert sorted((r["doc_id"] or 0, len(words(r["text"]))) for r in kept) == [(0, 0), (0, 60), (1, 300), (4, 60), (6, 60)]
     assert corpus_pipeline.near_dedup(spark, docs.limit(0), FOLDER).isEmpty()
+
+
+def test_packing_takes_a_million_spaces(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    texts = [" " * 1_000_001 + "a", "b" + "\n" * 1_200_000 + "c d", "e" + " " * 12_000 + "f", "plain"]
+    pieces = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).toPandas()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for k, own in pieces.sort_values("start").groupby("doc_id"):
+        assert np.frombuffer(b"".join(own["ids"]), "<u4").tolist() == tokenizer.encode(texts[k], add_special_tokens=False).ids + [1]
+    assert set(pieces["doc_id"]) == {0, 1, 2, 3}
