@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -11,28 +12,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbflow.llm.buckets import dealt
-from curbflow.llm.common import LOWER, lower_words, map_slices, stored, texts
+from curbflow.llm.common import LOWER, map_slices, stored, texts
 from curbflow.llm.components import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
-# A layout paragraph (line) is compared by shingles from this many words on; a changed word leaves it above 0.8.
-LINE_WORDS = 45
-# Shorter parts (sentences) are compared as a whole from this many words on.
-PART_WORDS = 6
-# Neighbouring repeated parts make a passage if they have this many words together.
+# Chunks end where the hash of the two words around is 0 modulo CHUNK_ODDS, after LEAST_CHUNK words and at MOST_CHUNK at the latest.
+LEAST_CHUNK, CHUNK_ODDS, MOST_CHUNK = 6, 4, 24
+# Words before and after a repeated chunk that are compared with its first occurrence. After it, a whole next chunk is a match of its own; before
+# it, the cuts may differ for longer.
+BEFORE, AFTER = 36, MOST_CHUNK + 1
+# Neighbouring repeated parts make a passage if they have this many words together; paragraphs are compared by shingles from as many on.
 PASSAGE_WORDS = 30
-# Fewer words than this between two of them (a changed sentence, or parts too short to compare) belong to the passage.
+# Fewer words than this between two of them (a changed sentence) belong to the passage.
 GAP_WORDS = 12
 # Paragraphs of one band bucket that meet in one task at most; larger buckets are dealt out as pairs of blocks.
 BLOCK = 1024
 
-_LINE = re.compile(rb"[^\n]+")
-# A part ends after the white space that follows . ! or ?, and before a word with a capital.
-_PART = re.compile(rb"(?<=[.!?])[ \t\r\x0b\x0c]+|[ \t\r\x0b\x0c]+(?=[A-Z](?![A-Z])|\xc3[\x80-\x9e])")
-# Long sentences are cut between these letters too, so that a passage with a changed word still has whole parts.
-_INNER = re.compile(rb"(?<=[dnry,;:])[ \t\r\x0b\x0c]+(?=[aeiou])")
-LONG_SENTENCE = 24
+# A word is a run without white space; letters of scripts without spaces between words (Chinese, Japanese, Thai, Lao, Khmer, Burmese) are one each.
+_WORD = re.compile(
+    rb"\xe0[\xb8-\xbb][\x80-\xbf]|\xe1(?:[\x80-\x82]|[\x9e\x9f])[\x80-\xbf]|[\xe3-\xe9][\x80-\xbf]{2}|\xf0[\xa0-\xbf][\x80-\xbf]{2}|"
+    rb"(?:[^ \t-\r\xe0\xe1\xe3-\xe9\xf0]|\xe0[^\xb8-\xbb]|\xe1[^\x80-\x82\x9e\x9f]|\xf0[^\xa0-\xbf])+"
+)
 
 
 def tuned_bands(similarity: float = SIMILARITY, recall: float = 0.998, hashes: int = 48) -> tuple[int, int]:
@@ -59,32 +60,62 @@ def band_hashes(shingles: np.ndarray, bands: int, rows: int, seed: int = 1) -> n
     return np.array([xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(least)], dtype=np.uint64)
 
 
-def parts(text: bytes) -> list[tuple[int, int]]:
-    """Byte spans of the sentences of a text; line breaks end them as well, and long ones are cut at fixed letter pairs."""
-    out = []
-    for line in _LINE.finditer(text):
-        start = line.start()
-        for gap in _PART.finditer(text, line.start(), line.end()):
-            _cut(text, start, gap.start(), out)
-            start = gap.end()
-        _cut(text, start, line.end(), out)
+def word_spans(text: bytes) -> list[tuple[int, int]]:
+    """Byte spans of the words."""
+    return [m.span() for m in _WORD.finditer(text)]
+
+
+def layout(text: bytes, spans: list[tuple[int, int]], least: int = PASSAGE_WORDS) -> list[tuple[int, int]]:
+    """Word ranges of the paragraphs with at least `least` words: lines of as many words, and runs of shorter lines without a blank line."""
+    out, first, line = [], 0, 0
+
+    def end(a: int, b: int) -> None:
+        if b - a >= least:
+            out.append((a, b))
+
+    for k in range(1, len(spans) + 1):
+        breaks = text.count(b"\n", spans[k - 1][1], spans[k][0]) if k < len(spans) else 2
+        if not breaks:
+            continue
+        if k - line >= least:
+            end(first, line)
+            end(line, k)
+            first = k
+        elif breaks > 1:
+            end(first, k)
+            first = k
+        line = k
+    return out
+
+
+def chunks(words: list[bytes]) -> list[tuple[int, int]]:
+    """Word ranges of content-defined chunks: the same words are cut the same way wherever they stand."""
+    out, start = [], 0
+    for k in range(LEAST_CHUNK, len(words)):
+        size = k - start
+        if size >= MOST_CHUNK or (size >= LEAST_CHUNK and crc32(words[k], crc32(words[k - 1])) % CHUNK_ODDS == 0):
+            out.append((start, k))
+            start = k
+    if len(words) - start >= LEAST_CHUNK:
+        out.append((start, len(words)))
     return out
 
 
-def _cut(text: bytes, start: int, end: int, out: list[tuple[int, int]]) -> None:
-    if text.count(b" ", start, end) >= LONG_SENTENCE:
-        for gap in _INNER.finditer(text, start, end):
-            if text.count(b" ", start, gap.start()) >= PART_WORDS - 1:
-                out.append((start, gap.start()))
-                start = gap.end()
-    if start < end:
-        out.append((start, end))
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.array([xxhash.xxh32_intdigest(w) for w in words], dtype=np.uint32)
+
+
+def same_words(own: np.ndarray, other: np.ndarray) -> int:
+    """How many words at the start are equal."""
+    n = min(len(own), len(other))
+    differ = np.flatnonzero(own[:n] != other[:n])
+    return int(differ[0]) if len(differ) else n
 
 
 def paragraphs(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     """doc_id, text_hash, start, end (bytes), digest, bands, shingles of every paragraph that is compared.
 
-    bands and shingles are NULL for sentences, which only match as a whole. Words are white-space separated, A-Z lower-cased.
+    bands and shingles are NULL for chunks, which match as a whole. Words are as in word_spans, A-Z lower-cased.
     """
 
     def run(batch: pa.RecordBatch) -> dict:
@@ -93,20 +124,18 @@ def paragraphs(docs: DataFrame, bands: int, rows: int) -> DataFrame:
             if not text:
                 continue
             lower = text.translate(LOWER)
-            for line in _LINE.finditer(lower):
-                words = line.group().split()
-                if len(words) >= LINE_WORDS:
-                    shingles = shingle_hashes(words)
-                    row.append(k), start.append(line.start()), end.append(line.end())
-                    digest.append(xxhash.xxh64_intdigest(b" ".join(words), 10))
-                    banded.append(band_hashes(shingles, bands, rows).view(np.int64))
-                    shingled.append(shingles.tobytes())
-            for a, b in parts(text):
-                words = lower[a:b].split()
-                if len(words) >= PART_WORDS:
-                    row.append(k), start.append(a), end.append(b)
-                    digest.append(xxhash.xxh64_intdigest(b" ".join(words), 20))
-                    banded.append(None), shingled.append(None)
+            spans = word_spans(lower)
+            words = [lower[a:b] for a, b in spans]
+            for a, b in layout(lower, spans):
+                shingles = shingle_hashes(words[a:b])
+                row.append(k), start.append(spans[a][0]), end.append(spans[b - 1][1])
+                digest.append(xxhash.xxh64_intdigest(b" ".join(words[a:b]), 10))
+                banded.append(band_hashes(shingles, bands, rows).view(np.int64))
+                shingled.append(shingles.tobytes())
+            for a, b in chunks(words):
+                row.append(k), start.append(spans[a][0]), end.append(spans[b - 1][1])
+                digest.append(xxhash.xxh64_intdigest(b" ".join(words[a:b]), 20))
+                banded.append(None), shingled.append(None)
         rows_of = pa.array(row, pa.int64())
         return {
             "doc_id": batch.column("doc_id").take(rows_of),
@@ -184,35 +213,85 @@ def verified(members: list[tuple[int, bytes]], similarity: float) -> list[tuple[
 
 
 def repeated_spans(docs: DataFrame, similarity: float = SIMILARITY, recall: float = 0.998) -> DataFrame:
-    """doc_id, text_hash, spans (byte starts and ends) of the paragraphs whose first occurrence is in another document.
+    """doc_id, text_hash, spans (byte starts and ends) of the paragraphs and chunks whose first occurrence is in another document.
 
-    Paragraphs that are equal, or linked by similar ones, are one class; its first occurrence (smallest doc_id, NULL
-    first, then place) stays, and so does any other in the same document.
+    Parts that are equal, or linked by similar ones, are one class; its first occurrence (smallest doc_id, NULL
+    first, then place) stays, and so does any other in the same document. Chunks have the hashes of the words before (backwards) and after their
+    first occurrence in `before` and `after`.
     """
     found = stored(paragraphs(docs, *tuned_bands(similarity, recall)))
     roots = components(similar_paragraphs(found, similarity))
-    place = F.struct("doc_id", "text_hash", "start")
-    counted = found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    place = F.struct("doc_id", "text_hash", "start", "end")
+    chunk = F.bool_or(F.col("bands").isNull()).alias("chunk")
+    counted = found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"), chunk)
     counted = counted.join(roots, counted["digest"] == roots["node"], "left")
     # Only what occurs twice, or is like something else, goes on: a small part of all paragraphs.
-    several = stored(counted.filter("root is not null or first <> last").select("digest", F.coalesce("root", "digest").alias("class"), "first"))
+    several = counted.filter("root is not null or first.doc_id <=> last.doc_id = false or first.text_hash <> last.text_hash")
+    several = stored(several.select("digest", F.coalesce("root", "digest").alias("class"), "first", "chunk"))
     keepers = several.groupBy("class").agg(F.min("first").alias("keeper"))
-    several = several.join(keepers, "class").select("digest", F.col("keeper.doc_id").alias("kept_id"), F.col("keeper.text_hash").alias("kept_hash"))
-    again = found.select("doc_id", "text_hash", "start", "end", "digest").join(several, "digest")
+    several = several.join(keepers, "class").select("digest", "chunk", F.col("keeper.doc_id").alias("kept_id"), F.col("keeper.text_hash").alias("kept_hash"), "keeper")
+    several = stored(several)
+    around = contexts(docs, several.filter("chunk"))
+    again = found.select("doc_id", "text_hash", "start", "end", "digest").join(several.drop("keeper", "chunk"), "digest")
     again = again.filter(~(F.col("doc_id").eqNullSafe(F.col("kept_id")) & F.col("text_hash").eqNullSafe(F.col("kept_hash"))))
-    return again.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
+    again = again.join(around, "digest", "left")
+    return again.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(F.struct("start", "end", "before", "after"))).alias("spans"))
+
+
+def contexts(docs: DataFrame, chunks: DataFrame) -> DataFrame:
+    """digest, before, after: hashes of the words on either side (BEFORE backwards, AFTER) of every chunk's first occurrence."""
+    places = chunks.groupBy(F.col("kept_id").alias("_id"), F.col("kept_hash").alias("_hash")).agg(
+        F.collect_list(F.struct("digest", "keeper.start", "keeper.end")).alias("places")
+    )
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.xxhash64("text").eqNullSafe(F.col("_hash"))
+
+    def run(batch: pa.RecordBatch) -> dict:
+        digest, before, after = [], [], []
+        for text, places in zip(texts(batch), batch.column("places").to_pylist()):
+            words = Words(text)
+            for place in places:
+                own = words.around(place["start"], place["end"])
+                digest.append(place["digest"]), before.append(own[0].tobytes()), after.append(own[1].tobytes())
+        return {"digest": digest, "before": before, "after": after}
+
+    found = map_slices(rows.join(places, same).select("text", "places"), run, "digest long, before binary, after binary")
+    return found.groupBy("digest").agg(F.first("before").alias("before"), F.first("after").alias("after"))
+
+
+class Words:
+    """Words of a text by place."""
+
+    def __init__(self, text: bytes):
+        lower = text.translate(LOWER)
+        self.spans = word_spans(lower)
+        self.hashes = word_hashes([lower[a:b] for a, b in self.spans])
+        self.starts = np.array([a for a, _ in self.spans], dtype=np.int64)
+
+    def around(self, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the words before (backwards) and after a byte span."""
+        a, b = np.searchsorted(self.starts, [start, end]).tolist()
+        return self.hashes[max(0, a - BEFORE) : a][::-1], self.hashes[b : b + AFTER]
+
+    def extended(self, start: int, end: int, before: bytes, after: bytes) -> tuple[int, int]:
+        """The byte span with the words on both sides that equal those of another occurrence."""
+        own = self.around(start, end)
+        a, b = np.searchsorted(self.starts, [start, end]).tolist()
+        left = same_words(own[0], np.frombuffer(before, np.uint32))
+        right = same_words(own[1], np.frombuffer(after, np.uint32))
+        return self.spans[a - left][0], self.spans[b + right - 1][1]
 
 
 def passages(text: bytes, spans: list[tuple[int, int]], least: int = PASSAGE_WORDS) -> list[tuple[int, int, int]]:
     """(start, end, words) of the runs of repeated paragraphs that have enough words; a short gap between two is part of the run."""
     runs: list[list[int]] = []
     for a, b in spans:
-        if runs and (a <= runs[-1][1] or len(text[runs[-1][1] : a].split()) < GAP_WORDS):
-            runs[-1][2] += len(text[max(a, runs[-1][1]) : b].split())
+        if runs and (a <= runs[-1][1] or len(word_spans(text[runs[-1][1] : a])) < GAP_WORDS):
+            runs[-1][2] += len(word_spans(text[max(a, runs[-1][1]) : b]))
             runs[-1][1] = max(b, runs[-1][1])
         else:
-            runs.append([a, b, len(text[a:b].split())])
-    return [(a, b, len(text[a:b].split())) for a, b, repeated in runs if repeated >= least]
+            runs.append([a, b, len(word_spans(text[a:b]))])
+    return [(a, b, len(word_spans(text[a:b]))) for a, b, repeated in runs if repeated >= least]
 
 
 def substring_dedup(docs: DataFrame, similarity: float = SIMILARITY, least: int = PASSAGE_WORDS, recall: float = 0.998) -> DataFrame:
@@ -236,7 +315,11 @@ def substring_dedup(docs: DataFrame, similarity: float = SIMILARITY, least: int
             runs = []
             if spans:
                 text = batch.column("text")[k].as_py().encode()
-                runs = passages(text, [(s["start"], s["end"]) for s in spans], least)
+                words = Words(text)
+                wide = [
+                    (s["start"], s["end"]) if s["before"] is None else words.extended(s["start"], s["end"], s["before"], s["after"]) for s in spans
+                ]
+                runs = passages(text, sorted(set(wide)), least)
             if runs:
                 changed[k] = without(text, runs)
             cut.append([{"start": len(text[:a].decode()), "end": len(text[:b].decode()), "words": n} for a, b, n in runs])

@@ -513,3 +513,31 @@ def test_packing_takes_a_million_spaces(spark):
     for k, own in pieces.sort_values("start").groupby("doc_id"):
         assert np.frombuffer(b"".join(own["ids"]), "<u4").tolist() == tokenizer.encode(texts[k], add_special_tokens=False).ids + [1]
     assert set(pieces["doc_id"]) == {0, 1, 2, 3}
+
+
+def _left_over(spark, first, second):
+    docs = spark.createDataFrame([(1, first), (2, second)], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in substring_dedup.substring_dedup(docs).collect()}
+    assert found[1]["text"] == first and found[1]["removed_words"] == 0
+    return found[2]["text"]
+
+
+@pytest.mark.parametrize("kind", ["capitals", "plain", "cyrillic", "chinese", "wrapped"])
+def test_passages_inside_lines_of_any_script(spark, kind):
+    def prose(seed, n):
+        random = np.random.default_rng(seed)
+        if kind == "chinese":
+            return "".join(chr(0x4E00 + int(c)) for c in random.integers(0, 5000, n))
+        letters = [chr(c) for c in range(0x430, 0x44A)] if kind == "cyrillic" else list("abcdefghijklmnopqrstuvwxyz")
+        own = ["".join(random.choice(letters, 6)) for _ in range(n)]
+        return " ".join(w.capitalize() if kind == "capitals" else w for w in own)
+
+    gap = "" if kind == "chinese" else " "
+    for seed in range(0, 40, 10):
+        passage = prose(seed, 60)
+        second = passage
+        if kind == "wrapped":
+            second = "\n".join(" ".join(passage.split()[k : k + 11]) for k in range(0, 60, 11))
+        head, tail = prose(seed + 1, 41), prose(seed + 2, 37)
+        left = _left_over(spark, gap.join([prose(seed + 3, 30), passage, prose(seed + 4, 33)]), gap.join([head, second, tail]))
+        assert left == (head + gap + tail)
