@@ -541,3 +541,16 @@ def test_passages_inside_lines_of_any_script(spark, kind):
         head, tail = prose(seed + 1, 41), prose(seed + 2, 37)
         left = _left_over(spark, gap.join([prose(seed + 3, 30), passage, prose(seed + 4, 33)]), gap.join([head, second, tail]))
         assert left == (head + gap + tail)
+
+
+def test_short_and_wrapped_paragraphs_are_banded(spark):
+    own = _prose(31, 44).split()
+    changed = [*own[:-1], "other"]
+    left = _left_over(spark, f"{_prose(32, 20)}\n{' '.join(own)}\n{_prose(33, 20)}", f"{_prose(34, 20)}\n{' '.join(changed)}\n{_prose(35, 20)}")
+    assert left == f"{_prose(34, 20)}\n{_prose(35, 20)}"
+    # Every sixth chunk-sized stretch differs: only similarity links the wrapped paragraphs.
+    own = _prose(36, 200).split()
+    changed = [f"x{k}" if k % 50 == 20 else w for k, w in enumerate(own)]
+    wrapped = ["\n".join(" ".join(w[k : k + 12]) for k in range(0, 200, 12)) for w in (own, changed)]
+    left = _left_over(spark, f"{_prose(37, 9)}\n\n{wrapped[0]}", f"{_prose(38, 9)}\n\n{wrapped[1]}")
+    assert left == f"{_prose(38, 9)}\n\n"
