@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbflow.llm.common import stored
+from curbflow.llm.common import drop_stored, stored
 
 
 def dealt(keyed: DataFrame, block: int) -> DataFrame:
@@ -14,7 +14,7 @@ def dealt(keyed: DataFrame, block: int) -> DataFrame:
     Of buckets with the same members one is kept. A bucket with more than `block` members is cut into blocks by digest, and
     every pair (x, y) of blocks is one task's work, so every pair of members still meets.
     """
-    keyed = stored(keyed)
+    pairs = keyed = stored(keyed)
     mixed = F.xxhash64("digest")
     sets = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("count"), F.bit_xor(mixed).alias("xor"), F.bit_xor(F.xxhash64(mixed, "digest")).alias("other"))
     shared = stored(sets.filter("count > 1").groupBy("count", "xor", "other").agg(F.min("band").alias("band")))
@@ -22,4 +22,6 @@ def dealt(keyed: DataFrame, block: int) -> DataFrame:
     keyed = keyed.join(shared.select("band", blocks.alias("blocks")), "band")
     keyed = keyed.withColumn("own", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    return stored(keyed.withColumn("other", other).select("band", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "digest"))
+    met = stored(keyed.withColumn("other", other).select("band", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "digest"))
+    drop_stored(pairs, shared)
+    return met
