@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbflow.llm.common import fold, held_out
+from curbflow.llm.common import fold, held_out, shared_dir
 from curbflow.llm.decontaminate import contamination
 from curbflow.llm.html_extract import extract_text
 from curbflow.llm.language_id import identify
@@ -19,6 +20,7 @@ from curbflow.llm.quality_rules import quality_rules
 from curbflow.llm.simhash import near_duplicates
 from curbflow.llm.substring_dedup import substring_dedup
 from curbflow.llm.url_filter import judge_urls
+from curbflow.llm.warc import key_of, read_warc, write_warc
 
 # host, path, verdict
 URL_RULES = [
@@ -102,6 +104,16 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup(_table(spark, folder, "documents").select("doc_id", "text", "n_chars"))
 
 
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as a WARC record, read back from the archives."""
+    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    write_warc(_table(spark, folder, "pages"), path)
+    records = read_warc(spark, path, payload=False).filter("record_type in ('response', 'revisit')")
+    return records.select(
+        key_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", key_of("refers_to").alias("refers_to")
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The corpus pipeline from raw documents to packed sequences."""
     import corpus_pipeline
@@ -120,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_markov_model": op8_markov_model,
     "op9_quality_model": op9_quality_model,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_warc": op11_warc,
     "pipeline": pipeline,
 }
 
@@ -163,4 +176,21 @@ ORACLES: dict[str, str] = {
             FROM urls LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
         )
         SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM fitting WHERE place = 1""",
+    "op11_warc": """
+        WITH pages AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+        hashed AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS hex FROM pages),
+        parts AS (
+            SELECT *, list_transform(range(8), lambda k: CAST('0x' || substr(hex, 5 * k + 1, 5) AS BIGINT)) AS fives FROM hashed
+        ),
+        coded AS (
+            SELECT page_id, payload_bytes, hex,
+                   list_aggregate(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                       CAST((fives[CAST(k // 4 + 1 AS INT)] >> CAST(15 - 5 * (k % 4) AS INT)) & 31 AS INT) + 1, 1)), 'string_agg', '') AS payload_digest
+            FROM parts
+        ),
+        named AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS latest FROM coded)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id IS DISTINCT FROM latest THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM latest THEN latest END AS refers_to
+        FROM named""",
 }
