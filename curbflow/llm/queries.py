@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from curbflow.llm.common import fold, held_out, shared_dir
 from curbflow.llm.decontaminate import contamination
+from curbflow.llm.hard_negatives import hard_negatives
 from curbflow.llm.html_extract import extract_text
 from curbflow.llm.language_id import identify
 from curbflow.llm.language_id import train as train_languages
@@ -21,6 +22,7 @@ from curbflow.llm.simhash import near_duplicates
 from curbflow.llm.substring_dedup import substring_dedup
 from curbflow.llm.url_filter import judge_urls
 from curbflow.llm.warc import key_of, read_warc, write_warc
+from curbflow.llm.whitening import whiten
 
 # host, path, verdict
 URL_RULES = [
@@ -114,6 +116,19 @@ def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector on the first four whitened components; the deviation is NULL where a long does not hold it."""
+    result = whiten(_table(spark, folder, "embeddings"))
+    return result.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, after the labels of every seventh are moved by one."""
+    embeddings = _table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(embeddings.withColumn("label", moved), anchors=F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The corpus pipeline from raw documents to packed sequences."""
     import corpus_pipeline
@@ -133,6 +148,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_model": op9_quality_model,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_warc": op11_warc,
+    "op12_whitening": op12_whitening,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": pipeline,
 }
 
