@@ -101,6 +101,8 @@ class TripSpec:
     time_pattern: str
     year: int | None
     partition_by: str
+    # Order of the rows inside each file.
+    cluster_by: str | None = None
 
     @property
     def raw_schema(self) -> T.StructType:
@@ -111,8 +113,8 @@ class TripSpec:
         return typed_schema(self.fields, DERIVED_FIELDS)
 
 
-TRIPS_GEO = TripSpec("trips_geo", GEO_FIELDS, GEO_TIME, 2015, "pickup_hour")
-TRIPS_ZONED = TripSpec("trips_zoned", ZONED_FIELDS, ZONED_TIME, 2024, "pickup_day")
+TRIPS_GEO = TripSpec("trips_geo", GEO_FIELDS, GEO_TIME, 2015, "pickup_hour", "pickup_day")
+TRIPS_ZONED = TripSpec("trips_zoned", ZONED_FIELDS, ZONED_TIME, 2024, "pickup_day", "pickup_hour")
 
 RAW_ZONES = raw_schema(ZONE_FIELDS)
 ZONES = typed_schema(ZONE_FIELDS)

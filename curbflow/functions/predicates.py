@@ -55,13 +55,18 @@ def in_year(year: int) -> Column:
     return (F.col("pickup_ts") >= first) & (F.col("pickup_ts") < end)
 
 
-def question_trips(
-    trips: DataFrame, question: str, window: TripWindow | None = None, *, days=True, year=None
-) -> DataFrame:
-    """The trips a question looks at: derived columns added where absent, then one combined filter."""
+def question_rule(question: str, window: TripWindow | None = None, *, days=True, year=None) -> Column:
+    """What a trip with derived columns must meet for a question to look at it."""
     keep = valid(question)
     if window is not None:
         keep = in_window(window, days) & keep
     if year is not None:
         keep = keep & in_year(year)
-    return C.with_derived(trips).filter(keep)
+    return keep
+
+
+def question_trips(
+    trips: DataFrame, question: str, window: TripWindow | None = None, *, days=True, year=None
+) -> DataFrame:
+    """The trips a question looks at: derived columns added where absent, then one combined filter."""
+    return C.with_derived(trips).filter(question_rule(question, window, days=days, year=year))

@@ -1,12 +1,15 @@
-"""Exact quantiles from frequency tables.
+"""Exact quantiles by counting, and approximate ones from sketches that merge in a tree.
 
-A sketch per task and group (``percentile_approx``) has to be merged by one task per
-group.  A frequency table instead is combined before the shuffle and spread over all
-reducers by group *and* value, so a hot group costs no more than its distinct values.
+A sketch per task and group (``percentile_approx``) has to be merged by one task per group.
+``selected_quantiles`` counts rows per cell of close values instead, pass by pass, each pass in the cells that
+hold a rank; no value is shuffled.  ``frequency_quantiles`` does the same for a table that is already counted by value.
+``rank_points`` keep sketches as rows that merge a bounded number at a time, also from stored tables.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,6 +97,121 @@ def _reached(cells: DataFrame, keys: list[str]) -> DataFrame:
     return cells.filter(reached).select(*keys, "low", "high", (F.col("rank") - F.col("before")).alias("rank"))
 
 
+# Cells per octave of the first pass over rows, and equal parts of a cell's own range in each later one: after two of them
+# a part is narrower than the distance of neighbouring doubles, so it holds one value.
+SELECT_CELLS_PER_OCTAVE, SELECT_PARTS = 256, 1 << 24
+SELECT_PASSES = 2
+
+
+def select_cell(value: str) -> Column:
+    """The cell of the first pass: a number that never falls while the value rises.  Infinities have cells of their own."""
+    magnitude = F.floor(F.log2(F.abs(value)) * SELECT_CELLS_PER_OCTAVE).cast("double") + 1100 * SELECT_CELLS_PER_OCTAVE
+    return F.coalesce(F.signum(value) * magnitude, F.lit(0.0))
+
+
+def selected_quantiles(
+    rows: DataFrame, cells: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], totals: dict[str, Column] | None = None
+) -> DataFrame:
+    """One row per key with one exact quantile column per entry of ``probabilities``, without a shuffle by value.
+
+    ``cells`` counts the rows of each key by ``select_cell``: ``cell``, ``in_cell``, and the smallest and largest value as ``low``
+    and ``high``.  ``totals`` are aggregates of the cells of each key that the result has as well, from the same pass.
+    Each further pass reads the rows again and counts equal parts of the ranges that hold a rank.  Counting is combined in
+    the tasks: what is shuffled is bounded by the number of cells, whatever the values, and a value held by a third of all rows is
+    one row per task.  The last pass is dropped at run time when the one before has found all ranks (ranges of one value).
+
+    NULL and NaN must be filtered out before.  One row per key and quantile is broadcast: keys are columns or hours, not ids.
+    """
+    totals = totals or {}
+    wanted = F.array(*[F.struct(F.lit(name).alias("quantile"), F.lit(p).alias("p")) for name, p in probabilities.items()])
+    counted = with_cumulative(cells, keys, "cell", "in_cell").withColumn("before", F.col("cumulative") - F.col("in_cell"))
+    counted = counted.withColumns({name: total.over(Window.partitionBy(*keys)) for name, total in totals.items()})
+    targets = counted.select("*", F.inline(wanted)).withColumn("rank", F.col("p") * F.col("total"))
+    kept = [*keys, "quantile", *totals]
+    hits, found = _reached(targets, kept), None
+    for last in [False] * (SELECT_PASSES - 1) + [True]:
+        hits = _narrowed(rows, hits if found is None else hits.filter("low < high"), keys, value, list(totals))
+        done = hits if last else hits.filter("low = high")
+        found = done if found is None else found.unionByName(done)
+    values = [F.min(F.when(F.col("quantile") == name, F.col("high"))).alias(name) for name in probabilities]
+    return found.groupBy(*keys).agg(*values, *[F.first(name).alias(name) for name in totals])
+
+
+def _narrowed(rows: DataFrame, hits: DataFrame, keys: list[str], value: str, totals: list[str]) -> DataFrame:
+    """The part of each hit's range that holds its rank: one scan, one count per part."""
+    group = [*keys, "quantile"]
+    inside = rows.join(F.broadcast(hits), keys).filter(F.col(value).between(F.col("low"), F.col("high")))
+    width = F.col("high") - F.col("low")
+    # A range of one value, infinities included, is one part.
+    part = F.when(F.col("low") < F.col("high"), F.floor((F.col(value) - F.col("low")) / width * SELECT_PARTS)).otherwise(F.lit(0))
+    inside = inside.withColumn("part", part).withColumn("one", F.lit(1))
+    carried = [F.first(name).alias(name) for name in ("rank", *totals)]
+    return _reached(_counted(inside, group, "part", value, "one", *carried), [*group, *totals])
+
+
+# Sketches that one task merges at most, and levels of such merges: enough for FANIN ** LEVELS tasks of a scan.
+FANIN, MERGE_LEVELS = 32, 3
+# Points of a sketch, and accuracy of those a task takes of its own rows, for each unit of the accuracy asked for.
+POINTS, OWN_ACCURACY = 5, 10
+
+
+def rank_points(rows: DataFrame, keys: list[str], value: str, accuracy: int) -> DataFrame:
+    """Quantile sketches, one row per key: ``n`` and ``points``, the values at equal steps of rank.
+
+    Quantiles read from it are off by at most ``1 / accuracy`` of the rows (plus one row).  Each task of the scan takes the points of its
+    own rows; sketches then merge by salt, ``FANIN`` at a time, down to one per key, so no task merges the sketches of all
+    others.  A level costs at most ``1 / (POINTS * accuracy)``.  The result can be stored and merged with others (``merge_points``).
+    """
+    salt = F.pmod(F.spark_partition_id(), F.lit(FANIN**MERGE_LEVELS)).alias("salt")
+    own = F.percentile_approx(value, _steps(accuracy), OWN_ACCURACY * accuracy).alias("points")
+    points = rows.filter(F.col(value).isNotNull()).groupBy(*keys, salt).agg(F.count(F.lit(1)).alias("n"), own)
+    return _merged(points, keys)
+
+
+def merge_points(points: DataFrame, keys: list[str]) -> DataFrame:
+    """Stored sketches of one accuracy, of any number of days or tables, as one per key: a union, merged in the same tree.
+
+    Each of the levels adds at most ``1 / (POINTS * accuracy)`` to the error of the sketches that go in.
+    """
+    numbered = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64("points"), "n")) - 1
+    return _merged(points.withColumn("salt", numbered), keys)
+
+
+def point_quantiles(points: DataFrame, keys: list[str], probabilities: dict[str, float]) -> DataFrame:
+    """One row per key with one quantile column per entry of ``probabilities``, read from sketches."""
+    last = F.size("points") - 1
+    place = {name: F.ceil(F.round(last * p, 6)).cast("int") for name, p in probabilities.items()}
+    return points.select(*keys, *[F.get("points", at).alias(name) for name, at in place.items()])
+
+
+def _steps(accuracy: int) -> Column:
+    """Equal steps from 0 to 1 as one constant: a text, as an array of so many literals would slow every rule of the optimizer."""
+    last = POINTS * accuracy
+    return F.split(F.lit(",".join(f"{k / last:.12g}" for k in range(last + 1))), ",").cast("array<double>")
+
+
+def _merged(points: DataFrame, keys: list[str]) -> DataFrame:
+    schema = points.select(*keys, F.col("salt").cast("long").alias("salt"), "n", F.col("points").cast("array<double>").alias("points")).schema
+
+    def merge(table: pa.Table) -> pa.Table:
+        sizes = table.column("n").to_numpy()
+        values = np.stack(table.column("points").to_numpy())
+        last, total = values.shape[1] - 1, int(sizes.sum())
+        # A point stands for the ranks up to it from the one before; the first is the smallest value only.
+        every, weight = values[:, 1:].ravel(), np.repeat(sizes, last)
+        order = np.argsort(every, kind="stable")
+        upto = np.cumsum(weight[order])
+        # Whole numbers throughout: step k wants k * total of last * total.
+        taken = every[order][np.searchsorted(upto, np.arange(1, last + 1) * total)]
+        row = {"n": pa.array([total], pa.int64()), "points": pa.array([np.concatenate([[values[:, 0].min()], taken])], pa.list_(pa.float64()))}
+        return pa.table({name: row.get(name, table.column(name).slice(0, 1)) for name in schema.names})
+
+    for _ in range(MERGE_LEVELS):
+        near = points.withColumn("salt", F.floor(F.col("salt") / FANIN).cast("long")).withColumn("points", F.col("points").cast("array<double>"))
+        points = near.select(*schema.names).groupBy(*keys, "salt").applyInArrow(merge, schema)
+    return points.drop("salt")
+
+
 def rank_errors(
     freq: DataFrame, estimates: DataFrame, keys: list[str], value: str, count: str, probabilities: dict[str, float]
 ) -> DataFrame:

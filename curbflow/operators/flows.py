@@ -74,13 +74,14 @@ def flow_groups(
     """The trips of ``with_endpoints``, summed by both location ids and whether an airport fee was paid.
 
     Trips are added up before the zones are joined: at most two rows per pair of zones meet the
-    zone table, however many trips a zone has and whichever join is asked for.
+    zone table, however many trips a zone has and whichever join is asked for.  Amounts are summed as whole
+    units of the fourth digit (``measures.scaled``).
     """
     paid = F.coalesce(F.col("airport_fee") > 0, F.lit(False)).alias("fee_paid")
     values = {
-        "total_amount": M.money("total_amount"),
-        "trip_distance": M.money("trip_distance"),
-        "airport_fee": M.money(F.coalesce("airport_fee", F.lit(0.0))),
+        "total_amount": M.scaled("total_amount"),
+        "trip_distance": M.scaled("trip_distance"),
+        "airport_fee": M.scaled(F.coalesce("airport_fee", F.lit(0.0))),
         "duration_seconds": C.whole_seconds("duration_minutes"),
     }
     sums = [part for name, value in values.items() for part in (F.sum(value).alias(name), F.count(value).alias(f"{name}_n"))]
@@ -88,9 +89,13 @@ def flow_groups(
     return _named(groups, zones, F.col("fee_paid"), airport_pattern, airport_special, strategy)
 
 
-def _mean(name: str, per: float = 1.0) -> Column:
-    """Mean over all trips of some groups, from their exact sums."""
-    return F.try_divide(F.sum(name).cast("double"), F.lit(per) * F.sum(f"{name}_n"))
+def _mean(name: str) -> Column:
+    """Mean amount over all trips of some groups, from their exact sums."""
+    return F.try_divide(M.unscaled(F.sum(name)), F.sum(f"{name}_n"))
+
+
+def _mean_minutes() -> Column:
+    return F.try_divide(F.sum("duration_seconds"), F.lit(60.0) * F.sum("duration_seconds_n"))
 
 
 def borough_flow_table(groups: DataFrame) -> DataFrame:
@@ -99,10 +104,10 @@ def borough_flow_table(groups: DataFrame) -> DataFrame:
         groups.groupBy("pu_borough", "do_borough")
         .agg(
             F.sum("trips").alias("trips"),
-            M.amount(F.sum("total_amount").cast("double"), "total_revenue"),
+            M.amount(M.unscaled(F.sum("total_amount")), "total_revenue"),
             M.amount(_mean("total_amount"), "avg_total_amount"),
             M.amount(_mean("trip_distance"), "avg_trip_distance"),
-            M.amount(_mean("duration_seconds", 60.0), "avg_duration_minutes"),
+            M.amount(_mean_minutes(), "avg_duration_minutes"),
             M.share(M.total_ratio(F.col("airport_trip") * F.col("trips"), "trips"), "airport_trip_share"),
         )
         .select(
@@ -137,7 +142,7 @@ def airport_routes(groups: DataFrame, k: int = 20) -> DataFrame:
             F.sum("trips").alias("trips"),
             M.amount(_mean("airport_fee"), "avg_airport_fee"),
             M.amount(_mean("total_amount"), "avg_total_amount"),
-            M.amount(_mean("duration_seconds", 60.0), "avg_duration_minutes"),
+            M.amount(_mean_minutes(), "avg_duration_minutes"),
             M.amount(_mean("trip_distance"), "avg_trip_distance"),
         )
         .orderBy(F.desc("trips"), F.desc("avg_total_amount"), "pu_zone", "do_zone")

@@ -22,10 +22,10 @@ def _mix(trips: DataFrame, window: TripWindow, key: str, share_name: str, *extra
         .groupBy(key, "payment_type")
         .agg(
             M.trips(),
-            M.amount(F.avg("fare_amount"), "avg_fare_amount"),
-            M.amount(F.avg("total_amount"), "avg_total_amount"),
-            M.amount(F.avg("tip_amount"), "avg_tip_amount"),
-            M.share(F.avg(_tip_rate()), "tip_rate"),
+            M.amount(M.exact_mean("fare_amount"), "avg_fare_amount"),
+            M.amount(M.exact_mean("total_amount"), "avg_total_amount"),
+            M.amount(M.exact_mean("tip_amount"), "avg_tip_amount"),
+            M.share(M.exact_mean(_tip_rate(), M.RATIO_DIGITS), "tip_rate"),
             M.share(M.share_where(F.col("tip_amount") == 0), "zero_tip_share"),
             *extra,
         )
@@ -45,7 +45,7 @@ def payment_mix_by_hour(trips: DataFrame, window: TripWindow = TripWindow()) ->
         window,
         "pickup_hour",
         "payment_share_in_hour",
-        M.amount(F.avg("trip_distance"), "avg_trip_distance"),
+        M.amount(M.exact_mean("trip_distance"), "avg_trip_distance"),
         M.amount(M.mean_minutes(), "avg_duration_minutes"),
     )
     return mix.select(
@@ -94,11 +94,11 @@ def card_vs_cash(trips: DataFrame, window: TripWindow = TripWindow()) -> DataFra
             F.count_if(card).alias("card_trips"),
             F.count_if(cash).alias("cash_trips"),
             M.share(F.count_if(card) / F.count(F.lit(1)), "card_share"),
-            M.amount(M.mean_where(card, F.col("total_amount")), "avg_total_card"),
-            M.amount(M.mean_where(cash, F.col("total_amount")), "avg_total_cash"),
-            M.amount(M.mean_where(card, F.col("fare_amount")), "avg_fare_card"),
-            M.amount(M.mean_where(cash, F.col("fare_amount")), "avg_fare_cash"),
-            M.share(M.mean_where(card, _tip_rate()), "avg_tip_rate_card"),
+            M.amount(M.exact_mean_where(card, F.col("total_amount")), "avg_total_card"),
+            M.amount(M.exact_mean_where(cash, F.col("total_amount")), "avg_total_cash"),
+            M.amount(M.exact_mean_where(card, F.col("fare_amount")), "avg_fare_card"),
+            M.amount(M.exact_mean_where(cash, F.col("fare_amount")), "avg_fare_cash"),
+            M.share(M.exact_mean_where(card, _tip_rate(), M.RATIO_DIGITS), "avg_tip_rate_card"),
         )
         .orderBy("pickup_hour")
     )

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from curbflow.functions import columns as C
 from curbflow.functions.joins import dimension
-from curbflow.functions.quantiles import frequency_quantiles, rank_errors
+from curbflow.functions import measures as M
+from curbflow.functions.quantiles import point_quantiles, rank_errors, rank_points, select_cell, selected_quantiles
 
 # Columns profiled by default, and columns shown for a suspicious trip.
 SUMMARY_COLUMNS = (
@@ -94,49 +95,49 @@ def value_distribution(df: DataFrame, key: str, dataset: str, densify: range | N
 
 
 def numeric_summary(
-    df: DataFrame, dataset: str, cols=SUMMARY_COLUMNS, accuracy: int | None = None
+    df: DataFrame, dataset: str, cols=SUMMARY_COLUMNS, accuracy: int | None = None, *, digits: int = M.DERIVED_DIGITS
 ) -> DataFrame:
     """Count, minimum, quartiles, maximum and mean of each column.
 
-    Columns are first counted by value, so quartiles are exact and no task has to merge the
-    sketches of all others.  ``accuracy`` takes quartiles from ``percentile_approx`` instead,
-    the cheaper way for columns whose values hardly repeat.
+    Quartiles are exact: one pass counts cells of close values, and up to two more count parts of the cells that hold a
+    quartile, so no value is shuffled and no task merges the sketches of all others.  ``accuracy`` takes
+    quartiles from rank points instead, which is one pass and leaves sketches that can be stored.
     """
     names = C.existing(df, cols)
     # NaN is no value: it would be the maximum and turn the mean into NaN.
     values = _long(df, names).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     if accuracy is not None:
-        quartiles = F.percentile_approx("value", list(QUARTILES.values()), accuracy)
-        summary = values.groupBy("position").agg(
+        moments = values.groupBy("position").agg(
             F.count("value").alias("non_null_count"),
             F.min("value").alias("min"),
-            quartiles.alias("quartiles"),
             F.max("value").alias("max"),
-            F.avg("value").alias("avg"),
+            *M.mean_parts("value", digits),
         )
-        picked = [F.col("quartiles")[i].alias(name) for i, name in enumerate(QUARTILES)]
+        moments = moments.withColumn("avg", M.mean_of_parts("non_null_count", digits))
+        points = rank_points(values, ["position"], "value", accuracy)
+        summary = moments.join(point_quantiles(points, ["position"], QUARTILES), "position")
     else:
-        freq = values.groupBy("position", "value").agg(F.count(F.lit(1)).alias("n"))
-        summary = (
-            freq.groupBy("position")
-            .agg(
-                F.sum("n").alias("non_null_count"),
-                F.min("value").alias("min"),
-                F.max("value").alias("max"),
-                F.try_divide(F.sum(F.col("value") * F.col("n")), F.sum("n")).alias("avg"),
-            )
-            .join(frequency_quantiles(freq, ["position"], "value", "n", QUARTILES), "position")
+        cells = values.groupBy("position", select_cell("value").alias("cell")).agg(
+            F.count(F.lit(1)).alias("in_cell"), F.min("value").alias("low"), F.max("value").alias("high"), *M.mean_parts("value", digits)
         )
-        picked = list(QUARTILES)
+        totals = {
+            "non_null_count": F.sum("in_cell"),
+            "min": F.min("low"),
+            "max": F.max("high"),
+            "near": F.sum("near"),
+            "far": F.sum("far"),
+        }
+        summary = selected_quantiles(values, cells, ["position"], "value", QUARTILES, totals)
+        summary = summary.withColumn("avg", M.mean_of_parts("non_null_count", digits))
     return summary.select(
-        F.lit(dataset).alias("dataset"), _name(names), "non_null_count", "min", *picked, "max", "avg"
+        F.lit(dataset).alias("dataset"), _name(names), "non_null_count", "min", *QUARTILES, "max", "avg"
     ).orderBy("column_name")
 
 
 def quartile_errors(df: DataFrame, summary: DataFrame) -> DataFrame:
     """How far the quartiles of a ``numeric_summary`` are from their ranks, as a share of each column's values.
 
-    Exact quartiles have 0; ``percentile_approx`` promises at most ``1 / accuracy``.
+    Exact quartiles have 0; those of sketches are promised to be off by at most ``1 / accuracy``.
     """
     names = C.existing(df, SUMMARY_COLUMNS)
     values = _long(df, names).filter(F.col("value").isNotNull() & ~F.isnan("value"))

@@ -14,6 +14,8 @@ from curbflow.functions import measures as M
 
 def _spread(key: str, names: list, value: str, aggregate) -> list[tuple[str, Column]]:
     """The aggregate of ``value`` for each name of ``key``, and for all others together."""
+    if "other" in map(str, names):
+        raise ValueError("a listed value named 'other' would clash with the column of all others")
     listed = F.coalesce(F.col(key).isin(list(names)), F.lit(False))
     columns = [(str(name), aggregate(F.when(F.col(key) == name, F.col(value)))) for name in names]
     return [*columns, ("other", aggregate(F.when(~listed, F.col(value))))]

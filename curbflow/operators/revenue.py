@@ -30,13 +30,13 @@ def zone_revenue(
     valid = question_trips(trips, "revenue", window)
     per_id = valid.groupBy("pu_location_id", C.distance_bucket().alias("distance_bucket")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(M.money("total_amount")).alias("revenue"),
-        F.sum(M.money("trip_distance")).alias("miles"),
+        F.sum(M.scaled("total_amount")).alias("revenue"),
+        F.sum(M.scaled("trip_distance")).alias("miles"),
         F.sum(C.whole_seconds()).alias("seconds"),
-        F.sum(M.money("fare_amount")).alias("fares"),
-        F.sum(M.money("tip_amount")).alias("tips"),
-        F.count("tip_amount").alias("tipped"),
-        F.sum(M.money(C.surcharge_total(valid))).alias("surcharges"),
+        F.sum(M.scaled("fare_amount")).alias("fares"),
+        F.sum(M.scaled("tip_amount")).alias("tips"),
+        F.count(M.scaled("tip_amount")).alias("tipped"),
+        F.sum(M.scaled(C.surcharge_total(valid))).alias("surcharges"),
     )
     names = zones.select(
         F.col("location_id").alias("pu_location_id"),
@@ -46,15 +46,15 @@ def zone_revenue(
     named = C.fill_unknown(
         per_id.join(dimension(names, strategy), "pu_location_id", "left"), "pickup_borough", "pickup_zone"
     )
-    n, revenue = F.sum("n"), F.sum("revenue").cast("double")
+    n, revenue = F.sum("n"), M.unscaled(F.sum("revenue"))
     return named.groupBy(*KEYS).agg(
         n.alias("trips"),
         M.amount(revenue, "total_revenue"),
         M.amount(revenue / n, "avg_revenue_per_trip"),
         M.amount(M.total_ratio("revenue", "miles"), "revenue_per_mile"),
         M.amount(F.try_divide(revenue * 60, F.sum("seconds")), "revenue_per_minute"),
-        M.amount(F.sum("fares").cast("double") / n, "avg_fare_amount"),
-        M.amount(M.total_ratio("tips", "tipped"), "avg_tip_amount"),
+        M.amount(M.unscaled(F.sum("fares")) / n, "avg_fare_amount"),
+        M.amount(F.try_divide(M.unscaled(F.sum("tips")), F.sum("tipped")), "avg_tip_amount"),
         M.share(M.total_ratio("surcharges", "revenue"), "surcharge_share"),
     )
 

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from curbflow.functions import columns as C
 from curbflow.functions import measures as M
 from curbflow.functions.predicates import question_trips
-from curbflow.functions.quantiles import value_at, with_cumulative
+from curbflow.functions.quantiles import point_quantiles, rank_points, value_at, with_cumulative
 from curbflow.params import TripWindow
 
+# Columns of an extreme trip, in order.
 EXTREME_COLUMNS = [
     "vendor_id",
     "pickup_ts",
@@ -29,6 +30,14 @@ EXTREME_COLUMNS = [
     "dropoff_longitude",
     "dropoff_latitude",
 ]
+# Derived values that are summed: by name of the sum.
+DERIVED = {
+    "speed": "speed_kmh",
+    "km": "trip_distance_km",
+    "straight": "haversine_km",
+    "gap": "distance_gap_km",
+    "detour": "detour_ratio",
+}
 EXTREMES = {"slowest": "duration_per_km", "fastest": "speed_kmh"}
 
 
@@ -77,15 +86,11 @@ def speed_by_hour(geometry: DataFrame, accuracy: int | None = None) -> DataFrame
         return _speed_by_hour_approx(geometry, accuracy)
     per_second = geometry.groupBy("pickup_hour", C.whole_seconds().alias("seconds")).agg(
         M.trips(),
-        F.sum("speed_kmh").alias("speed"),
-        F.sum("trip_distance_km").alias("km"),
-        F.sum("haversine_km").alias("straight"),
-        F.sum("distance_gap_km").alias("gap"),
-        F.sum("detour_ratio").alias("detour"),
-        F.count("detour_ratio").alias("detours"),
+        *[part for name, value in DERIVED.items() for part in _sum_and_count(name, value)],
         F.sum("congestion_candidate").alias("slow"),
     )
     n, seconds = F.sum("trips"), F.sum(F.col("trips") * F.col("seconds"))
+    km = M.unscaled(F.sum("km"), M.DERIVED_DIGITS)
     return (
         with_cumulative(per_second, ["pickup_hour"], "seconds", "trips")
         .groupBy("pickup_hour")
@@ -94,35 +99,47 @@ def speed_by_hour(geometry: DataFrame, accuracy: int | None = None) -> DataFrame
             M.amount(seconds / (60.0 * n), "avg_duration_minutes"),
             M.amount(value_at(0.5, "seconds", "cumulative", "total") / 60.0, "median_duration_minutes"),
             M.amount(value_at(0.9, "seconds", "cumulative", "total") / 60.0, "p90_duration_minutes"),
-            M.amount(F.sum("speed") / n, "avg_speed_kmh"),
-            M.amount(F.try_divide(F.sum("km") * 3600, seconds), "agg_speed_kmh"),
-            M.amount(F.sum("straight") / n, "avg_haversine_km"),
-            M.amount(F.sum("gap") / n, "avg_distance_gap_km"),
-            M.amount(F.try_divide(F.sum("detour"), F.sum("detours")), "avg_detour_ratio"),
+            M.amount(_mean("speed"), "avg_speed_kmh"),
+            M.amount(F.try_divide(km * 3600, seconds), "agg_speed_kmh"),
+            M.amount(_mean("straight"), "avg_haversine_km"),
+            M.amount(_mean("gap"), "avg_distance_gap_km"),
+            M.amount(_mean("detour"), "avg_detour_ratio"),
             M.share(F.sum("slow") / n, "congestion_candidate_share"),
         )
         .orderBy("pickup_hour")
     )
 
 
+def _sum_and_count(name: str, value: str) -> tuple:
+    """Exact sum of a derived value, and how many values it has."""
+    whole = M.scaled(value, M.DERIVED_DIGITS)
+    return F.sum(whole).alias(name), F.count(whole).alias(f"{name}_n")
+
+
+def _mean(name: str):
+    return F.try_divide(M.unscaled(F.sum(name), M.DERIVED_DIGITS), F.sum(f"{name}_n"))
+
+
 def _speed_by_hour_approx(geometry: DataFrame, accuracy: int) -> DataFrame:
-    deciles = F.percentile_approx("duration_minutes", [0.5, 0.9], accuracy)
+    means = {name: M.exact_mean(value, M.DERIVED_DIGITS) for name, value in DERIVED.items()}
+    per_hour = geometry.groupBy("pickup_hour").agg(
+        M.trips(),
+        M.amount(M.mean_minutes(), "avg_duration_minutes"),
+        M.amount(means["speed"], "avg_speed_kmh"),
+        M.amount(
+            F.try_divide(M.exact_sum("trip_distance_km", M.DERIVED_DIGITS) * 3600, F.sum(C.whole_seconds())), "agg_speed_kmh"
+        ),
+        M.amount(means["straight"], "avg_haversine_km"),
+        M.amount(means["gap"], "avg_distance_gap_km"),
+        M.amount(means["detour"], "avg_detour_ratio"),
+        M.share(F.avg("congestion_candidate"), "congestion_candidate_share"),
+    )
+    deciles = {"median_duration_minutes": 0.5, "p90_duration_minutes": 0.9}
+    points = rank_points(geometry, ["pickup_hour"], "duration_minutes", accuracy)
+    found = point_quantiles(points, ["pickup_hour"], deciles)
     return (
-        geometry.groupBy("pickup_hour")
-        .agg(
-            M.trips(),
-            M.amount(M.mean_minutes(), "avg_duration_minutes"),
-            M.amount(deciles[0], "median_duration_minutes"),
-            M.amount(deciles[1], "p90_duration_minutes"),
-            M.amount(F.avg("speed_kmh"), "avg_speed_kmh"),
-            M.amount(
-                F.try_divide(F.sum("trip_distance_km") * 3600, F.sum(C.whole_seconds())), "agg_speed_kmh"
-            ),
-            M.amount(F.avg("haversine_km"), "avg_haversine_km"),
-            M.amount(F.avg("distance_gap_km"), "avg_distance_gap_km"),
-            M.amount(F.avg("detour_ratio"), "avg_detour_ratio"),
-            M.share(F.avg("congestion_candidate"), "congestion_candidate_share"),
-        )
+        per_hour.join(found.select("pickup_hour", *[M.amount(F.col(name), name) for name in deciles]), "pickup_hour")
+        .select("pickup_hour", "trips", "avg_duration_minutes", *deciles, *per_hour.columns[3:])
         .orderBy("pickup_hour")
     )
 

@@ -29,7 +29,7 @@ def _described(spark: SparkSession, name: str, source: str, path: str) -> list:
 def run_trip_ingest(
     spark: SparkSession, source: str, path: str, spec: TripSpec, mode: str = "errorifexists"
 ) -> DataFrame:
-    """Write the typed trips of a raw file, partitioned as the spec says.
+    """Write the typed trips of a raw file, partitioned and clustered as the spec says.
 
     Returns one row on what was read and written.  The raw text is read twice, once to write
     and once (a single column) for its quality counts; row count and size come from what was
@@ -37,7 +37,7 @@ def run_trip_ingest(
     """
     raw = read_raw_trips(spark, source, spec)
     started = time.monotonic()
-    write_partitioned(ingest_trips(raw, spec), path, spec.partition_by, mode)
+    write_partitioned(ingest_trips(raw, spec), path, spec.partition_by, mode, cluster=spec.cluster_by or ())
     written = [
         F.lit(round(time.monotonic() - started, 3)).alias("conversion_time_seconds"),
         F.array(F.lit(spec.partition_by)).alias("partition_columns"),

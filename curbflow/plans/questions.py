@@ -7,11 +7,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbflow.functions import columns as C
-from curbflow.functions.predicates import question_trips
+from curbflow.functions.predicates import question_rule
 from curbflow.operators import demand, flows, imbalance, od_change, payments, profile, revenue, speed
 from curbflow.params import TripWindow
 from curbflow.plans.report import rows, run_report
@@ -26,20 +26,19 @@ class Answer:
     counts: dict[str, DataFrame | int] = field(default_factory=dict)
 
 
-def _counts(trips: DataFrame, kept: DataFrame, **more) -> dict[str, DataFrame | int]:
-    return {"input_rows": rows(trips), "filtered_rows": rows(kept), **more}
+def _counts(trips: DataFrame, kept: Column, **more) -> dict[str, DataFrame | int]:
+    """Rows read and rows that meet the rule, counted in one scan, and further numbers."""
+    counted = trips.agg(F.count(F.lit(1)).alias("input_rows"), F.count_if(kept).alias("filtered_rows"))
+    return {"trips": counted, **more}
 
 
 def _demand(trips, zones, window) -> Answer:
-    columns = ["pickup_ts", "dropoff_ts", "pickup_date", "pickup_day", "pickup_hour", "duration_minutes", "trip_distance"]
-    columns += ["total_amount", "passenger_count", "pu_location_id"]
-    kept = question_trips(trips, "demand", window).select(*columns)
     return Answer(
         {
-            "top_hours": demand.demand_top_hours(kept, window),
-            "time_band_summary": demand.demand_by_band(kept, window),
+            "top_hours": demand.demand_top_hours(trips, window),
+            "time_band_summary": demand.demand_by_band(trips, window),
         },
-        counts=_counts(trips, kept),
+        counts=_counts(trips, question_rule("demand", window)),
     )
 
 
@@ -51,7 +50,7 @@ def _speed(trips, zones, window) -> Answer:
             "slowest_per_km": speed.extreme_trips(geometry, "slowest"),
             "fastest": speed.extreme_trips(geometry, "fastest"),
         },
-        counts=_counts(trips, geometry),
+        counts=_counts(trips, question_rule("speed", window, days=False)),
     )
 
 
@@ -62,7 +61,7 @@ def _revenue(trips, zones, window) -> Answer:
         (grouped,),
         _counts(
             trips,
-            question_trips(trips, "revenue", window),
+            question_rule("revenue", window),
             groups=rows(grouped),
             support_threshold=revenue.support_threshold(grouped),
         ),
@@ -70,16 +69,13 @@ def _revenue(trips, zones, window) -> Answer:
 
 
 def _payments(trips, zones, window) -> Answer:
-    columns = ["pickup_ts", "dropoff_ts", "pickup_day", "pickup_hour", "duration_minutes", "trip_distance", "fare_amount"]
-    columns += ["total_amount", "tip_amount", "payment_type", "vendor_id"]
-    kept = question_trips(trips, "payments", window).select(*columns)
     return Answer(
         {
-            "by_hour_payment": payments.payment_mix_by_hour(kept, window),
-            "vendor_payment": payments.payment_mix_by_vendor(kept, window),
-            "card_vs_cash": payments.card_vs_cash(kept, window),
+            "by_hour_payment": payments.payment_mix_by_hour(trips, window),
+            "vendor_payment": payments.payment_mix_by_vendor(trips, window),
+            "card_vs_cash": payments.card_vs_cash(trips, window),
         },
-        counts=_counts(trips, kept),
+        counts=_counts(trips, question_rule("payments", window)),
     )
 
 
@@ -92,7 +88,7 @@ def _flows(trips, zones, window) -> Answer:
             "airport_zone_examples": flows.airport_zones(zones),
         },
         (groups,),
-        _counts(trips, question_trips(trips, "flows", window)),
+        _counts(trips, question_rule("flows", window)),
     )
 
 
@@ -108,7 +104,7 @@ def _imbalance(trips, zones, window) -> Answer:
         (table,),
         _counts(
             trips,
-            question_trips(trips, "imbalance", window),
+            question_rule("imbalance", window),
             compared_zone_hours=rows(table),
             activity_threshold=imbalance.ACTIVITY_THRESHOLD,
         ),
@@ -124,7 +120,7 @@ def _od_halves(trips, zones, window) -> Answer:
         },
         (change,),
         _counts(
-            trips, question_trips(trips, "od_change"), compared_pairs=rows(change), least_trips=od_change.MIN_TRIPS
+            trips, question_rule("od_change"), compared_pairs=rows(change), least_trips=od_change.MIN_TRIPS
         ),
     )
 

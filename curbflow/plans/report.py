@@ -28,8 +28,8 @@ def run_report(
     ``tables`` are result tables: limited or grouped, small.  They are kept while the report
     runs, so that writing, counting and previewing them computes them once.  ``shared`` are
     inputs several tables are made from, already reduced to the columns needed; they are kept
-    too.  ``counts`` are numbers, or frames of one number, about the input: rows read, rows
-    kept, thresholds.  ``run`` adds fields such as ``config``, ``run_type`` or ``executor_config_expected``.
+    too.  ``counts`` are numbers, or frames of one row, about the input: rows read, rows
+    kept, thresholds; a frame of several columns gives a field for each, from one run of it.  ``run`` adds fields such as ``config``, ``run_type`` or ``executor_config_expected``.
     """
     spark = next(iter(tables.values())).sparkSession
     paths = {f"table:{t}": f"{folder}/tables/{name}/{t}" for t in tables}
@@ -75,7 +75,15 @@ def _preview(df: DataFrame, rows: int):
 
 
 def _fields(values: dict | None) -> list:
-    return [_literal(value).alias(key) for key, value in (values or {}).items()]
+    fields = []
+    for key, value in (values or {}).items():
+        if isinstance(value, DataFrame) and len(value.columns) > 1:
+            # One subquery for all of its columns: Spark runs equal subqueries once.
+            row = value.select(F.struct("*").alias("row")).scalar()
+            fields += [row[name].alias(name) for name in value.columns]
+        else:
+            fields.append(_literal(value).alias(key))
+    return fields
 
 
 def _literal(value):

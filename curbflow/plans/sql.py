@@ -1,7 +1,7 @@
 """The question operators as SQL over the temp views ``trips`` and ``zones``.
 
 Values are bound as named parameters, never pasted into the text.  Each query is a final
-SELECT over named steps; amounts stay doubles (``60D``, not ``60.0``, which is a decimal).
+SELECT over named steps; amounts are doubles (``60D``, not ``60.0``, which is a decimal) that are summed as whole units.
 """
 
 from __future__ import annotations
@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.functions import columns as C
+from curbflow.functions import measures as M
 from curbflow.operators.imbalance import ACTIVITY_THRESHOLD
+from curbflow.operators.speed import DERIVED
 from curbflow.params import TripWindow
 
 _TIMED = """pickup_ts IS NOT NULL AND dropoff_ts IS NOT NULL
@@ -20,15 +22,27 @@ _TIMED = """pickup_ts IS NOT NULL AND dropoff_ts IS NOT NULL
 _WINDOW = "array_contains(:days, pickup_day) AND array_contains(:hours, pickup_hour)"
 
 
-def _exact(value: str) -> str:
+def _scaled(value: str, digits: int = M.AMOUNT_DIGITS) -> str:
+    """A value as a whole number of units of the scale, as in ``measures.scaled``."""
+    return f"CASE WHEN abs({value}) < 1e{17 - digits}D THEN floor({value} * 1e{digits}D + 0.5D) END"
+
+
+def _unscaled(total: str, digits: int = M.AMOUNT_DIGITS) -> str:
+    return f"(CAST({total} AS double) / 1e{digits}D)"
+
+
+def _exact(value: str, digits: int = M.AMOUNT_DIGITS) -> str:
     """Sum of an amount, added up exactly; the mean likewise."""
-    return f"CAST(sum(try_cast({value} AS decimal(28,4))) AS double)"
+    return _unscaled(f"sum({_scaled(value, digits)})", digits)
 
 
-def _exact_mean(value: str) -> str:
-    return f"try_divide({_exact(value)}, count({value}))"
+def _exact_mean(value: str, digits: int = M.AMOUNT_DIGITS, where: str = "") -> str:
+    kept = f" FILTER (WHERE {where})" if where else ""
+    whole = _scaled(value, digits)
+    return f"try_divide({_unscaled(f'sum({whole}){kept}', digits)}, count({whole}){kept})"
 
 
+_TIP_RATE = "try_divide(tip_amount, fare_amount)"
 _SECONDS = "floor(duration_minutes * 60 + 0.5D)"
 _MEAN_MINUTES = f"round(try_divide(sum({_SECONDS}), 60D * count(duration_minutes)), 4)"
 _DEMAND = f"""count(*) AS trips,
@@ -38,11 +52,11 @@ _DEMAND = f"""count(*) AS trips,
     round({_exact_mean("trip_distance")}, 4) AS avg_trip_distance,
     round({_exact_mean("total_amount")}, 4) AS avg_total_amount,
     round({_exact("total_amount")}, 4) AS total_revenue"""
-_MIX = """count(*) AS trips,
-    round(avg(fare_amount), 4) AS avg_fare_amount,
-    round(avg(total_amount), 4) AS avg_total_amount,
-    round(avg(tip_amount), 4) AS avg_tip_amount,
-    round(avg(try_divide(tip_amount, fare_amount)), 6) AS tip_rate,
+_MIX = f"""count(*) AS trips,
+    round({_exact_mean("fare_amount")}, 4) AS avg_fare_amount,
+    round({_exact_mean("total_amount")}, 4) AS avg_total_amount,
+    round({_exact_mean("tip_amount")}, 4) AS avg_tip_amount,
+    round({_exact_mean(_TIP_RATE, M.RATIO_DIGITS)}, 6) AS tip_rate,
     round(avg(if(tip_amount = 0, 1D, 0D)), 6) AS zero_tip_share"""
 _LABEL = "CASE payment_type WHEN 1 THEN 'card' WHEN 2 THEN 'cash' ELSE 'other' END AS payment_label"
 
@@ -63,6 +77,18 @@ def _box(name: str, limits: tuple[float, float]) -> str:
     return f"{name} BETWEEN {limits[0]}D AND {limits[1]}D"
 
 
+def _derived(value: str) -> str:
+    return _scaled(value, M.DERIVED_DIGITS)
+
+
+def _mean_of(total: str, digits: int = M.AMOUNT_DIGITS) -> str:
+    """Mean over groups that hold a scaled sum and how many values it has."""
+    return f"try_divide({_unscaled(f'sum({total})', digits)}, sum({total}_n))"
+
+
+# Amounts of a trip that flows sum.
+_FLOW_AMOUNTS = {"total": "total_amount", "miles": "trip_distance", "fee": "coalesce(airport_fee, 0D)"}
+
 STEPS = {
     "demand_trips": f"""
 SELECT * FROM trips
@@ -95,9 +121,8 @@ SELECT *,
         THEN try_divide(trip_distance_km, haversine_km) END AS detour_ratio
 FROM straight_trips""",
     "per_second": f"""
-SELECT pickup_hour, {_SECONDS} AS seconds, count(*) AS n, sum(speed_kmh) AS speed,
-    sum(trip_distance_km) AS km, sum(haversine_km) AS straight, sum(distance_gap_km) AS gap,
-    sum(detour_ratio) AS detour, count(detour_ratio) AS detours,
+SELECT pickup_hour, {_SECONDS} AS seconds, count(*) AS n,
+    {", ".join(f"sum({_derived(value)}) AS {name}, count({_derived(value)}) AS {name}_n" for name, value in DERIVED.items())},
     count_if(speed_kmh < {C.SLOW_KMH}D AND trip_distance_km >= {C.SLOW_MIN_KM}D) AS slow
 FROM geometry GROUP BY ALL""",
     "running": """
@@ -106,23 +131,23 @@ SELECT *, sum(n) OVER (PARTITION BY pickup_hour ORDER BY seconds) AS upto,
 FROM per_second""",
     "revenue_per_id": f"""
 SELECT pu_location_id, {_bucket("trip_distance")} AS distance_bucket,
-    count(*) AS n, {_exact('total_amount')} AS revenue, {_exact('trip_distance')} AS miles,
-    sum({_SECONDS}) AS seconds, {_exact('fare_amount')} AS fares,
-    {_exact('tip_amount')} AS tips, count(tip_amount) AS tipped,
-    sum({" + ".join(f"coalesce({name}, 0D)" for name in C.SURCHARGES)}) AS surcharges
+    count(*) AS n, sum({_scaled("total_amount")}) AS revenue, sum({_scaled("trip_distance")}) AS miles,
+    sum({_SECONDS}) AS seconds, sum({_scaled("fare_amount")}) AS fares,
+    sum({_scaled("tip_amount")}) AS tips, count({_scaled("tip_amount")}) AS tips_n,
+    sum({_scaled("(" + " + ".join(f"coalesce({name}, 0D)" for name in C.SURCHARGES) + ")")}) AS surcharges
 FROM trips
 WHERE {_WINDOW} AND {_TIMED} AND trip_distance > 0 AND fare_amount > 0 AND total_amount > 0
 GROUP BY ALL""",
-    "zone_revenue": """
+    "zone_revenue": f"""
 SELECT coalesce(borough, 'Unknown') AS pickup_borough, coalesce(zone, 'Unknown') AS pickup_zone,
     distance_bucket, sum(n) AS trips,
-    round(sum(revenue), 4) AS total_revenue,
-    round(sum(revenue) / sum(n), 4) AS avg_revenue_per_trip,
-    round(try_divide(sum(revenue), sum(miles)), 4) AS revenue_per_mile,
-    round(try_divide(sum(revenue) * 60, sum(seconds)), 4) AS revenue_per_minute,
-    round(sum(fares) / sum(n), 4) AS avg_fare_amount,
-    round(try_divide(sum(tips), sum(tipped)), 4) AS avg_tip_amount,
-    round(try_divide(sum(surcharges), sum(revenue)), 6) AS surcharge_share
+    round({_unscaled("sum(revenue)")}, 4) AS total_revenue,
+    round({_unscaled("sum(revenue)")} / sum(n), 4) AS avg_revenue_per_trip,
+    round(try_divide(CAST(sum(revenue) AS double), sum(miles)), 4) AS revenue_per_mile,
+    round(try_divide({_unscaled("sum(revenue)")} * 60, sum(seconds)), 4) AS revenue_per_minute,
+    round({_unscaled("sum(fares)")} / sum(n), 4) AS avg_fare_amount,
+    round({_mean_of("tips")}, 4) AS avg_tip_amount,
+    round(try_divide(CAST(sum(surcharges) AS double), sum(revenue)), 6) AS surcharge_share
 FROM revenue_per_id LEFT JOIN zones ON pu_location_id = location_id
 GROUP BY ALL""",
     "supported_revenue": """
@@ -138,16 +163,21 @@ SELECT *, coalesce(lower(zone) RLIKE :airport_pattern, false)
     OR coalesce(lower(borough) = :airport_borough, false)
     OR coalesce(lower(zone) = :airport_zone, false) AS at_airport
 FROM zones""",
-    "ends": f"""
-SELECT t.*,
+    "pairs": f"""
+SELECT pu_location_id, do_location_id, coalesce(airport_fee > 0, false) AS fee_paid, count(*) AS n,
+    {", ".join(f"sum({_scaled(value)}) AS {name}, count({_scaled(value)}) AS {name}_n" for name, value in _FLOW_AMOUNTS.items())},
+    sum({_SECONDS}) AS seconds, count(duration_minutes) AS seconds_n
+FROM trips
+WHERE {_WINDOW} AND {_TIMED} AND trip_distance > 0 AND total_amount > 0
+GROUP BY ALL""",
+    "named_pairs": """
+SELECT g.*,
     coalesce(p.borough, 'Unknown') AS pu_borough, coalesce(p.zone, 'Unknown') AS pu_zone,
     coalesce(d.borough, 'Unknown') AS do_borough, coalesce(d.zone, 'Unknown') AS do_zone,
-    coalesce(p.at_airport, false) OR coalesce(t.airport_fee > 0, false)
-        OR coalesce(d.at_airport, false) AS airport_trip
-FROM trips t
-LEFT JOIN marked_zones p ON t.pu_location_id = p.location_id
-LEFT JOIN marked_zones d ON t.do_location_id = d.location_id
-WHERE {_WINDOW} AND {_TIMED} AND trip_distance > 0 AND total_amount > 0""",
+    coalesce(p.at_airport, false) OR g.fee_paid OR coalesce(d.at_airport, false) AS airport_trip
+FROM pairs g
+LEFT JOIN marked_zones p ON g.pu_location_id = p.location_id
+LEFT JOIN marked_zones d ON g.do_location_id = d.location_id""",
     "activity": f"""
 SELECT hour, location_id, sum(pickup) AS pickups, sum(dropoff) AS dropoffs,
     sum(pickup) + sum(dropoff) AS activity, sum(pickup) - sum(dropoff) AS net_pickups
@@ -169,7 +199,7 @@ FROM activity a LEFT JOIN zones z ON a.location_id = z.location_id""",
 
 _SPEED = ("boxed_trips", "straight_trips", "geometry")
 _REVENUE = ("revenue_per_id", "zone_revenue")
-_FLOWS = ("marked_zones", "ends")
+_FLOWS = ("marked_zones", "pairs", "named_pairs")
 _IMBALANCE = ("activity", "zone_imbalance")
 _TRIP = """vendor_id, pickup_ts, dropoff_ts, pickup_hour, trip_distance, trip_distance_km, duration_minutes,
     duration_per_km, speed_kmh, haversine_km, distance_gap_km, detour_ratio, pickup_longitude,
@@ -194,16 +224,16 @@ LIMIT :top_k""",
     ),
     "speed_by_hour": (
         (*_SPEED, "per_second", "running"),
-        """
+        f"""
 SELECT pickup_hour, sum(n) AS trips,
     round(sum(n * seconds) / (60D * sum(n)), 4) AS avg_duration_minutes,
     round(min(seconds) FILTER (WHERE upto >= whole * 0.5D) / 60D, 4) AS median_duration_minutes,
     round(min(seconds) FILTER (WHERE upto >= whole * 0.9D) / 60D, 4) AS p90_duration_minutes,
-    round(sum(speed) / sum(n), 4) AS avg_speed_kmh,
-    round(try_divide(sum(km) * 3600, sum(n * seconds)), 4) AS agg_speed_kmh,
-    round(sum(straight) / sum(n), 4) AS avg_haversine_km,
-    round(sum(gap) / sum(n), 4) AS avg_distance_gap_km,
-    round(try_divide(sum(detour), sum(detours)), 4) AS avg_detour_ratio,
+    round({_mean_of("speed", M.DERIVED_DIGITS)}, 4) AS avg_speed_kmh,
+    round(try_divide({_unscaled("sum(km)", M.DERIVED_DIGITS)} * 3600, sum(n * seconds)), 4) AS agg_speed_kmh,
+    round({_mean_of("straight", M.DERIVED_DIGITS)}, 4) AS avg_haversine_km,
+    round({_mean_of("gap", M.DERIVED_DIGITS)}, 4) AS avg_distance_gap_km,
+    round({_mean_of("detour", M.DERIVED_DIGITS)}, 4) AS avg_detour_ratio,
     round(sum(slow) / sum(n), 6) AS congestion_candidate_share
 FROM running GROUP BY pickup_hour ORDER BY pickup_hour""",
     ),
@@ -233,7 +263,7 @@ FROM running GROUP BY pickup_hour ORDER BY pickup_hour""",
         f"""
 SELECT *, {_LABEL}, round(trips / sum(trips) OVER (PARTITION BY pickup_hour), 6) AS payment_share_in_hour
 FROM (
-    SELECT pickup_hour, payment_type, {_MIX}, round(avg(trip_distance), 4) AS avg_trip_distance,
+    SELECT pickup_hour, payment_type, {_MIX}, round({_exact_mean("trip_distance")}, 4) AS avg_trip_distance,
         {_MEAN_MINUTES} AS avg_duration_minutes
     FROM paid_trips GROUP BY pickup_hour, payment_type
 )
@@ -248,16 +278,16 @@ ORDER BY vendor_id, payment_type""",
     ),
     "card_vs_cash": (
         ("paid_trips",),
-        """
+        f"""
 SELECT pickup_hour,
     count_if(payment_type = 1) AS card_trips,
     count_if(payment_type = 2) AS cash_trips,
     round(count_if(payment_type = 1) / count(*), 6) AS card_share,
-    round(avg(total_amount) FILTER (WHERE payment_type = 1), 4) AS avg_total_card,
-    round(avg(total_amount) FILTER (WHERE payment_type = 2), 4) AS avg_total_cash,
-    round(avg(fare_amount) FILTER (WHERE payment_type = 1), 4) AS avg_fare_card,
-    round(avg(fare_amount) FILTER (WHERE payment_type = 2), 4) AS avg_fare_cash,
-    round(avg(try_divide(tip_amount, fare_amount)) FILTER (WHERE payment_type = 1), 6) AS avg_tip_rate_card
+    round({_exact_mean("total_amount", where="payment_type = 1")}, 4) AS avg_total_card,
+    round({_exact_mean("total_amount", where="payment_type = 2")}, 4) AS avg_total_cash,
+    round({_exact_mean("fare_amount", where="payment_type = 1")}, 4) AS avg_fare_card,
+    round({_exact_mean("fare_amount", where="payment_type = 2")}, 4) AS avg_fare_cash,
+    round({_exact_mean(_TIP_RATE, M.RATIO_DIGITS, "payment_type = 1")}, 6) AS avg_tip_rate_card
 FROM paid_trips GROUP BY pickup_hour ORDER BY pickup_hour""",
     ),
     "borough_flows": (
@@ -265,13 +295,13 @@ FROM paid_trips GROUP BY pickup_hour ORDER BY pickup_hour""",
         f"""
 SELECT *, round(trips / sum(trips) OVER (), 6) AS trip_share
 FROM (
-    SELECT pu_borough, do_borough, count(*) AS trips,
-        round(CAST(sum(try_cast(total_amount AS decimal(28,4))) AS double), 4) AS total_revenue,
-        round(try_divide(CAST(sum(try_cast(total_amount AS decimal(28,4))) AS double), count(total_amount)), 4) AS avg_total_amount,
-        round(avg(trip_distance), 4) AS avg_trip_distance,
-        {_MEAN_MINUTES} AS avg_duration_minutes,
-        round(avg(CAST(airport_trip AS int)), 6) AS airport_trip_share
-    FROM ends GROUP BY pu_borough, do_borough
+    SELECT pu_borough, do_borough, sum(n) AS trips,
+        round({_unscaled("sum(total)")}, 4) AS total_revenue,
+        round({_mean_of("total")}, 4) AS avg_total_amount,
+        round({_mean_of("miles")}, 4) AS avg_trip_distance,
+        round(try_divide(sum(seconds), 60D * sum(seconds_n)), 4) AS avg_duration_minutes,
+        round(try_divide(CAST(sum(if(airport_trip, n, 0)) AS double), sum(n)), 6) AS airport_trip_share
+    FROM named_pairs GROUP BY pu_borough, do_borough
 )
 ORDER BY trips DESC, total_revenue DESC, pu_borough, do_borough
 LIMIT :top_k""",
@@ -279,12 +309,12 @@ LIMIT :top_k""",
     "airport_routes": (
         _FLOWS,
         f"""
-SELECT pu_zone, do_zone, count(*) AS trips,
-    round(avg(coalesce(airport_fee, 0D)), 4) AS avg_airport_fee,
-    round(avg(total_amount), 4) AS avg_total_amount,
-    {_MEAN_MINUTES} AS avg_duration_minutes,
-    round(avg(trip_distance), 4) AS avg_trip_distance
-FROM ends WHERE airport_trip
+SELECT pu_zone, do_zone, sum(n) AS trips,
+    round({_mean_of("fee")}, 4) AS avg_airport_fee,
+    round({_mean_of("total")}, 4) AS avg_total_amount,
+    round(try_divide(sum(seconds), 60D * sum(seconds_n)), 4) AS avg_duration_minutes,
+    round({_mean_of("miles")}, 4) AS avg_trip_distance
+FROM named_pairs WHERE airport_trip
 GROUP BY pu_zone, do_zone
 ORDER BY trips DESC, avg_total_amount DESC, pu_zone, do_zone
 LIMIT :top_k""",

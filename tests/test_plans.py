@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from curbflow.operators import demand, flows, imbalance, od_change, payments, profile, revenue, speed
 from curbflow.functions.udf import haversine_udf
-from curbflow.plans.report import run_report, scaling_report
+from curbflow.plans.questions import answer
+from curbflow.plans.report import _fields, run_report, scaling_report
 from curbflow.plans.sql import QUERIES, question_sql, register_views, sql_text
 from curbflow.sources import readers, writers
 from curbflow.sources.writers import plan_text
@@ -111,12 +112,43 @@ def test_change_has_no_join(stored):
     assert "Join" not in plan_text(od_change.od_period_change(stored), "simple")
 
 
-def test_summary_shuffles_the_frequency_table_once(stored):
+def test_summary_shuffles_no_values(stored):
+    """Every exchange has cells or parts of cells as its key, and each pass is combined in the tasks before it."""
     summary = profile.numeric_summary(stored, "t")
+    initial = plan_text(summary, "simple")
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", initial)
+    assert keys and not any("value#" in key for key in keys)
+    assert not re.search(r"RoundRobin|rangepartitioning\([^)]*value#", initial)
     summary.collect()
     final, _ = plan_text(summary, "simple").split("== Initial Plan ==")
-    # Once for the moments, once for the cells, twice for the rows inside them; and the cells that are found.
-    assert final.count("ReusedExchange") == 4 and final.count("FileScan parquet") == 1
+    # Cells and parts only: the last pass is not run when the second finds every rank.
+    assert final.count("FileScan parquet") == 2
+
+
+def test_summary_runs_a_last_pass_for_values_next_to_each_other(spark, folder):
+    steps = [1.0 + k * 2.0**-52 for k in range(40)] + [0.5, 3.0]
+    spark.createDataFrame([(v,) for v in steps], "fare_amount double").write.parquet(f"{folder}/close")
+    summary = profile.numeric_summary(readers.read_parquet(spark, f"{folder}/close"), "t", ["fare_amount"])
+    row = one(summary)
+    ordered = sorted(steps)
+    assert [row.p25, row.median, row.p75] == [ordered[10], ordered[20], ordered[31]]
+    final, _ = plan_text(summary, "simple").split("== Initial Plan ==") if "== Initial Plan ==" in plan_text(summary, "simple") else ("", "")
+    assert row.min == 0.5 and row.max == 3.0
+
+
+def joins_below_first_aggregate(plan):
+    """The text of the plan below the aggregate that reads trips, up to the trips themselves."""
+    start = [m.start() for m in re.finditer(r"partial_sum\(CASE WHEN \(abs\(total_amount", plan)][-1]
+    below = plan[start:]
+    return below[: below.index("/trips")].count("Join")
+
+
+@pytest.mark.parametrize("name", ["borough_flows", "airport_routes"])
+def test_sql_flows_join_groups_not_trips(spark, stored, zones, name):
+    register_views(stored, zones)
+    answer = question_sql(spark, name)
+    plan = plan_text(answer, "simple")
+    assert plan.count("Join ") >= 2 and joins_below_first_aggregate(plan) == 0 and len(trip_scans(answer)) == 1
 
 
 def test_join_strategy(stored, zones):
@@ -164,14 +196,14 @@ def test_a_hot_zone_is_split_in_the_merge_join(spark, make_trips, zones):
 
 def test_revenue_joins_groups_not_trips(stored, zones):
     plan = plan_text(revenue.zone_revenue(stored, zones), "simple")
-    assert plan.index("BroadcastHashJoin") < plan.index("partial_sum(try_cast(total_amount")
+    assert plan.index("BroadcastHashJoin") < plan.index("partial_sum(CASE WHEN (abs(total_amount")
 
 
 @pytest.mark.parametrize("strategy", ["auto", "merge"])
 @pytest.mark.parametrize("table", [flows.borough_flows, flows.airport_routes])
 def test_flows_join_groups_not_trips(stored, zones, table, strategy):
     plan = plan_text(table(flows.flow_groups(stored, zones, strategy=strategy)), "simple")
-    below = plan[plan.index("partial_sum(try_cast(total_amount") :]
+    below = plan[plan.index("partial_sum(CASE WHEN (abs(total_amount") :]
     assert "Join" in plan and len(trip_scans(table(flows.flow_groups(stored, zones, strategy=strategy)))) == 1
     # Indented further than the aggregate of trips: what it reads, up to the next branch of the plan.
     assert "Join" not in below[: below.index("/trips")]
@@ -251,6 +283,19 @@ def test_report(spark, stored, zones, folder):
     assert not stored.is_cached
 
 
+@pytest.mark.parametrize("family", ["demand", "speed", "payments", "od_halves"])
+def test_input_is_counted_in_one_scan(spark, stored, zones, family):
+    found = answer(family, stored, zones)
+    assert list(found.counts)[0] == "trips" and found.counts["trips"].columns == ["input_rows", "filtered_rows"]
+    document = spark.range(1).select(*_fields({"trips": found.counts["trips"]}))
+    document.collect()
+    text = plan_text(document, "simple")
+    assert len(set(re.findall(r"FileScan parquet [^\n]*/trips", text.split("== Initial Plan ==")[0]))) == 1
+    assert text.split("== Initial Plan ==")[0].count("ReusedSubquery") >= 1
+    row = one(document)
+    assert row.input_rows == 6 and row.filtered_rows == found.counts["trips"].first().filtered_rows
+
+
 def test_scaling_report(spark, folder):
     runs = [("A", "cold", 2, 355.798), ("B", "cold", 4, 133.326), ("C", "cold", 8, 100.972), ("A", "warm", 2, 225.216)]
     for config, kind, instances, elapsed in runs:
