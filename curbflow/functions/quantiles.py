@@ -97,16 +97,14 @@ def _reached(cells: DataFrame, keys: list[str]) -> DataFrame:
     return cells.filter(reached).select(*keys, "low", "high", (F.col("rank") - F.col("before")).alias("rank"))
 
 
-# Cells per octave of the first pass over rows, and equal parts of a cell's own range in each later one: after two of them
-# a part is narrower than the distance of neighbouring doubles, so it holds one value.
-SELECT_CELLS_PER_OCTAVE, SELECT_PARTS = 256, 1 << 24
-SELECT_PASSES = 2
+# Equal parts of a cell's own range in each pass after the first: after two of them a part is narrower than the distance of
+# neighbouring doubles, so it holds one value.
+SELECT_PARTS, SELECT_PASSES = 1 << 22, 2
 
 
 def select_cell(value: str) -> Column:
-    """The cell of the first pass: a number that never falls while the value rises.  Infinities have cells of their own."""
-    magnitude = F.floor(F.log2(F.abs(value)) * SELECT_CELLS_PER_OCTAVE).cast("double") + 1100 * SELECT_CELLS_PER_OCTAVE
-    return F.coalesce(F.signum(value) * magnitude, F.lit(0.0))
+    """The cell of the first pass, in which close values meet."""
+    return _cell(value)
 
 
 def selected_quantiles(
@@ -118,7 +116,7 @@ def selected_quantiles(
     and ``high``.  ``totals`` are aggregates of the cells of each key that the result has as well, from the same pass.
     Each further pass reads the rows again and counts equal parts of the ranges that hold a rank.  Counting is combined in
     the tasks: what is shuffled is bounded by the number of cells, whatever the values, and a value held by a third of all rows is
-    one row per task.  The last pass is dropped at run time when the one before has found all ranks (ranges of one value).
+    one row per task.  A pass is dropped at run time when those before have found all ranks (ranges of one value).
 
     NULL and NaN must be filtered out before.  One row per key and quantile is broadcast: keys are columns or hours, not ids.
     """
@@ -128,11 +126,11 @@ def selected_quantiles(
     counted = counted.withColumns({name: total.over(Window.partitionBy(*keys)) for name, total in totals.items()})
     targets = counted.select("*", F.inline(wanted)).withColumn("rank", F.col("p") * F.col("total"))
     kept = [*keys, "quantile", *totals]
-    hits, found = _reached(targets, kept), None
-    for last in [False] * (SELECT_PASSES - 1) + [True]:
-        hits = _narrowed(rows, hits if found is None else hits.filter("low < high"), keys, value, list(totals))
-        done = hits if last else hits.filter("low = high")
-        found = done if found is None else found.unionByName(done)
+    hits = _reached(targets, kept)
+    found = hits.filter("low = high")
+    for left in reversed(range(SELECT_PASSES)):
+        hits = _narrowed(rows, hits.filter("low < high"), keys, value, list(totals))
+        found = found.unionByName(hits.filter("low = high") if left else hits)
     values = [F.min(F.when(F.col("quantile") == name, F.col("high"))).alias(name) for name in probabilities]
     return found.groupBy(*keys).agg(*values, *[F.first(name).alias(name) for name in totals])
 
@@ -141,10 +139,8 @@ def _narrowed(rows: DataFrame, hits: DataFrame, keys: list[str], value: str, tot
     """The part of each hit's range that holds its rank: one scan, one count per part."""
     group = [*keys, "quantile"]
     inside = rows.join(F.broadcast(hits), keys).filter(F.col(value).between(F.col("low"), F.col("high")))
-    width = F.col("high") - F.col("low")
-    # A range of one value, infinities included, is one part.
-    part = F.when(F.col("low") < F.col("high"), F.floor((F.col(value) - F.col("low")) / width * SELECT_PARTS)).otherwise(F.lit(0))
-    inside = inside.withColumn("part", part).withColumn("one", F.lit(1))
+    part = F.floor((F.col(value) - F.col("low")) / (F.col("high") - F.col("low")) * SELECT_PARTS)
+    inside = inside.withColumns({"part": part, "one": F.lit(1)})
     carried = [F.first(name).alias(name) for name in ("rank", *totals)]
     return _reached(_counted(inside, group, "part", value, "one", *carried), [*group, *totals])
 
