@@ -32,14 +32,18 @@ def stored(df: DataFrame, compression: str = "snappy") -> DataFrame:
 
 
 def drop_stored(*frames: DataFrame | None) -> None:
-    """Delete the files of stored frames that nothing reads any more."""
+    """Delete the files of stored frames that nothing reads any more, and the shuffle files of jobs that are done.
+
+    Spark frees shuffle files when the driver's JVM collects the plans they belong to; without asking, that is every half hour.
+    """
+    frames = [frame for frame in frames if frame is not None]
     for frame in frames:
-        if frame is None:
-            continue
         session = frame.sparkSession
         for folder in {name.rpartition("/")[0] for name in frame.inputFiles()}:
             path = session._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(session._jsc.hadoopConfiguration()).delete(path, True)
+    if frames:
+        frames[0].sparkSession._jvm.System.gc()
 
 
 class Shared:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from zlib import crc32
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -12,16 +12,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbflow.llm.buckets import dealt
-from curbflow.llm.common import LOWER, map_slices, stored, texts
+from curbflow.llm.common import LOWER, drop_stored, map_slices, stored, texts
 from curbflow.llm.components import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
-# Chunks end where the hash of the two words around is 0 modulo CHUNK_ODDS, after LEAST_CHUNK words and at MOST_CHUNK at the latest.
-LEAST_CHUNK, CHUNK_ODDS, MOST_CHUNK = 6, 4, 24
-# Words before and after a repeated chunk that are compared with its first occurrence. After it, a whole next chunk is a match of its own; before
-# it, the cuts may differ for longer.
-BEFORE, AFTER = 36, MOST_CHUNK + 1
+# Anchors are sequences of ANCHOR_WORDS words: of every ANCHOR_WINDOW neighbouring ones that with the least hash, so any run of
+# ANCHOR_WORDS + ANCHOR_WINDOW - 1 = PASSAGE_WORDS equal words holds an equal anchor, whatever stands around it.
+ANCHOR_WORDS, ANCHOR_WINDOW = 8, 23
+# Words on each side of a repeated anchor that are compared with its first occurrence; the next anchor is nearer.
+REACH = 32
 # Neighbouring repeated parts make a passage if they have this many words together; paragraphs are compared by shingles from as many on.
 PASSAGE_WORDS = 30
 # Fewer words than this between two of them (a changed sentence) belong to the passage.
@@ -29,6 +29,9 @@ GAP_WORDS = 12
 # Paragraphs of one band bucket that meet in one task at most; larger buckets are dealt out as pairs of blocks.
 BLOCK = 1024
 
+# Odd multipliers, different for each place of a word in a sequence.
+_POWERS = np.cumprod(np.full(max(SHINGLE, ANCHOR_WORDS), 0x9E3779B97F4A7C15, np.uint64))
+
 # A word is a run without white space; letters of scripts without spaces between words (Chinese, Japanese, Thai, Lao, Khmer, Burmese) are one each.
 _WORD = re.compile(
     rb"\xe0[\xb8-\xbb][\x80-\xbf]|\xe1(?:[\x80-\x82]|[\x9e\x9f])[\x80-\xbf]|[\xe3-\xe9][\x80-\xbf]{2}|\xf0[\xa0-\xbf][\x80-\xbf]{2}|"
@@ -36,6 +39,10 @@ _WORD = re.compile(
 )
 
 
+# Lead bytes of blocks that hold such letters (others of these blocks are told apart by _WORD).
+_ONE_EACH = re.compile(rb"[\xe0\xe1\xe3-\xe9\xf0]")
+
+
 def tuned_bands(similarity: float = SIMILARITY, recall: float = 0.998, hashes: int = 48) -> tuple[int, int]:
     """(bands, rows) with the most rows per band that still find a pair of the similarity with the recall, within `hashes`."""
     for rows in range(hashes, 0, -1):
@@ -45,10 +52,18 @@ def tuned_bands(similarity: float = SIMILARITY, recall: float = 0.998, hashes: i
     return hashes, 1
 
 
-def shingle_hashes(words: list[bytes], width: int = SHINGLE) -> np.ndarray:
-    """Distinct 32-bit hashes of the shingles (the whole sequence if it is shorter), in order."""
-    count = max(1, len(words) - width + 1)
-    return np.unique(np.array([xxhash.xxh32_intdigest(b" ".join(words[k : k + width])) for k in range(count)], dtype=np.uint32))
+def hashed(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of the words."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
+def sequence_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
+    """64-bit hashes of all sequences of `width` words in order, of word hashes (the whole if it is shorter)."""
+    width = min(width, len(hashes))
+    mixed = np.zeros(len(hashes) - width + 1, np.uint64)
+    for k in range(width):
+        mixed += hashes[k : len(hashes) - width + 1 + k] * _POWERS[k]
+    return (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xFF51AFD7ED558CCD)
 
 
 def band_hashes(shingles: np.ndarray, bands: int, rows: int, seed: int = 1) -> np.ndarray:
@@ -60,49 +75,70 @@ def band_hashes(shingles: np.ndarray, bands: int, rows: int, seed: int = 1) -> n
     return np.array([xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(least)], dtype=np.uint64)
 
 
-def word_spans(text: bytes) -> list[tuple[int, int]]:
-    """Byte spans of the words."""
-    return [m.span() for m in _WORD.finditer(text)]
+_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+
+
+def word_spans(text: bytes) -> np.ndarray:
+    """Byte spans of the words, one row each."""
+    if _ONE_EACH.search(text):
+        return np.array([m.span() for m in _WORD.finditer(text)], np.int64).reshape(-1, 2)
+    edges = np.flatnonzero(np.diff(_SPACE[np.frombuffer(b" %b " % text, np.uint8)].view(np.int8)))
+    return edges.reshape(-1, 2)
 
 
-def layout(text: bytes, spans: list[tuple[int, int]], least: int = PASSAGE_WORDS) -> list[tuple[int, int]]:
+def split_words(text: bytes, spans: np.ndarray) -> list[bytes]:
+    return [text[a:b] for a, b in spans.tolist()] if _ONE_EACH.search(text) else text.split()
+
+
+def layout(text: bytes, starts: np.ndarray, ends: np.ndarray, least: int = PASSAGE_WORDS) -> list[tuple[int, int]]:
     """Word ranges of the paragraphs with at least `least` words: lines of as many words, and runs of shorter lines without a blank line."""
     out, first, line = [], 0, 0
+    ends_of_lines = np.flatnonzero(np.frombuffer(text, np.uint8) == 10)
+    breaks = np.searchsorted(ends_of_lines, starts[1:]) - np.searchsorted(ends_of_lines, ends[:-1])
+    at = (np.flatnonzero(breaks) + 1).tolist()
 
     def end(a: int, b: int) -> None:
         if b - a >= least:
             out.append((a, b))
 
-    for k in range(1, len(spans) + 1):
-        breaks = text.count(b"\n", spans[k - 1][1], spans[k][0]) if k < len(spans) else 2
-        if not breaks:
-            continue
+    for k, n in zip([*at, len(starts)], [*breaks[breaks > 0].tolist(), 2]):
         if k - line >= least:
             end(first, line)
             end(line, k)
             first = k
-        elif breaks > 1:
+        elif n > 1:
             end(first, k)
             first = k
         line = k
     return out
 
 
-def chunks(words: list[bytes]) -> list[tuple[int, int]]:
-    """Word ranges of content-defined chunks: the same words are cut the same way wherever they stand."""
-    out, start = [], 0
-    for k in range(LEAST_CHUNK, len(words)):
-        size = k - start
-        if size >= MOST_CHUNK or (size >= LEAST_CHUNK and crc32(words[k], crc32(words[k - 1])) % CHUNK_ODDS == 0):
-            out.append((start, k))
-            start = k
-    if len(words) - start >= LEAST_CHUNK:
-        out.append((start, len(words)))
-    return out
+def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words and hashes of the anchors: the same run of words has the same anchors wherever it stands.
+
+    Of equal hashes in a row within one window (a text that repeats itself) the first is enough.
+    """
+    if len(hashes) < ANCHOR_WORDS:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    every = sequence_hashes(hashes, ANCHOR_WORDS)
+    if len(every) <= ANCHOR_WINDOW:
+        at = np.array([every.argmin()])
+    else:
+        least = np.lib.stride_tricks.sliding_window_view(every, ANCHOR_WINDOW).argmin(axis=1)
+        at = np.unique(least + np.arange(len(least)))
+    digests = every[at]
+    if (digests[1:] == digests[:-1]).any():
+        kept, last = [], None
+        for k, place in enumerate(at.tolist()):
+            if last is None or digests[k] != digests[last] or place - at[last] >= ANCHOR_WINDOW:
+                kept.append(k)
+                last = k
+        at, digests = at[kept], digests[kept]
+    return at, digests
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.array([xxhash.xxh32_intdigest(w) for w in words], dtype=np.uint32)
+    return np.fromiter(map(xxhash.xxh32_intdigest, words), np.uint32, len(words))
 
 
 def same_words(own: np.ndarray, other: np.ndarray) -> int:
@@ -115,36 +151,43 @@ def same_words(own: np.ndarray, other: np.ndarray) -> int:
 def paragraphs(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     """doc_id, text_hash, start, end (bytes), digest, bands, shingles of every paragraph that is compared.
 
-    bands and shingles are NULL for chunks, which match as a whole. Words are as in word_spans, A-Z lower-cased.
+    bands and shingles are NULL for anchors, which match as a whole. Words are as in word_spans, A-Z lower-cased.
     """
 
     def run(batch: pa.RecordBatch) -> dict:
-        row, start, end, digest, banded, shingled = [], [], [], [], [], []
+        row, start, end, digest, banded, shingled, anchored = [], [], [], [], [], [], []
         for k, text in enumerate(texts(batch)):
             if not text:
                 continue
             lower = text.translate(LOWER)
             spans = word_spans(lower)
-            words = [lower[a:b] for a, b in spans]
-            for a, b in layout(lower, spans):
-                shingles = shingle_hashes(words[a:b])
-                row.append(k), start.append(spans[a][0]), end.append(spans[b - 1][1])
-                digest.append(xxhash.xxh64_intdigest(b" ".join(words[a:b]), 10))
+            if not len(spans):
+                continue
+            hashes = hashed(split_words(lower, spans))
+            starts, ends = spans[:, 0], spans[:, 1]
+            found = layout(lower, starts, ends)
+            every = (sequence_hashes(hashes, SHINGLE) >> np.uint64(32)).astype(np.uint32) if found else None
+            for a, b in found:
+                shingles = np.unique(every[a : max(a + 1, b - SHINGLE + 1)])
+                row.append(k), start.append(starts[a]), end.append(ends[b - 1])
+                digest.append(xxhash.xxh64_intdigest(hashes[a:b].tobytes(), 10))
                 banded.append(band_hashes(shingles, bands, rows).view(np.int64))
                 shingled.append(shingles.tobytes())
-            for a, b in chunks(words):
-                row.append(k), start.append(spans[a][0]), end.append(spans[b - 1][1])
-                digest.append(xxhash.xxh64_intdigest(b" ".join(words[a:b]), 20))
-                banded.append(None), shingled.append(None)
-        rows_of = pa.array(row, pa.int64())
+            at, digests = anchors(hashes)
+            if len(at):
+                anchored.append((np.full(len(at), k), starts[at], ends[at + ANCHOR_WORDS - 1], digests))
+        empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        more = [np.concatenate(c) for c in zip(empty, *anchored)]
+        rows_of = pa.array(np.concatenate([np.array(row, np.int64), more[0]]))
+        none = [None] * len(more[0])
         return {
             "doc_id": batch.column("doc_id").take(rows_of),
             "text_hash": batch.column("text_hash").take(rows_of),
-            "start": start,
-            "end": end,
-            "digest": np.array(digest, dtype=np.uint64).view(np.int64),
-            "bands": banded,
-            "shingles": shingled,
+            "start": np.concatenate([np.array(start, np.int64), more[1]]),
+            "end": np.concatenate([np.array(end, np.int64), more[2]]),
+            "digest": np.concatenate([np.array(digest, dtype=np.uint64), more[3]]).view(np.int64),
+            "bands": [*banded, *none],
+            "shingles": [*shingled, *none],
         }
 
     kept = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
@@ -213,34 +256,41 @@ def verified(members: list[tuple[int, bytes]], similarity: float) -> list[tuple[
 
 
 def repeated_spans(docs: DataFrame, similarity: float = SIMILARITY, recall: float = 0.998) -> DataFrame:
-    """doc_id, text_hash, spans (byte starts and ends) of the paragraphs and chunks whose first occurrence is in another document.
+    """doc_id, text_hash, spans (byte starts and ends) of the paragraphs and anchors whose first occurrence is in another document.
 
     Parts that are equal, or linked by similar ones, are one class; its first occurrence (smallest doc_id, NULL
-    first, then place) stays, and so does any other in the same document. Chunks have the hashes of the words before (backwards) and after their
+    first, then place) stays, and so does any other in the same document. Anchors have the hashes of the words before (backwards) and after their
     first occurrence in `before` and `after`.
     """
     found = stored(paragraphs(docs, *tuned_bands(similarity, recall)))
-    roots = components(similar_paragraphs(found, similarity))
+    links = stored(similar_paragraphs(found, similarity))
+    roots = components(links)
+    drop_stored(links)
     place = F.struct("doc_id", "text_hash", "start", "end")
-    chunk = F.bool_or(F.col("bands").isNull()).alias("chunk")
-    counted = found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"), chunk)
+    anchor = F.bool_or(F.col("bands").isNull()).alias("anchor")
+    counted = found.groupBy("digest").agg(F.min(place).alias("first"), F.max(F.struct("doc_id", "text_hash")).alias("last"), anchor)
     counted = counted.join(roots, counted["digest"] == roots["node"], "left")
     # Only what occurs twice, or is like something else, goes on: a small part of all paragraphs.
     several = counted.filter("root is not null or first.doc_id <=> last.doc_id = false or first.text_hash <> last.text_hash")
-    several = stored(several.select("digest", F.coalesce("root", "digest").alias("class"), "first", "chunk"))
+    several = stored(several.select("digest", F.coalesce("root", "digest").alias("class"), "first", "anchor"))
+    drop_stored(roots)
     keepers = several.groupBy("class").agg(F.min("first").alias("keeper"))
-    several = several.join(keepers, "class").select("digest", "chunk", F.col("keeper.doc_id").alias("kept_id"), F.col("keeper.text_hash").alias("kept_hash"), "keeper")
-    several = stored(several)
-    around = contexts(docs, several.filter("chunk"))
-    again = found.select("doc_id", "text_hash", "start", "end", "digest").join(several.drop("keeper", "chunk"), "digest")
+    kept = several.join(keepers, "class").select("digest", "anchor", F.col("keeper.doc_id").alias("kept_id"), F.col("keeper.text_hash").alias("kept_hash"), "keeper")
+    kept = stored(kept)
+    drop_stored(several)
+    around = stored(contexts(docs, kept.filter("anchor")))
+    again = found.select("doc_id", "text_hash", "start", "end", "digest").join(kept.drop("keeper", "anchor"), "digest")
     again = again.filter(~(F.col("doc_id").eqNullSafe(F.col("kept_id")) & F.col("text_hash").eqNullSafe(F.col("kept_hash"))))
     again = again.join(around, "digest", "left")
-    return again.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(F.struct("start", "end", "before", "after"))).alias("spans"))
+    spans = again.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(F.struct("start", "end", "before", "after"))).alias("spans"))
+    spans = stored(spans)
+    drop_stored(found, kept, around)
+    return spans
 
 
-def contexts(docs: DataFrame, chunks: DataFrame) -> DataFrame:
-    """digest, before, after: hashes of the words on either side (BEFORE backwards, AFTER) of every chunk's first occurrence."""
-    places = chunks.groupBy(F.col("kept_id").alias("_id"), F.col("kept_hash").alias("_hash")).agg(
+def contexts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """digest, before, after: hashes of the words on either side (REACH of them, those before backwards) of every anchor's first occurrence."""
+    places = chosen.groupBy(F.col("kept_id").alias("_id"), F.col("kept_hash").alias("_hash")).agg(
         F.collect_list(F.struct("digest", "keeper.start", "keeper.end")).alias("places")
     )
     rows = docs.select(F.col("doc_id").cast("long"), "text")
@@ -265,13 +315,13 @@ class Words:
     def __init__(self, text: bytes):
         lower = text.translate(LOWER)
         self.spans = word_spans(lower)
-        self.hashes = word_hashes([lower[a:b] for a, b in self.spans])
-        self.starts = np.array([a for a, _ in self.spans], dtype=np.int64)
+        self.hashes = word_hashes(split_words(lower, self.spans))
+        self.starts = self.spans[:, 0]
 
     def around(self, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the words before (backwards) and after a byte span."""
         a, b = np.searchsorted(self.starts, [start, end]).tolist()
-        return self.hashes[max(0, a - BEFORE) : a][::-1], self.hashes[b : b + AFTER]
+        return self.hashes[max(0, a - REACH) : a][::-1], self.hashes[b : b + REACH]
 
     def extended(self, start: int, end: int, before: bytes, after: bytes) -> tuple[int, int]:
         """The byte span with the words on both sides that equal those of another occurrence."""
@@ -279,7 +329,7 @@ class Words:
         a, b = np.searchsorted(self.starts, [start, end]).tolist()
         left = same_words(own[0], np.frombuffer(before, np.uint32))
         right = same_words(own[1], np.frombuffer(after, np.uint32))
-        return self.spans[a - left][0], self.spans[b + right - 1][1]
+        return int(self.spans[a - left, 0]), int(self.spans[b + right - 1, 1])
 
 
 def passages(text: bytes, spans: list[tuple[int, int]], least: int = PASSAGE_WORDS) -> list[tuple[int, int, int]]:

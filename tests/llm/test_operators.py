@@ -436,7 +436,7 @@ def test_query_equals_its_oracle(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(QUERIES) == sorted([*[n for k in range(1, 11) for n in QUERIES if n.startswith(f"op{k}_")], "pipeline"])
+    assert sorted(QUERIES) == sorted([*[n for k in range(1, 14) for n in QUERIES if n.startswith(f"op{k}_")], "pipeline"])
 
 
 def test_pipeline_stages(spark, real, labels):
