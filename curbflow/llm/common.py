@@ -12,14 +12,17 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Bytes of text that one slice of an Arrow batch holds at most (one row at least).
 SLICE_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset on one machine (tests)."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return folder or tempfile.mkdtemp(prefix="curbflow-")
 
 
@@ -31,19 +34,37 @@ def stored(df: DataFrame, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_stored(*frames: DataFrame | None) -> None:
-    """Delete the files of stored frames that nothing reads any more, and the shuffle files of jobs that are done.
+def stored_parts(df: DataFrame, part: str, count: int) -> list[DataFrame]:
+    """The frame stored in one folder per value 0 ... count - 1 of the column, each a frame that can be deleted by itself."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    df.write.partitionBy(part).parquet(path)
+    schema = df.drop(part).schema
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [f"{path}/{part}={k}" for k in range(count)]
+    there = [store.exists(spark._jvm.org.apache.hadoop.fs.Path(folder)) for folder in folders]
+    return [spark.read.schema(schema).parquet(f) if ok else spark.createDataFrame([], schema) for f, ok in zip(folders, there)]
 
-    Spark frees shuffle files when the driver's JVM collects the plans they belong to; without asking, that is every half hour.
-    """
-    frames = [frame for frame in frames if frame is not None]
+
+def drop_stored(*frames: DataFrame | None) -> None:
+    """Delete the files of stored frames that nothing reads any more."""
     for frame in frames:
+        if frame is None:
+            continue
         session = frame.sparkSession
         for folder in {name.rpartition("/")[0] for name in frame.inputFiles()}:
             path = session._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(session._jsc.hadoopConfiguration()).delete(path, True)
-    if frames:
-        frames[0].sparkSession._jvm.System.gc()
+
+
+def spent(*frames: DataFrame) -> None:
+    """Delete stored frames as `drop_stored` does, and let Spark free the shuffle files of jobs that are done.
+
+    Spark frees them when the driver's JVM collects the plans they belong to; unasked, that may be half an hour later.
+    """
+    drop_stored(*frames)
+    frames[0].sparkSession._jvm.System.gc()
 
 
 class Shared:
@@ -84,7 +105,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             start = end
 
 
-def map_slices(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str, column: str = "text") -> DataFrame:
+def map_slices(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str | StructType, column: str = "text") -> DataFrame:
     """`function` over slices of the frame; it returns lists or arrays by column of the schema."""
     target = df.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbflow.llm.buckets import dealt
-from curbflow.llm.common import LOWER, drop_stored, map_slices, stored, texts
+from curbflow.llm.common import LOWER, drop_stored, map_slices, spent, stored, stored_parts, texts
 from curbflow.llm.components import components
 
 SHINGLE = 5
@@ -149,13 +149,13 @@ def same_words(own: np.ndarray, other: np.ndarray) -> int:
 
 
 def paragraphs(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """doc_id, text_hash, start, end (bytes), digest, bands, shingles of every paragraph that is compared.
+    """doc_id, text_hash, start, end (bytes), digest, anchor of every paragraph that is compared and every anchor.
 
-    bands and shingles are NULL for anchors, which match as a whole. Words are as in word_spans, A-Z lower-cased.
+    Rows with bands and shingles stand for no place but hold those of a digest, once for all of its paragraphs in a batch. Words are as in word_spans, A-Z lower-cased.
     """
 
     def run(batch: pa.RecordBatch) -> dict:
-        row, start, end, digest, banded, shingled, anchored = [], [], [], [], [], [], []
+        row, start, end, digest, banded, anchored = [], [], [], [], {}, []
         for k, text in enumerate(texts(batch)):
             if not text:
                 continue
@@ -168,30 +168,32 @@ def paragraphs(docs: DataFrame, bands: int, rows: int) -> DataFrame:
             found = layout(lower, starts, ends)
             every = (sequence_hashes(hashes, SHINGLE) >> np.uint64(32)).astype(np.uint32) if found else None
             for a, b in found:
-                shingles = np.unique(every[a : max(a + 1, b - SHINGLE + 1)])
-                row.append(k), start.append(starts[a]), end.append(ends[b - 1])
-                digest.append(xxhash.xxh64_intdigest(hashes[a:b].tobytes(), 10))
-                banded.append(band_hashes(shingles, bands, rows).view(np.int64))
-                shingled.append(shingles.tobytes())
+                own = xxhash.xxh64_intdigest(hashes[a:b].tobytes(), 10)
+                row.append(k), start.append(starts[a]), end.append(ends[b - 1]), digest.append(own)
+                if own not in banded:
+                    shingles = np.unique(every[a : max(a + 1, b - SHINGLE + 1)])
+                    banded[own] = band_hashes(shingles, bands, rows).view(np.int64), shingles.tobytes()
             at, digests = anchors(hashes)
             if len(at):
                 anchored.append((np.full(len(at), k), starts[at], ends[at + ANCHOR_WORDS - 1], digests))
         empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
         more = [np.concatenate(c) for c in zip(empty, *anchored)]
-        rows_of = pa.array(np.concatenate([np.array(row, np.int64), more[0]]))
-        none = [None] * len(more[0])
+        places, extra = len(row) + len(more[0]), len(banded)
+        rows_of = pa.array([*row, *more[0].tolist(), *[None] * extra], pa.int64())
+        digests = np.concatenate([np.array([*digest], np.uint64), more[3], np.array([*banded], np.uint64)])
         return {
             "doc_id": batch.column("doc_id").take(rows_of),
             "text_hash": batch.column("text_hash").take(rows_of),
-            "start": np.concatenate([np.array(start, np.int64), more[1]]),
-            "end": np.concatenate([np.array(end, np.int64), more[2]]),
-            "digest": np.concatenate([np.array(digest, dtype=np.uint64), more[3]]).view(np.int64),
-            "bands": [*banded, *none],
-            "shingles": [*shingled, *none],
+            "start": [*start, *more[1].tolist(), *[None] * extra],
+            "end": [*end, *more[2].tolist(), *[None] * extra],
+            "digest": digests.view(np.int64),
+            "anchor": [*[False] * len(row), *[True] * len(more[0]), *[None] * extra],
+            "bands": [*[None] * places, *[b for b, _ in banded.values()]],
+            "shingles": [*[None] * places, *[s for _, s in banded.values()]],
         }
 
     kept = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
-    return map_slices(kept, run, "doc_id long, text_hash long, start int, end int, digest long, bands array<long>, shingles binary")
+    return map_slices(kept, run, "doc_id long, text_hash long, start int, end int, digest long, anchor boolean, bands array<long>, shingles binary")
 
 
 def similar_paragraphs(found: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -262,29 +264,32 @@ def repeated_spans(docs: DataFrame, similarity: float = SIMILARITY, recall: floa
     first, then place) stays, and so does any other in the same document. Anchors have the hashes of the words before (backwards) and after their
     first occurrence in `before` and `after`.
     """
-    found = stored(paragraphs(docs, *tuned_bands(similarity, recall)))
-    links = stored(similar_paragraphs(found, similarity))
+    every = paragraphs(docs, *tuned_bands(similarity, recall)).withColumn("kind", F.col("bands").isNotNull().cast("int"))
+    found, sets = stored_parts(every, "kind", 2)
+    found, sets = found.drop("bands", "shingles"), sets.select("digest", "bands", "shingles")
+    links = stored(similar_paragraphs(sets, similarity))
+    spent(sets)
     roots = components(links)
     drop_stored(links)
     place = F.struct("doc_id", "text_hash", "start", "end")
-    anchor = F.bool_or(F.col("bands").isNull()).alias("anchor")
+    anchor = F.bool_or("anchor").alias("anchor")
     counted = found.groupBy("digest").agg(F.min(place).alias("first"), F.max(F.struct("doc_id", "text_hash")).alias("last"), anchor)
     counted = counted.join(roots, counted["digest"] == roots["node"], "left")
     # Only what occurs twice, or is like something else, goes on: a small part of all paragraphs.
     several = counted.filter("root is not null or first.doc_id <=> last.doc_id = false or first.text_hash <> last.text_hash")
     several = stored(several.select("digest", F.coalesce("root", "digest").alias("class"), "first", "anchor"))
-    drop_stored(roots)
+    spent(roots)
     keepers = several.groupBy("class").agg(F.min("first").alias("keeper"))
     kept = several.join(keepers, "class").select("digest", "anchor", F.col("keeper.doc_id").alias("kept_id"), F.col("keeper.text_hash").alias("kept_hash"), "keeper")
     kept = stored(kept)
-    drop_stored(several)
+    spent(several)
     around = stored(contexts(docs, kept.filter("anchor")))
     again = found.select("doc_id", "text_hash", "start", "end", "digest").join(kept.drop("keeper", "anchor"), "digest")
     again = again.filter(~(F.col("doc_id").eqNullSafe(F.col("kept_id")) & F.col("text_hash").eqNullSafe(F.col("kept_hash"))))
     again = again.join(around, "digest", "left")
     spans = again.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(F.struct("start", "end", "before", "after"))).alias("spans"))
     spans = stored(spans)
-    drop_stored(found, kept, around)
+    spent(found, kept, around)
     return spans
 
 
