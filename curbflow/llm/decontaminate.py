@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbflow.llm.common import Shared, map_slices, stored, texts
+from curbflow.llm.common import Shared, drop_stored, map_slices, stored, texts
 
 # Item words that one automaton holds; more items than that are streamed past the documents in blocks.
 BLOCK_WORDS = 100_000
@@ -218,36 +218,92 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, max_cover
     """docs without the spans that items hold; documents with more than max_coverage of their words in such spans go.
 
     Spans are cut from the text as often as cutting brings new ones together; n_chars, where it is a column, is counted
-    anew for changed texts. All columns, and all rows without a hit, stay as they are (NULL and empty texts too). With several blocks of
-    items the documents pass them one after the other.
+    anew for changed texts. All other columns, and all rows without a hit, stay as they are (NULL and empty texts too). The result does not
+    depend on `block_words`: with several blocks of items the spans of all are merged before a text is judged and cut, and
+    texts that were cut pass all blocks again until none has a hit.
     """
     counted = "n_chars" in docs.columns
-    result = docs
-    for automaton, last in automata(items, window, block_words):
-        shared = Shared(docs.sparkSession, automaton)
+    automaton, only = next(automata(items, window, block_words))
+    if not only:
+        return _in_rounds(docs, items, window, max_coverage, block_words)
+    shared = Shared(docs.sparkSession, automaton)
 
-        def run(batch: pa.RecordBatch) -> dict | None:
-            automaton, keep, changed = shared.value, [], {}
-            for k, text in enumerate(texts(batch)):
-                cut, coverage = without_items(text, automaton)
-                if coverage <= max_coverage:
-                    keep.append(k)
-                    if coverage:
-                        changed[k] = cut.decode()
-            out = {n: batch.column(n).take(pa.array(keep, pa.int64())) for n in batch.schema.names}
-            if changed:
-                plain, new = batch.column("text").to_pylist(), out["text"].to_pylist()
-                new = [changed.get(k, plain[k]) for k in keep]
-                out["text"] = new
-                if counted:
-                    old = batch.column("n_chars").to_pylist()
-                    out["n_chars"] = [len(changed[k]) if k in changed else old[k] for k in keep]
-            return out
-
-        result = map_slices(result, run, _ddl(docs))
-        if not last:
-            result = stored(result)
-    return result
+    def run(batch: pa.RecordBatch) -> dict | None:
+        automaton, keep, changed = shared.value, [], {}
+        for k, text in enumerate(texts(batch)):
+            cut, coverage = without_items(text, automaton)
+            if coverage <= max_coverage:
+                keep.append(k)
+                if coverage:
+                    changed[k] = cut.decode()
+        out = {n: batch.column(n).take(pa.array(keep, pa.int64())) for n in batch.schema.names}
+        if changed:
+            plain, new = batch.column("text").to_pylist(), out["text"].to_pylist()
+            new = [changed.get(k, plain[k]) for k in keep]
+            out["text"] = new
+            if counted:
+                old = batch.column("n_chars").to_pylist()
+                out["n_chars"] = [len(changed[k]) if k in changed else old[k] for k in keep]
+        return out
+
+    return map_slices(docs, run, _ddl(docs))
+
+
+def _in_rounds(docs: DataFrame, items: DataFrame, window: int, max_coverage: float, block_words: int) -> DataFrame:
+    """`decontaminate` for several blocks: spans of all of them, one cut, and again for the texts that were cut."""
+    spans = "array<struct<start: int, end: int>>"
+    pending = docs.select(F.struct("*").alias("row"), "text", F.lit(None).cast(spans).alias("spans"), F.lit(True).alias("new"))
+    # own: the stored table that only the next pass reads.
+    schema, done, own = pending.schema, [], None
+
+    def found(shared: Shared):
+        def run(batch: pa.RecordBatch) -> dict:
+            out = {n: batch.column(n) for n in batch.schema.names}
+            merged_spans = []
+            for text, earlier in zip(texts(batch), batch.column("spans").to_pylist()):
+                own, _, _ = shared.value.scan(item_words(text))
+                merged_spans.append([{"start": a, "end": b} for a, b in merged(own + [(s["start"], s["end"]) for s in earlier or []])])
+            return out | {"spans": merged_spans}
+
+        return run
+
+    def cut(batch: pa.RecordBatch) -> dict:
+        keep, text = [], []
+        for k, (own, places, new) in enumerate(zip(texts(batch), batch.column("spans").to_pylist(), batch.column("new").to_pylist())):
+            inside = [(s["start"], s["end"]) for s in places]
+            if new and inside and sum(b - a for a, b in inside) > max_coverage * len(item_words(own)):
+                continue
+            keep.append(k)
+            text.append(without_spans(own, inside).decode() if inside else batch.column("text")[k].as_py())
+        out = {n: batch.column(n).take(pa.array(keep, pa.int64())) for n in batch.schema.names}
+        return out | {"text": text, "new": [False] * len(keep)}
+
+    while True:
+        for automaton, _ in automata(items, window, block_words):
+            before, pending = own, stored(map_slices(pending, found(Shared(docs.sparkSession, automaton)), schema))
+            drop_stored(before)
+            own = pending
+        after = stored(map_slices(pending, cut, schema))
+        drop_stored(own)
+        own = None
+        done.append(after.filter(F.size("spans") == 0))
+        again = after.filter(F.size("spans") > 0)
+        if again.isEmpty():
+            break
+        pending = own = stored(again.withColumn("spans", F.lit(None).cast(spans)))
+    whole = done[0]
+    for more in done[1:]:
+        whole = whole.unionByName(more)
+    changed = ~F.col("text").eqNullSafe(F.col("row.text"))
+    columns = []
+    for name in docs.columns:
+        own = F.col("row").getField(name)
+        if name == "text":
+            own = F.col("text")
+        elif name == "n_chars":
+            own = F.when(changed, F.length("text").cast(docs.schema[name].dataType)).otherwise(own)
+        columns.append(own.alias(name))
+    return whole.select(*columns)
 
 
 def without_items(text: bytes | None, automaton: Automaton) -> tuple[bytes, float]:
@@ -259,12 +315,17 @@ def without_items(text: bytes | None, automaton: Automaton) -> tuple[bytes, floa
         if not spans:
             return text, coverage
         coverage = coverage or sum(b - a for a, b in spans) / len(words)
-        places = [m.span() for m in _WORD.finditer(text.translate(_FOLD))]
-        parts, at = [], 0
-        for a, b in spans:
-            parts.append(text[at : places[a][0]])
-            at = places[b - 1][1]
-        text = b"".join([*parts, text[at:]])
+        text = without_spans(text, spans)
+
+
+def without_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """The text without the words of the spans."""
+    places = [m.span() for m in _WORD.finditer(text.translate(_FOLD))]
+    parts, at = [], 0
+    for a, b in spans:
+        parts.append(text[at : places[a][0]])
+        at = places[b - 1][1]
+    return b"".join([*parts, text[at:]])
 
 
 def _ddl(df: DataFrame) -> str:

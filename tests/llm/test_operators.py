@@ -133,6 +133,36 @@ def test_decontaminated_texts_hold_no_window(real, items, odd, none):
     assert decontaminate.decontaminate(none, items).isEmpty()
 
 
+@pytest.mark.parametrize("block_words", [100_000, 70, 4])
+def test_decontamination_does_not_depend_on_blocks(spark, block_words):
+    """One block, some, and one for nearly every item: windows of two items together, windows that a cut brings together."""
+    word = lambda k, n: " ".join(f"w{k}x{j}" for j in range(n))
+    items = [(f"i{k}", word(k, 12)) for k in range(18)] + [("short", "alpha beta gamma"), (None, word(50, 11))]
+    rows = [
+        (1, f"{word(0, 12)} {word(90, 16)} {word(1, 12)}", 1, "a"),
+        (2, f"{word(91, 30)} {word(2, 12)} {word(92, 30)}", 2, "b"),
+        (3, f"{word(93, 30)} alpha {word(3, 12)} beta gamma {word(94, 30)}", 3, "c"),
+        (4, word(95, 40), 4, "d"),
+        (5, None, 5, "e"),
+        (6, "", 6, "f"),
+        (7, word(4, 12), 7, "g"),
+        (7, word(4, 12), 7, "g"),
+        (8, f"{word(96, 40)} {word(50, 11)}", 8, "h"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, spans string")
+    found = decontaminate.decontaminate(docs, spark.createDataFrame(items, "item_id string, text string"), block_words=block_words)
+    assert found.schema == docs.schema
+    kept = {r.doc_id: (r.text, r.n_chars, r.spans) for r in found.collect()}
+    assert kept == {
+        2: (f"{word(91, 30)}  {word(92, 30)}", len(f"{word(91, 30)}  {word(92, 30)}"), "b"),
+        3: (f"{word(93, 30)}  {word(94, 30)}", len(f"{word(93, 30)}  {word(94, 30)}"), "c"),
+        4: (word(95, 40), 4, "d"),
+        5: (None, 5, "e"),
+        6: ("", 6, "f"),
+        8: (f"{word(96, 40)} ", len(f"{word(96, 40)} "), "h"),
+    }
+
+
 # 3 URL filters
 
 
@@ -439,6 +469,18 @@ def test_one_query_for_each_operator():
     assert sorted(QUERIES) == sorted([*[n for k in range(1, 14) for n in QUERIES if n.startswith(f"op{k}_")], "pipeline"])
 
 
+def test_stages_keep_columns_of_any_name(spark, real):
+    names = ("_id", "_hash", "_spans", "_rows", "score", "passages", "removed_words", "row", "c0", "spans", "text_hash", "quality", "some name")
+    docs = real
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{k}-"), F.col("doc_id").cast("string")))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = substring_dedup.stored(stage(spark, docs, FOLDER))
+        assert docs.columns == [*real.columns, *names]
+    rows = docs.collect()
+    assert rows and all(r[name] == f"{k}-{r.doc_id}" for r in rows for k, name in enumerate(names))
+
+
 def test_pipeline_stages(spark, real, labels):
     docs, before = real, None
     for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
