@@ -25,8 +25,8 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 
 # Bytes of archive that one task reads, bytes after which a new file begins, and bytes of records in a batch.
 SPLIT_BYTES, FILE_BYTES, BATCH_BYTES = 32 << 20, 1 << 30, 4 << 20
-# Bytes fetched at once, and bytes within which the headers of a record must end.
-PIECE, MOST_HEADER = 1 << 20, 1 << 16
+# Bytes fetched at once, bytes within which the headers of a record must end, and bytes of a member that show how its record begins.
+PIECE, MOST_HEADER, HEAD = 1 << 20, 1 << 16, 1 << 12
 MAGIC, END = b"\x1f\x8b\x08", b"\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -83,7 +83,7 @@ def read_warc(spark: SparkSession, path: str, *, split_bytes: int = SPLIT_BYTES,
     headers.  `digest_holds` tells whether the digest named in the headers is that of the payload (NULL without one).
     Damaged members are skipped up to the next record; without `payload` that column is NULL.
 
-    A candidate found first in a range must be followed by another member or the end of the file: this tells
+    A candidate found first in a range must be followed by another record or the end of the file: this tells
     a record from a copy of one that lies uncompressed inside a payload.  A whole archive that lies uncompressed inside a
     payload can still be taken for records of its own by a range that begins inside it.
     """
@@ -290,12 +290,18 @@ class _Source:
         return None
 
     def starts(self, place: int) -> bool:
-        """Whether a member may start here, or the file ends."""
+        """Whether a member that begins like a record starts here, or the file ends."""
         if place >= self.size:
             return True
-        if place + len(MAGIC) > self.start + len(self.data):
+        if place + HEAD > self.start + len(self.data):
             self.load(place)
-        return bytes(self.at(place)[: len(MAGIC)]) == MAGIC
+        piece = bytes(self.at(place)[:HEAD])
+        try:
+            first = zlib.decompressobj(31).decompress(piece, 5)
+            # A file may end within a member, here one whose gzip header has no optional fields.
+            return first == b"WARC/" or (len(piece) < HEAD and piece[3:4] in (b"", b"\0") and b"WARC/".startswith(first))
+        except zlib.error:
+            return False
 
 
 def records(file, start: int, end: int) -> Iterator[tuple[int, int, bytes]]:
