@@ -32,6 +32,7 @@ def demand_by_hour(trips: DataFrame, window: TripWindow = TripWindow()) -> DataF
     rather than computed for every trip.
     """
     valid = question_trips(trips, "demand", window)
+    # Result columns, in order.
     return _demand(valid, "pickup_date", "pickup_hour").select(
         "pickup_date",
         "pickup_hour",

@@ -110,6 +110,7 @@ def borough_flow_table(groups: DataFrame) -> DataFrame:
             M.amount(_mean_minutes(), "avg_duration_minutes"),
             M.share(M.total_ratio(F.col("airport_trip") * F.col("trips"), "trips"), "airport_trip_share"),
         )
+        # Result columns, in order.
         .select(
             "pu_borough",
             "do_borough",

@@ -61,6 +61,7 @@ def zone_imbalance(
     )
     names = zones.select("location_id", "borough", "zone", "service_zone")
     named = measured.join(dimension(names, strategy), "location_id", "left")
+    # Result columns, in order.
     return C.fill_unknown(named, "borough", "zone", "service_zone").select(
         "hour",
         "location_id",

@@ -55,6 +55,7 @@ def od_period_change(trips: DataFrame, split_day: int = SPLIT_DAY, min_trips: in
     )
 
     grown = F.try_divide((F.col("trips_h2") - F.col("trips_h1")) * 100, "trips_h1")
+    # Result columns, in order.
     return compared.select(
         *KEYS,
         "trips_h1",

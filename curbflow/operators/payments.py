@@ -48,6 +48,7 @@ def payment_mix_by_hour(trips: DataFrame, window: TripWindow = TripWindow()) ->
         M.amount(M.exact_mean("trip_distance"), "avg_trip_distance"),
         M.amount(M.mean_minutes(), "avg_duration_minutes"),
     )
+    # Result columns, in order.
     return mix.select(
         "pickup_hour",
         "payment_type",
@@ -68,6 +69,7 @@ def payment_mix_by_vendor(trips: DataFrame, window: TripWindow = TripWindow()) -
     """Card and cash trips of each vendor."""
     return (
         _mix(trips, window, "vendor_id", "payment_share_in_vendor")
+        # Result columns, in order.
         .select(
             "vendor_id",
             "payment_type",
