@@ -557,6 +557,38 @@ def test_packing_takes_a_million_spaces(spark):
     assert set(pieces["doc_id"]) == {0, 1, 2, 3}
 
 
+def test_final_texts_equal_brute_force(spark):
+    """Passages of 20 to 90 words in documents of unlike words: what an earlier document holds goes, from 30 words on."""
+    random = np.random.default_rng(12)
+    pool = [[f"p{k}w{j}" for j in range(n)] for k, n in enumerate((20, 28, 29, 30, 31, 35, 52, 90))]
+    docs = []
+    for d in range(60):
+        own = []
+        for part in range(int(random.integers(1, 4))):
+            own += [f"d{d}x{part}y{j}" for j in range(int(random.integers(14, 40)))]
+            own += pool[int(random.integers(8))]
+        docs.append([*own, *(f"d{d}z{j}" for j in range(20))])
+    expected = []
+    for d, own in enumerate(docs):
+        cut = set()
+        for earlier in docs[:d]:
+            places = {}
+            for j, w in enumerate(earlier):
+                places.setdefault(w, []).append(j)
+            for i, w in enumerate(own):
+                for j in places.get(w, []):
+                    n = 0
+                    while i + n < len(own) and j + n < len(earlier) and own[i + n] == earlier[j + n]:
+                        n += 1
+                    if n >= 30:
+                        cut |= set(range(i, i + n))
+        expected.append([w for i, w in enumerate(own) if i not in cut])
+    table = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(docs)], "doc_id long, text string")
+    found = {r.doc_id: r.text.split() for r in substring_dedup.substring_dedup(table.repartition(7)).collect()}
+    assert sum(map(len, expected)) < 0.8 * sum(map(len, docs))
+    assert found == dict(enumerate(expected))
+
+
 def _left_over(spark, first, second):
     docs = spark.createDataFrame([(1, first), (2, second)], "doc_id long, text string")
     found = {r["doc_id"]: r for r in substring_dedup.substring_dedup(docs).collect()}
