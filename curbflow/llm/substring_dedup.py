@@ -113,6 +113,15 @@ def layout(text: bytes, starts: np.ndarray, ends: np.ndarray, least: int = PASSA
     return out
 
 
+def _over_windows(values: np.ndarray, larger) -> np.ndarray:
+    """The minimum or maximum of every window of ANCHOR_WINDOW values, by doubling."""
+    width = 1
+    while 2 * width <= ANCHOR_WINDOW:
+        values, width = larger(values[:-width], values[width:]), 2 * width
+    rest = ANCHOR_WINDOW - width
+    return larger(values[:-rest], values[rest:]) if rest else values
+
+
 def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First words and hashes of the anchors: the same run of words has the same anchors wherever it stands.
 
@@ -124,8 +133,10 @@ def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if len(every) <= ANCHOR_WINDOW:
         at = np.array([every.argmin()])
     else:
-        least = np.lib.stride_tricks.sliding_window_view(every, ANCHOR_WINDOW).argmin(axis=1)
-        at = np.unique(least + np.arange(len(least)))
+        least = _over_windows(every, np.minimum)
+        # A sequence is the least of some window if the largest of the least of its windows is its own.
+        edge = np.zeros(ANCHOR_WINDOW - 1, np.uint64)
+        at = np.flatnonzero(_over_windows(np.concatenate([edge, least, edge]), np.maximum) == every)
     digests = every[at]
     if (digests[1:] == digests[:-1]).any():
         kept, last = [], None
@@ -179,17 +190,20 @@ def paragraphs(docs: DataFrame, bands: int, rows: int) -> DataFrame:
         empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
         more = [np.concatenate(c) for c in zip(empty, *anchored)]
         places, extra = len(row) + len(more[0]), len(banded)
-        rows_of = pa.array([*row, *more[0].tolist(), *[None] * extra], pa.int64())
-        digests = np.concatenate([np.array([*digest], np.uint64), more[3], np.array([*banded], np.uint64)])
+        without = np.arange(places + extra) >= places
+        held = np.zeros(extra, np.int64)
+        rows_of = pa.array(np.concatenate([np.array(row, np.int64), more[0], held]), mask=without)
+        digests = np.concatenate([np.array(digest, np.uint64), more[3], np.array([*banded], np.uint64)])
+        none = pa.nulls(places, pa.list_(pa.int64())), pa.nulls(places, pa.binary())
         return {
             "doc_id": batch.column("doc_id").take(rows_of),
             "text_hash": batch.column("text_hash").take(rows_of),
-            "start": [*start, *more[1].tolist(), *[None] * extra],
-            "end": [*end, *more[2].tolist(), *[None] * extra],
+            "start": pa.array(np.concatenate([np.array(start, np.int64), more[1], held]).astype(np.int32), mask=without),
+            "end": pa.array(np.concatenate([np.array(end, np.int64), more[2], held]).astype(np.int32), mask=without),
             "digest": digests.view(np.int64),
-            "anchor": [*[False] * len(row), *[True] * len(more[0]), *[None] * extra],
-            "bands": [*[None] * places, *[b for b, _ in banded.values()]],
-            "shingles": [*[None] * places, *[s for _, s in banded.values()]],
+            "anchor": pa.array(np.arange(places + extra) >= len(row), mask=without),
+            "bands": pa.concat_arrays([none[0], pa.array([b for b, _ in banded.values()], pa.list_(pa.int64()))]),
+            "shingles": pa.concat_arrays([none[1], pa.array([s for _, s in banded.values()], pa.binary())]),
         }
 
     kept = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
@@ -328,25 +342,26 @@ class Words:
         a, b = np.searchsorted(self.starts, [start, end]).tolist()
         return self.hashes[max(0, a - REACH) : a][::-1], self.hashes[b : b + REACH]
 
-    def extended(self, start: int, end: int, before: bytes, after: bytes) -> tuple[int, int]:
-        """The byte span with the words on both sides that equal those of another occurrence."""
-        own = self.around(start, end)
+    def extended(self, start: int, end: int, before: bytes | None, after: bytes | None) -> tuple[int, int]:
+        """The word range of a byte span, with the words on both sides that equal those of another occurrence."""
         a, b = np.searchsorted(self.starts, [start, end]).tolist()
-        left = same_words(own[0], np.frombuffer(before, np.uint32))
-        right = same_words(own[1], np.frombuffer(after, np.uint32))
-        return int(self.spans[a - left, 0]), int(self.spans[b + right - 1, 1])
+        if before is None:
+            return a, b
+        left = same_words(self.hashes[max(0, a - REACH) : a][::-1], np.frombuffer(before, np.uint32))
+        right = same_words(self.hashes[b : b + REACH], np.frombuffer(after, np.uint32))
+        return a - left, b + right
 
 
-def passages(text: bytes, spans: list[tuple[int, int]], least: int = PASSAGE_WORDS) -> list[tuple[int, int, int]]:
-    """(start, end, words) of the runs of repeated paragraphs that have enough words; a short gap between two is part of the run."""
+def passages(ranges: list[tuple[int, int]], least: int = PASSAGE_WORDS) -> list[tuple[int, int]]:
+    """Word ranges of the runs of repeated paragraphs that have enough words; a short gap between two is part of the run."""
     runs: list[list[int]] = []
-    for a, b in spans:
-        if runs and (a <= runs[-1][1] or len(word_spans(text[runs[-1][1] : a])) < GAP_WORDS):
-            runs[-1][2] += len(word_spans(text[max(a, runs[-1][1]) : b]))
+    for a, b in ranges:
+        if runs and a - runs[-1][1] < GAP_WORDS:
+            runs[-1][2] += max(0, b - max(a, runs[-1][1]))
             runs[-1][1] = max(b, runs[-1][1])
         else:
-            runs.append([a, b, len(word_spans(text[a:b]))])
-    return [(a, b, len(word_spans(text[a:b]))) for a, b, repeated in runs if repeated >= least]
+            runs.append([a, b, b - a])
+    return [(a, b) for a, b, repeated in runs if repeated >= least]
 
 
 def substring_dedup(docs: DataFrame, similarity: float = SIMILARITY, least: int = PASSAGE_WORDS, recall: float = 0.998) -> DataFrame:
@@ -371,10 +386,9 @@ def substring_dedup(docs: DataFrame, similarity: float = SIMILARITY, least: int
             if spans:
                 text = batch.column("text")[k].as_py().encode()
                 words = Words(text)
-                wide = [
-                    (s["start"], s["end"]) if s["before"] is None else words.extended(s["start"], s["end"], s["before"], s["after"]) for s in spans
-                ]
-                runs = passages(text, sorted(set(wide)), least)
+                wide = {words.extended(s["start"], s["end"], s["before"], s["after"]) for s in spans}
+                found = passages(sorted(wide), least)
+                runs = [(int(words.spans[a, 0]), int(words.spans[b - 1, 1]), b - a) for a, b in found]
             if runs:
                 changed[k] = without(text, runs)
             cut.append([{"start": len(text[:a].decode()), "end": len(text[:b].decode()), "words": n} for a, b, n in runs])
