@@ -15,8 +15,8 @@ CAPACITY = 2048
 END_ID = 1
 # Remainders are cut down to pieces of capacity / 2, / 4, ... as far as this size; what is left is smaller.
 SMALLEST = 64
-# tiktoken's pattern panics on a run of a million white-space characters; texts with a run of this length don't go there.
-LONG_SPACE = 10_000
+# tiktoken takes a time that grows with the square of a run of white space, and panics on a million; texts with a run of this length go through tokenizers.
+LONG_SPACE = 128
 _OUT = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
 
 
