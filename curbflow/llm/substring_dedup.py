@@ -28,6 +28,8 @@ PASSAGE_WORDS = 30
 GAP_WORDS = 12
 # Paragraphs of one band bucket that meet in one task at most; larger buckets are dealt out as pairs of blocks.
 BLOCK = 1024
+# Shingles whose signature is computed at once.
+CHUNK = 4096
 
 # Odd multipliers, different for each place of a word in a sequence.
 _POWERS = np.cumprod(np.full(max(SHINGLE, ANCHOR_WORDS), 0x9E3779B97F4A7C15, np.uint64))
@@ -66,13 +68,23 @@ def sequence_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     return (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xFF51AFD7ED558CCD)
 
 
-def band_hashes(shingles: np.ndarray, bands: int, rows: int, seed: int = 1) -> np.ndarray:
+def band_mixers(bands: int, rows: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Odd factors and summands of the MinHash functions, the same in every task."""
+    factor, shift = np.random.default_rng(seed).integers(1, 1 << 63, (2, bands * rows), dtype=np.uint64)
+    return factor | np.uint64(1), shift
+
+
+def band_hashes(shingles: np.ndarray, bands: int, rows: int, mixers: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
     """One number per band of the MinHash signature."""
-    random = np.random.default_rng(seed)
-    factor, shift = random.integers(1, 1 << 63, (2, bands * rows), dtype=np.uint64)
-    spread = ((shingles.astype(np.uint64)[:, None] + np.uint64(1)) * (factor[None, :] | np.uint64(1)) + shift[None, :]) >> np.uint64(20)
-    least = spread.min(axis=0).reshape(bands, rows)
-    return np.array([xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(least)], dtype=np.uint64)
+    factor, shift = mixers or band_mixers(bands, rows)
+    least = np.full(bands * rows, np.iinfo(np.uint64).max)
+    for k in range(0, len(shingles), CHUNK):
+        spread = np.multiply.outer(shingles[k : k + CHUNK].astype(np.uint64) + np.uint64(1), factor)
+        spread += shift
+        np.minimum(least, spread.min(axis=0), out=least)
+    # The least of the upper bits are the upper bits of the least.
+    least = (least >> np.uint64(20)).tobytes()
+    return np.array([xxhash.xxh64_intdigest(least[8 * rows * k : 8 * rows * (k + 1)], k) for k in range(bands)], dtype=np.uint64)
 
 
 _SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
@@ -167,6 +179,7 @@ def paragraphs(docs: DataFrame, bands: int, rows: int) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> dict:
         row, start, end, digest, banded, anchored = [], [], [], [], {}, []
+        mixers = band_mixers(bands, rows)
         for k, text in enumerate(texts(batch)):
             if not text:
                 continue
@@ -183,7 +196,7 @@ def paragraphs(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                 row.append(k), start.append(starts[a]), end.append(ends[b - 1]), digest.append(own)
                 if own not in banded:
                     shingles = np.unique(every[a : max(a + 1, b - SHINGLE + 1)])
-                    banded[own] = band_hashes(shingles, bands, rows).view(np.int64), shingles.tobytes()
+                    banded[own] = band_hashes(shingles, bands, rows, mixers).view(np.int64), shingles.tobytes()
             at, digests = anchors(hashes)
             if len(at):
                 anchored.append((np.full(len(at), k), starts[at], ends[at + ANCHOR_WORDS - 1], digests))
