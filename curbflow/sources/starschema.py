@@ -100,7 +100,7 @@ def raw_trips_like(spark: SparkSession, folder: str, *, geo: bool = False) -> Da
         text = F.date_format(name, plain)
         if geo:
             return text
-        return F.when(F.col("pickup_hour") == 5, text).otherwise(F.concat(text, F.lit(".000")))
+        return F.concat(text, F.when(F.col("pickup_hour") == 5, "").otherwise(".000"))
 
     def as_text(name: str, kind: str) -> Column:
         if name == "pickup_ts":

@@ -161,3 +161,17 @@ def test_texts_that_are_not_finite_are_null(spark, folder):
     typed = raw.select(ingest._typed("fare_amount", "fare_amount", "double", ""))
     assert rows_of(typed) == [(None,), (None,), (None,), (1.5,), (None,)]
     assert rows_of(writers.dataset_footprint(spark, f"{folder}/nothing")) == [(f"{folder}/nothing", 0, 0)]
+
+
+def test_odd_numbers_and_times(spark):
+    times = ["2024-01-01T00:00:00", "2024-12-31T23:59:59.999\n", "2023-12-31T23:59:59.999", "2025-01-01T00:00:00", "", None, "x2024-01-01T00:00:00"]
+    numbers = ["-0.0", "Infinity", "1", "1", "-inf", "NaN", "1e400"]
+    raw = spark.createDataFrame([(t, n) for t, n in zip(times, numbers)], "tpep_pickup_datetime string, fare_amount string")
+    raw = raw.withColumns({f: F.lit(None).cast("string") for f in TRIPS_ZONED.raw_schema.fieldNames() if f not in raw.columns})
+    year = ingest_trips(raw, TRIPS_ZONED).orderBy("pickup_ts")
+    assert rows_of(year, "pickup_ts", "fare_amount") == [
+        (dt.datetime(2024, 1, 1), -0.0),
+        (dt.datetime(2024, 12, 31, 23, 59, 59, 999000), None),
+    ]
+    every = ingest_trips(raw, TRIPS_ZONED, year=None)
+    assert every.filter("pickup_ts IS NULL AND fare_amount IS NULL").count() == 3

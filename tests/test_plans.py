@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from curbflow.operators import demand, flows, imbalance, od_change, payments, profile, revenue, speed
 from curbflow.functions.udf import haversine_udf
+from curbflow.plans.catalog import registered
 from curbflow.plans.questions import answer
 from curbflow.plans.report import _fields, run_report, scaling_report
 from curbflow.plans.sql import QUERIES, question_sql, register_views, sql_text
@@ -318,3 +319,22 @@ def test_scaling_report(spark, folder):
 def test_json_documents_keep_nulls(spark, folder):
     writers.write_json_document(spark.range(1).select(F.lit(None).cast("int").alias("a")), f"{folder}/d")
     assert one(spark.read.text(f"{folder}/d")).value == '{"a":null}'
+
+
+@pytest.mark.parametrize("name", ["ingest_trips_zoned", "ingest_trips_geo"])
+@pytest.mark.parametrize("broadcast", ["10485760", "-1"])
+def test_ingest_compiles_and_names_the_time_text_once(spark, name, broadcast):
+    names = "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for n, value in zip(names, ("false", broadcast)):
+            spark.conf.set(n, value)
+        df = registered()[name](spark, "/root/testdata/sf0.001")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", plan_text(df, "codegen"))]
+        (condition,) = re.findall(r"Join condition: [^N].*", plan_text(df, "formatted"))
+    finally:
+        for n, value in zip(names, before):
+            spark.conf.set(n, value)
+    # HotSpot interprets methods of more than 8,000 bytes.
+    assert sizes and max(sizes) <= 8000
+    assert condition.count("date_format(") == 1
