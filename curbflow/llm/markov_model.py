@@ -5,6 +5,7 @@ from __future__ import annotations
 import pickle
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,12 +21,12 @@ from curbflow.llm.common import Shared, lower_words, map_slices, slices, stored,
 HEAD_WORDS = 16384
 TAIL = 1024
 STATES = 8
-# Full passes of Baum-Welch over all training texts, after as many as INITIAL on a sample of SAMPLE_DOCS texts.
-PASSES = 3
-INITIAL = 12
-SAMPLE_DOCS = 1000
+# Passes of Baum-Welch, each over all training texts.
+PASSES = 15
 # Training texts are cut into chains of this many tokens; scoring runs over the whole text.
 CHAIN = 128
+# Chains whose states are held at a time, whatever a text's length.
+GROUP = 2048
 # Rare words that one task of the counting meets, about.
 BUCKET_WORDS = 3_000_000
 _SLICE = 1 << 20
@@ -236,40 +237,36 @@ class Chain:
         order = np.argsort(-lengths, kind="stable")
         lengths, begins = lengths[order], (np.cumsum(lengths) - lengths)[order]
         longest = int(lengths[0]) if number else 0
-        active = [int(np.searchsorted(-lengths, -t, side="left")) for t in range(longest + 1)]
-        forward, seen, scale = [], [], []
+        active = np.searchsorted(-lengths, -np.arange(longest), side="left").tolist()
+        # Rows are in order of the place in the chain: those of place t are edges[t] to edges[t + 1], longest chains first.
+        edges = [0, *np.cumsum(active, dtype=np.int64).tolist()]
+        symbol = ids[np.concatenate([begins[:n] + t for t, n in enumerate(active)])] if number else ids
+        emit, gamma = self.emit[symbol], np.empty((len(symbol), states))
         for t in range(longest):
-            n = active[t]
-            symbol = ids[begins[:n] + t]
-            alpha = (forward[-1][:n] @ self.move if t else np.broadcast_to(self.start, (n, states))) * self.emit[symbol]
-            size = alpha.sum(axis=1, keepdims=True)
-            forward.append(alpha / size)
-            seen.append(symbol)
-            scale.append(size)
-        emitted = np.zeros_like(self.emit)
-        moved = np.zeros_like(self.move)
-        started = np.zeros_like(self.start)
-        all_symbols, all_gamma = [], []
-        beta = np.ones((0, states))
-        for t in range(longest - 1, -1, -1):
-            n, later = active[t], active[t + 1]
-            if later:
-                ahead = beta * self.emit[seen[t + 1]] / scale[t + 1]
-                moved += (forward[t][:later].T @ ahead) * self.move
-                beta = np.concatenate([ahead @ self.move.T, np.ones((n - later, states))])
+            begin, end = edges[t], edges[t + 1]
+            now = gamma[begin:end]
+            if t:
+                np.matmul(gamma[edges[t - 1] : edges[t - 1] + end - begin], self.move, out=now)
             else:
-                beta = np.ones((n, states))
-            gamma = forward[t] * beta
-            gamma /= gamma.sum(axis=1, keepdims=True)
-            all_symbols.append(seen[t])
-            all_gamma.append(gamma)
-            if t == 0:
-                started += gamma.sum(axis=0)
-        if all_symbols:
-            symbol, gamma = np.concatenate(all_symbols), np.concatenate(all_gamma)
-            for k in range(states):
-                emitted[:, k] = np.bincount(symbol, weights=gamma[:, k], minlength=len(emitted))
-        return started, moved, emitted
+                now[:] = self.start
+            now *= emit[begin:end]
+            size = now.sum(axis=1, keepdims=True)
+            now /= size
+            emit[begin:end] /= size
+        moved = np.zeros_like(self.move)
+        for t in range(longest - 1, 0, -1):
+            later = edges[t + 1] - edges[t]
+            before = slice(edges[t - 1], edges[t - 1] + later)
+            # Scaled emissions, times the backward probabilities since the step before.
+            ahead = emit[edges[t] : edges[t + 1]]
+            moved += gamma[before].T @ ahead
+            beta = ahead @ self.move.T
+            gamma[before] *= beta
+            emit[before] *= beta
+        emitted = np.empty_like(self.emit)
+        for k in range(states):
+            emitted[:, k] = np.bincount(symbol, weights=gamma[:, k], minlength=len(emitted))
+        return gamma[: active[0] if active else 0].sum(axis=0), moved * self.move, emitted
 
     def log10_likelihoods(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Exact log10 likelihood of each whole sequence, by the scaled forward recursion."""
@@ -313,20 +310,21 @@ def chains(batch: pa.RecordBatch, cut: int | None) -> tuple[np.ndarray, np.ndarr
     return ids, np.array(sizes, dtype=np.int64)
 
 
+def chain_groups(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The symbols and lengths of the rows' chains, GROUP chains at a time."""
+    ids, lengths = chains(batch, CHAIN)
+    edges = np.concatenate([[0], np.cumsum(lengths)])
+    for k in range(0, len(lengths), GROUP):
+        group = lengths[k : k + GROUP]
+        yield ids[edges[k] : edges[k + len(group)]], group
+
+
 def baum_welch(training: DataFrame, unigram: np.ndarray, states: int = STATES, passes: int = PASSES, seed: int = 5) -> Chain:
-    """The chain after `passes` over all training rows (uid, n_tokens, ids); each adds up the expected counts of all partitions by symbol."""
+    """The chain after `passes` over all training rows (ids) from a random start; each adds up the expected counts of all partitions by symbol."""
     spark, size = training.sparkSession, len(unigram)
     random = np.random.default_rng(seed)
     emitted = unigram[:, None] * random.uniform(0.5, 1.5, (size, states))
     chain = fitted(np.ones(states), np.eye(states) * 10.0 + 1, emitted * 1e4, unigram)
-    # A bounded sample only finds a good start; the counts that make the model come from all rows. Rows come to the driver
-    # by a limit on their hash, so that about SAMPLE_DOCS do, however many tasks there are.
-    share = SAMPLE_DOCS / max(1, training.count())
-    place = (F.xxhash64("uid", "n_tokens") / F.lit(2.0**64)) + 0.5
-    sample = [bytes(r["ids"]) for r in training.filter(place <= share).select("uid", "ids").orderBy("uid").collect()]
-    sample = pa.RecordBatch.from_arrays([pa.array(sample, pa.binary())], names=["ids"])
-    for _ in range(INITIAL):
-        chain = fitted(*chain.counts(*chains(sample, CHAIN)), unigram)
     columns = [f"s{k}" for k in range(states)]
     schema = "symbol int, " + ", ".join(f"{c} double" for c in columns)
     for _ in range(passes):
@@ -335,8 +333,9 @@ def baum_welch(training: DataFrame, unigram: np.ndarray, states: int = STATES, p
         def run(batches):
             total = None
             for part in slices(batches, "ids", _SLICE):
-                found = shared.value.counts(*chains(part, CHAIN))
-                total = found if total is None else tuple(a + b for a, b in zip(total, found))
+                for group in chain_groups(part):
+                    found = shared.value.counts(*group)
+                    total = found if total is None else tuple(a + b for a, b in zip(total, found))
             if total is not None:
                 rows = np.concatenate([total[2], total[1], total[0][None, :]])
                 used = np.flatnonzero(rows.any(axis=1)).astype(np.int32)

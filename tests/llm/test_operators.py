@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 from math import log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -368,6 +369,31 @@ def test_forward_and_counts_equal_enumeration():
         assert found == pytest.approx(wanted)
 
 
+def test_every_pass_learns_from_all_texts(spark, monkeypatch):
+    random = np.random.default_rng(3)
+    ids = [random.integers(0, 30, n).astype("<u2") for n in (1, 300, 40, 129, 7, 128)]
+    rows = [(k, len(own), own.tobytes()) for k, own in enumerate(ids)]
+    training = spark.createDataFrame(rows, "uid long, n_tokens long, ids binary").repartition(3)
+    unigram = np.bincount(np.concatenate(ids), minlength=30) + 1.0
+    unigram /= unigram.sum()
+    chain = markov_model.baum_welch(training, unigram, states=2, passes=0)
+    batch = pa.RecordBatch.from_arrays([pa.array([r[2] for r in rows], pa.binary())], names=["ids"])
+    whole = markov_model.chains(batch, markov_model.CHAIN)
+    for _ in range(2):
+        chain = markov_model.fitted(*chain.counts(*whole), unigram)
+    found = markov_model.baum_welch(training, unigram, states=2, passes=2)
+    for name in ("start", "move", "emit"):
+        assert getattr(found, name) == pytest.approx(getattr(chain, name), rel=1e-9)
+    uniform = markov_model.fitted(np.ones(2), np.eye(2) * 10.0 + 1, unigram[:, None] * np.random.default_rng(5).uniform(0.5, 1.5, (30, 2)) * 1e4, unigram)
+    assert markov_model.baum_welch(training, unigram, states=2, passes=0).emit == pytest.approx(uniform.emit)
+    # Counts of few chains at a time add up to those of all.
+    monkeypatch.setattr(markov_model, "GROUP", 2)
+    parts = [chain.counts(*group) for group in markov_model.chain_groups(batch)]
+    assert len(parts) == 5
+    for part, all_at_once in zip(zip(*parts), chain.counts(*whole)):
+        assert sum(part) == pytest.approx(all_at_once)
+
+
 # 9 quality model
 
 
