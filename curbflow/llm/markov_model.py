@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import pickle
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbflow.llm.common import Shared, lower_words, map_slices, slices, stored, texts
+from curbflow.llm.common import Shared, map_slices, slices, stored
 
 # Words with a symbol of their own at most: the most frequent ones. All others share one of TAIL symbols by their ending,
 # and a word's own frequency decides within the symbol.
@@ -26,10 +27,12 @@ PASSES = 15
 # Training texts are cut into chains of this many tokens; scoring runs over the whole text.
 CHAIN = 128
 # Chains whose states are held at a time, whatever a text's length.
-GROUP = 2048
+GROUP = 4096
+# Steps after which the counts' forward probabilities are scaled: a step shrinks them by the least transition at most, some 1e-10.
+SCALED = 16
 # Rare words that one task of the counting meets, about.
 BUCKET_WORDS = 3_000_000
-_SLICE = 1 << 20
+_SLICE = 4 << 20
 
 
 def head_words(docs: DataFrame, limit: int = HEAD_WORDS) -> list[bytes]:
@@ -41,13 +44,12 @@ def head_words(docs: DataFrame, limit: int = HEAD_WORDS) -> list[bytes]:
     """
 
     def run(batch: pa.RecordBatch) -> dict:
-        counts: Counter = Counter()
-        for text in texts(batch):
-            counts.update(lower_words(text))
-        total = counts.total()
-        words = {w: n for w, n in counts.items() if n > total / (4 * limit)}
+        words, _ = split_words(lowered(batch.column("text")))
+        counted, total = words.value_counts(), len(words)
+        words, counts = counted.field("values"), counted.field("counts").to_numpy()
+        often = counts > total / (4 * limit)
         # Without a word: all tokens of the slice.
-        return {"word": [None, *words], "n": [total, *words.values()]}
+        return {"word": [None, *words.filter(pa.array(often)).to_pylist()], "n": [total, *counts[often].tolist()]}
 
     counted = map_slices(docs.select("text"), run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counted = stored(counted)
@@ -59,26 +61,29 @@ def head_words(docs: DataFrame, limit: int = HEAD_WORDS) -> list[bytes]:
 def symbols(docs: DataFrame, head: list[bytes]) -> DataFrame:
     """uid, doc_id, held_out, n_tokens, ids (little-endian 16-bit symbols), tail (the words without a symbol), n_tail."""
     shared = Shared(docs.sparkSession, head)
-    lookup: dict[bytes, int] = {}
 
     def run(batch: pa.RecordBatch) -> dict:
-        if not lookup:
-            lookup.update({w: k for k, w in enumerate(shared.value)})
-            lookup[b" "] = len(lookup)  # the end
-        end, first = lookup[b" "], lookup[b" "] + 1
-        ids, tails, counts, rare = [], [], [], []
-        for text in texts(batch):
-            words = lower_words(text)
-            coded = [lookup.get(w, -1) for w in words]
-            tail = [w for w, k in zip(words, coded) if k < 0]
-            array = np.array([*coded, end], dtype=np.int64)
-            array[array < 0] = [first + tail_class(w) for w in tail]
-            ids.append(array.astype("<u2").tobytes())
-            tails.append(b" ".join(tail))
-            counts.append(len(array))
-            rare.append(len(tail))
+        known = pa.array(shared.value, pa.binary())
+        end, first = len(known), len(known) + 1
+        words, sizes = split_words(lowered(batch.column("text")))
+        coded = pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy()
+        rare = coded < 0
+        tail = words.filter(pa.array(rare))
+        coded = coded.astype("<u2")
+        coded[rare] = first + tail_classes(tail)
+        # Places of the words, and of an end after each text's.
+        edges = np.concatenate([[0], np.cumsum(sizes + 1)])
+        ids, word = np.full(edges[-1], end, dtype="<u2"), np.ones(edges[-1], dtype=bool)
+        word[edges[1:] - 1] = False
+        ids[word] = coded
+        before = np.concatenate([[0], np.cumsum(rare)])[np.concatenate([[0], np.cumsum(sizes)])]
         out = {n: batch.column(n) for n in ("uid", "doc_id", "held_out")}
-        return out | {"n_tokens": counts, "ids": ids, "tail": tails, "n_tail": rare}
+        return out | {
+            "n_tokens": sizes + 1,
+            "ids": pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer((2 * edges).astype(np.int32)), pa.py_buffer(ids)]),
+            "tail": pc.binary_join(pa.ListArray.from_arrays(pa.array(before, pa.int32()), tail), b" "),
+            "n_tail": np.diff(before),
+        }
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     kept = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "held_out", "text")
@@ -90,6 +95,27 @@ def tail_class(word: bytes) -> int:
     return zlib.crc32(word[-4:]) % TAIL
 
 
+def tail_classes(words: pa.Array) -> np.ndarray:
+    """`tail_class` of every word, worked out once per ending."""
+    endings = pc.binary_slice(words, -4).dictionary_encode()
+    return np.array([tail_class(w) for w in endings.dictionary.to_pylist()], dtype=np.int64)[endings.indices.to_numpy()]
+
+
+def lowered(column: pa.Array) -> pa.Array:
+    """The texts as bytes with A-Z lower-cased."""
+    return pc.ascii_lower(column.cast(pa.binary()).view(pa.string())).view(pa.binary())
+
+
+def split_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The white-space separated words of all rows (bytes) in order, and how many each row has; none for NULL."""
+    split = pc.ascii_split_whitespace(column.view(pa.string()))
+    words, sizes = split.flatten().view(pa.binary()), pc.fill_null(pc.list_value_length(split), 0).to_numpy()
+    # White space at either end, or a text without any word, leaves an empty word.
+    full = pc.greater(pc.binary_length(words), 0)
+    before = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+    return words.filter(full), np.diff(before[np.concatenate([[0], np.cumsum(sizes)])])
+
+
 def _squeezed(data: bytes) -> bytes:
     return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
@@ -117,14 +143,10 @@ def rare_words(coded: DataFrame, buckets: int) -> DataFrame:
     """
 
     def deal(batch: pa.RecordBatch) -> dict | None:
-        words, owner = [], []
-        for k, tail in enumerate(batch.column("tail").to_pylist()):
-            own = tail.split()
-            words += own
-            owner.append(len(own))
-        if not words:
+        words, owner = split_words(batch.column("tail"))
+        if not len(words):
             return None
-        coded_words = pa.array(words, pa.binary()).dictionary_encode()
+        coded_words = words.dictionary_encode()
         unique = coded_words.dictionary.to_pylist()
         bucket = np.array([xxhash.xxh32_intdigest(w) for w in unique], dtype=np.int64) % buckets
         rows = np.repeat(np.arange(batch.num_rows), owner)
@@ -175,7 +197,7 @@ def rare_words(coded: DataFrame, buckets: int) -> DataFrame:
 def counted_block(payloads: list[bytes]) -> pa.RecordBatch:
     """Counts of one bucket's words, as sums by document for each block that came in."""
     blocks = [pickle.loads(_full(p)) for p in payloads]
-    words = pa.concat_arrays([pa.array(b[1].split(), pa.binary()) for b in blocks]).dictionary_encode()
+    words = split_words(pa.array([b[1] for b in blocks], pa.binary()))[0].dictionary_encode()
     code, at, pieces = words.indices.to_numpy(), 0, []
     for block in blocks:
         size = block[1].count(b" ") + 1
@@ -190,8 +212,7 @@ def counted_block(payloads: list[bytes]) -> pa.RecordBatch:
         value = np.bincount(doc, weights=n * np.log10(own + 1))
         known = np.bincount(doc, weights=n * (own > 0)).astype(np.uint32)
         rows.append((part, uids, value.tobytes(), _squeezed(known.tobytes())))
-    classes = Counter(tail_class(w) for w, c in zip(words.dictionary.to_pylist(), total.tolist()) if c > 0)
-    symbol, distinct = np.array(list(classes), dtype=np.int64), np.array(list(classes.values()), dtype=np.int64)
+    symbol, distinct = np.unique(tail_classes(words.dictionary.filter(pa.array(total > 0))), return_counts=True)
     rows.append((None, _packed_ids(symbol), b"", _squeezed(distinct.astype(np.uint32).tobytes())))
     kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["part", "keys", "values", "counts"])
@@ -223,6 +244,20 @@ def tail_sums(found: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "uid long, tail double, tail_known long")
 
 
+class Room:
+    """Arrays by name whose memory the next call of the same name takes again: new memory for each group costs as much as its sums."""
+
+    def __init__(self):
+        self._held: dict[str, np.ndarray] = {}
+
+    def array(self, name: str, *shape: int, kind: type = np.float64) -> np.ndarray:
+        size = int(np.prod(shape))
+        if name not in self._held or len(self._held[name]) < size:
+            # Room for somewhat larger groups; what they don't use is never touched.
+            self._held[name] = np.empty(size + size // 4, kind)
+        return self._held[name][:size].reshape(shape)
+
+
 @dataclass
 class Chain:
     """Start, transition and emission probabilities; emission is by symbol and state."""
@@ -231,42 +266,59 @@ class Chain:
     move: np.ndarray
     emit: np.ndarray
 
-    def counts(self, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    @cached_property
+    def relative(self) -> np.ndarray:
+        """Emissions over the symbol's largest: a factor common to all states changes no expectation, and a step shrinks little."""
+        return self.emit / self.emit.max(axis=1, keepdims=True)
+
+    def counts(self, ids: np.ndarray, lengths: np.ndarray, room: Room | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected starts, transitions and emissions over chains of at most CHAIN symbols (forward-backward, scaled)."""
-        states, number = len(self.start), len(lengths)
+        states, number, room = len(self.start), len(lengths), room or Room()
+        if not number:
+            return np.zeros_like(self.start), np.zeros_like(self.move), np.zeros_like(self.emit)
         order = np.argsort(-lengths, kind="stable")
         lengths, begins = lengths[order], (np.cumsum(lengths) - lengths)[order]
-        longest = int(lengths[0]) if number else 0
-        active = np.searchsorted(-lengths, -np.arange(longest), side="left").tolist()
+        active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
         # Rows are in order of the place in the chain: those of place t are edges[t] to edges[t + 1], longest chains first.
-        edges = [0, *np.cumsum(active, dtype=np.int64).tolist()]
-        symbol = ids[np.concatenate([begins[:n] + t for t, n in enumerate(active)])] if number else ids
-        emit, gamma = self.emit[symbol], np.empty((len(symbol), states))
+        edges = np.concatenate([[0], np.cumsum(active)])
+        last = edges[lengths - 1] + np.arange(number)
+        edges, longest, size = edges.tolist(), len(active), int(edges[-1])
+        place = room.array("place", size, kind=np.intp)
+        for t in range(longest):
+            np.add(begins[: edges[t + 1] - edges[t]], t, out=place[edges[t] : edges[t + 1]])
+        symbol = room.array("symbol", size, kind=np.intp)
+        symbol[:] = ids.take(place)
+        # With a mode other than "raise", take writes to its target without a copy between.
+        emit = self.relative.take(symbol, axis=0, out=room.array("emit", size, states), mode="clip")
+        alpha, gamma, ones = room.array("alpha", size, states), room.array("gamma", states, size), np.ones(states)
+        sizes = {}
         for t in range(longest):
             begin, end = edges[t], edges[t + 1]
-            now = gamma[begin:end]
+            now = alpha[begin:end]
             if t:
-                np.matmul(gamma[edges[t - 1] : edges[t - 1] + end - begin], self.move, out=now)
+                np.matmul(alpha[edges[t - 1] : edges[t - 1] + end - begin], self.move, out=now)
             else:
                 now[:] = self.start
             now *= emit[begin:end]
-            size = now.sum(axis=1, keepdims=True)
-            now /= size
-            emit[begin:end] /= size
-        moved = np.zeros_like(self.move)
+            if t % SCALED == SCALED - 1:
+                sizes[t] = (now @ ones)[:, None]
+                now /= sizes[t]
+        # Over a chain's last sum, so that alpha times beta adds up to 1 at each place.
+        ends, beta = alpha[last], room.array("beta", number, states)
+        beta[:] = 1 / (ends @ ones)[:, None]
+        gamma[:, last] = (ends * beta).T
+        moved, back = np.zeros_like(self.move), np.ascontiguousarray(self.move.T)
         for t in range(longest - 1, 0, -1):
             later = edges[t + 1] - edges[t]
             before = slice(edges[t - 1], edges[t - 1] + later)
-            # Scaled emissions, times the backward probabilities since the step before.
-            ahead = emit[edges[t] : edges[t + 1]]
-            moved += gamma[before].T @ ahead
-            beta = ahead @ self.move.T
-            gamma[before] *= beta
-            emit[before] *= beta
-        emitted = np.empty_like(self.emit)
-        for k in range(states):
-            emitted[:, k] = np.bincount(symbol, weights=gamma[:, k], minlength=len(emitted))
-        return gamma[: active[0] if active else 0].sum(axis=0), moved * self.move, emitted
+            ahead = np.multiply(emit[edges[t] : edges[t + 1]], beta[:later], out=room.array("ahead", later, states))
+            if t in sizes:
+                ahead /= sizes[t]
+            moved += alpha[before].T @ ahead
+            np.matmul(ahead, back, out=beta[:later])
+            np.multiply(alpha[before].T, beta[:later].T, out=gamma[:, before])
+        emitted = [np.bincount(symbol, weights=own, minlength=len(self.emit)) for own in gamma]
+        return gamma[:, :number].sum(axis=1), moved * self.move, np.stack(emitted).T
 
     def log10_likelihoods(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Exact log10 likelihood of each whole sequence, by the scaled forward recursion."""
@@ -274,18 +326,21 @@ class Chain:
         order = np.argsort(-lengths, kind="stable")
         sorted_lengths, begins = lengths[order], (np.cumsum(lengths) - lengths)[order]
         result = np.zeros(number)
-        alpha, n = np.broadcast_to(self.start, (number, len(self.start))), number
-        for t in range(int(sorted_lengths[0]) if number else 0):
-            now = int(np.searchsorted(-sorted_lengths, -t, side="left"))
+        alpha, n, ones = np.broadcast_to(self.start, (number, len(self.start))), number, np.ones(len(self.start))
+        sizes, now = sorted_lengths.tolist(), number
+        for t in range(sizes[0] if number else 0):
+            while sizes[now - 1] <= t:
+                now -= 1
             if now < n:
-                result[now:n] += np.log10(alpha[now:n].sum(axis=1))
+                result[now:n] += np.log10(alpha[now:n] @ ones)
                 alpha, n = alpha[:now], now
-            alpha = (alpha @ self.move if t else alpha) * self.emit[ids[begins[:n] + t]]
+            emit = self.emit.take(ids.take(begins[:n] + t), axis=0)
+            alpha = np.multiply(alpha @ self.move if t else alpha, emit, out=emit)
             if t % 16 == 15:
-                size = alpha.sum(axis=1)
+                size = alpha @ ones
                 result[:n] += np.log10(size)
-                alpha = alpha / size[:, None]
-        result[:n] += np.log10(alpha.sum(axis=1))
+                alpha /= size[:, None]
+        result[:n] += np.log10(alpha @ ones)
         out = np.empty(number)
         out[order] = result
         return out
@@ -302,21 +357,26 @@ def fitted(started: np.ndarray, moved: np.ndarray, emitted: np.ndarray, unigram:
 
 def chains(batch: pa.RecordBatch, cut: int | None) -> tuple[np.ndarray, np.ndarray]:
     """All symbols of the rows, and the lengths of their sequences (cut to chains)."""
-    arrays = [np.frombuffer(x, dtype="<u2") for x in batch.column("ids").to_pylist()]
-    ids = np.concatenate(arrays).astype(np.int64) if arrays else np.zeros(0, np.int64)
-    sizes = [len(a) for a in arrays]
+    rows = batch.column("ids").to_pylist()
+    ids = np.frombuffer(b"".join(rows), dtype="<u2")
+    sizes = np.array([len(x) // 2 for x in rows], dtype=np.int64)
     if cut:
-        sizes = [s for n in sizes for s in [cut] * (n // cut) + ([n % cut] if n % cut else [])]
-    return ids, np.array(sizes, dtype=np.int64)
+        sizes = sizes[sizes > 0]
+        pieces = -(-sizes // cut)
+        rest = sizes - (pieces - 1) * cut
+        sizes = np.full(pieces.sum(), cut)
+        sizes[np.cumsum(pieces) - 1] = rest
+    return ids, sizes
 
 
 def chain_groups(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The symbols and lengths of the rows' chains, GROUP chains at a time."""
+    """The symbols and lengths of the rows' chains, GROUP chains at a time at most, about as many each time."""
     ids, lengths = chains(batch, CHAIN)
     edges = np.concatenate([[0], np.cumsum(lengths)])
-    for k in range(0, len(lengths), GROUP):
-        group = lengths[k : k + GROUP]
-        yield ids[edges[k] : edges[k + len(group)]], group
+    parts = -(-len(lengths) // GROUP)
+    for k in range(parts):
+        begin, end = len(lengths) * k // parts, len(lengths) * (k + 1) // parts
+        yield ids[edges[begin] : edges[end]], lengths[begin:end]
 
 
 def baum_welch(training: DataFrame, unigram: np.ndarray, states: int = STATES, passes: int = PASSES, seed: int = 5) -> Chain:
@@ -331,10 +391,10 @@ def baum_welch(training: DataFrame, unigram: np.ndarray, states: int = STATES, p
         shared = Shared(spark, chain)
 
         def run(batches):
-            total = None
+            total, room = None, Room()
             for part in slices(batches, "ids", _SLICE):
                 for group in chain_groups(part):
-                    found = shared.value.counts(*group)
+                    found = shared.value.counts(*group, room)
                     total = found if total is None else tuple(a + b for a, b in zip(total, found))
             if total is not None:
                 rows = np.concatenate([total[2], total[1], total[0][None, :]])

@@ -2,6 +2,7 @@
 
 import html
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from math import log10
@@ -16,7 +17,7 @@ import corpus_pipeline
 from checks.compare import differences, oracle_connection
 from curbflow.llm import components as graph
 from curbflow.llm import decontaminate, html_extract, language_id, markov_model, packing, quality_model, quality_rules, simhash, substring_dedup, url_filter
-from curbflow.llm.common import held_out
+from curbflow.llm.common import held_out, lower_words
 from curbflow.llm.queries import ORACLES, QUERIES, URL_RULES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -394,6 +395,50 @@ def test_every_pass_learns_from_all_texts(spark, monkeypatch):
         assert sum(part) == pytest.approx(all_at_once)
 
 
+def test_counts_reuse_memory():
+    random = np.random.default_rng(4)
+    chain = markov_model.Chain(random.dirichlet([1] * 8), random.dirichlet([1] * 8, 8), random.dirichlet([1] * 50, 8).T)
+    room, held = markov_model.Room(), []
+    for number in (40, 600, 3, 600, 0, 600):
+        lengths = random.integers(1, markov_model.CHAIN + 1, number)
+        ids = random.integers(0, 50, lengths.sum()).astype("<u2")
+        tracemalloc.start()
+        found = chain.counts(ids, lengths, room)
+        held.append(tracemalloc.get_traced_memory()[1] / max(1, len(ids)))
+        tracemalloc.stop()
+        # The chains one by one, each in memory of its own.
+        edges = np.concatenate([[0], np.cumsum(lengths)])
+        alone = [chain.counts(ids[a:b], np.array([b - a])) for a, b in zip(edges, edges[1:])]
+        for part, wanted in zip(found, [sum(x) for x in zip(*alone)] or [0, 0, 0]):
+            assert part == pytest.approx(wanted)
+        assert found[2].sum() == pytest.approx(len(ids)) and found[1].sum() == pytest.approx(len(ids) - number) and found[0].sum() == pytest.approx(number)
+    # Bytes a token: the states of one array alone take 64.
+    assert held[-1] < 32 < held[1]
+
+
+def test_counts_with_the_least_probabilities():
+    least = 1e-10
+    move = np.full((2, 2), least) + np.eye(2) * (1 - 2 * least)
+    chain = markov_model.Chain(np.array([1 - least, least]), move, np.array([[1e-3, 1e-17], [1e-17, 1e-3], [1e-30, 1e-30]]))
+    ids = np.array([0, 1] * 60 + [2] * 8 + [0, 1, 2] * 42 + [1], dtype="<u2")
+    started, moved, emitted = chain.counts(ids, np.array([128, 127]))
+    assert started.sum() == pytest.approx(2) and moved.sum() == pytest.approx(253) and emitted.sum(axis=1) == pytest.approx(np.bincount(ids))
+
+
+def test_words_in_arrow_are_the_same_words(monkeypatch):
+    texts = [None, "", " \t ", "\n A b\x0bC\x0c\x1c\x85 \xa0x \u00e9 \u00c0Z\u2003q \x00 \x1f", "".join(map(chr, range(300))), "the THE a", "x" * 9 + " " * 9] * 30
+    column = pa.array(["cut off", *texts]).slice(1)
+    words, sizes = markov_model.split_words(markov_model.lowered(column))
+    wanted = [lower_words(t and t.encode()) for t in texts]
+    assert sizes.tolist() == [len(w) for w in wanted]
+    assert words.to_pylist() == [w for own in wanted for w in own]
+    # An ending is worked out once, however often words have it.
+    classes, asked, tail_class = [markov_model.tail_class(w) for w in words.to_pylist()], [], markov_model.tail_class
+    monkeypatch.setattr(markov_model, "tail_class", lambda w: asked.append(w) or tail_class(w))
+    assert markov_model.tail_classes(words).tolist() == classes
+    assert len(asked) == len(set(asked)) < len(words) / 20
+
+
 # 9 quality model
 
 
