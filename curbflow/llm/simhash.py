@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbflow.llm.common import lower_words, map_slices, stored, texts
+from curbflow.llm.common import lower_words, map_slices, spent, stored, texts
 from curbflow.llm.components import components
 
 # Fingerprints of a node pair that one task compares at most; larger pairs descend further down the trie first.
 NODE_LIMIT = 2048
 # Levels by which a node pair that is too large descends at once.
-LEVELS = 6
+LEVELS = 3
+# Pairs within the budget that are held at once.
+PAIRS = 1 << 20
 
 
 def fingerprints(docs: DataFrame, width: int = 3, bits: int = 64, seed: int = 42) -> DataFrame:
@@ -83,31 +87,61 @@ def hamming_links(prints: DataFrame, budget: int = 2, segments: int = 3, total:
     over the budget is pruned. The bits are turned so that each of the segments comes first once: two fingerprints within
     the budget differ in at most budget // segments bits of one segment, so only node pairs within that many errors
     exist below it. Those pairs are the shuffle key; a pair with more than NODE_LIMIT fingerprints is split by
-    descending LEVELS more levels, as often as needed, so no task gets an unbounded group. Within a task the descent goes on
-    on sorted numbers. Each task returns a spanning forest of its links, which keeps every connection without writing all
-    pairs. `total` also limits the differing bits of high and low together.
+    descending LEVELS more levels, as often as needed. Within a task the descent goes on on sorted numbers. Each task returns a spanning forest
+    of its links, which keeps every connection without writing all pairs. `total` also limits the differing bits of high and low together.
+
+    Large node pairs are linked in blocks first, at a cost in proportion to their fingerprints: what is connected then need not meet again. Node pairs
+    in which all is connected, or of which one node is empty, are left out, so a large group of near copies isn't copied along every path.
     """
     distinct = stored(prints.select("high", "low").distinct())
+    nodes = _first_nodes(distinct, budget, segments)
+    key = ["turn", "depth", "node", "mask"]
+    columns = ["turn", "depth", "node", "mask", "block", "bits", "low"]
+    # A pair of two nodes is large only if one of them alone has half as many.
+    large = stored(nodes.filter("mask = 0").groupBy(*key).count().filter(F.col("count") > NODE_LIMIT // 2))
+
+    def linked(nodes: DataFrame) -> DataFrame:
+        grouped = nodes.select(*columns).repartition(*columns[:5]).sortWithinPartitions(*columns[:6])
+        return grouped.mapInArrow(_pair_runner(budget, total), "high long, low long, other_high long, other_low long")
+
+    if large.isEmpty():
+        spent(large)
+        return linked(nodes.withColumn("block", F.lit(0).cast("long")))
+    blocks = F.ceil(2 * F.col("count") / NODE_LIMIT)
+    twice = F.array(F.pmod(F.xxhash64("bits", "low"), blocks), blocks + F.pmod(F.xxhash64("bits", "low", F.lit(1)), blocks))
+    links = stored(linked(nodes.join(large, key).withColumn("block", F.explode(twice))))
+    roots = components(links.select(F.struct("high", "low").alias("a"), F.struct(F.col("other_high").alias("high"), F.col("other_low").alias("low")).alias("b")))
+    roots = roots.select("node.*", F.col("root.high").alias("root_high"), F.col("root.low").alias("root_low"))
+    labels = [F.coalesce("root_high", "high").alias("root_high"), F.coalesce("root_low", "low").alias("root_low")]
+    nodes = _first_nodes(stored(distinct.join(roots, ["high", "low"], "left").select("high", "low", *labels)), budget, segments)
+    spent(large, roots)
+    done = []
+    limited = (F.col("count") > NODE_LIMIT) & (F.col("depth") <= 64 - LEVELS)
+    side = F.expr("shiftrightunsigned(bits, 64 - depth) = node")
+    several = [F.min(c) != F.max(c) for c in ("root_high", "root_low")]
+    while True:
+        groups = nodes.groupBy(*key).agg(F.count(F.lit(1)).alias("count"), (several[0] | several[1]).alias("apart"), (F.min(side) != F.max(side)).alias("both"))
+        groups = stored(groups.filter("apart and (mask = 0 or both)").select(*key, limited.alias("large")))
+        done.append(nodes.join(groups.filter("not large"), key, "left_semi"))
+        large = groups.filter("large")
+        if large.isEmpty():
+            break
+        nodes = stored(_descend(nodes.join(large, key, "left_semi"), F.col("depth"), LEVELS, budget))
+    for more in done[1:]:
+        done[0] = done[0].unionByName(more)
+    return links.unionByName(linked(done[0].withColumn("block", F.lit(0).cast("long"))))
+
+
+def _first_nodes(prints: DataFrame, budget: int, segments: int) -> DataFrame:
+    """turn, depth, node, mask, bits, low, and columns of prints but high: the node pairs of every turn below its first segment."""
     edges = [64 * k // segments for k in range(segments + 1)]
     nodes = None
     for start, end in zip(edges, edges[1:]):
         turned = F.shiftleft("high", start).bitwiseOR(F.shiftrightunsigned("high", 64 - start)) if start else F.col("high")
-        part = distinct.select(F.lit(start).alias("turn"), turned.alias("bits"), "low")
+        part = prints.withColumn("turn", F.lit(start)).withColumn("bits", turned).drop("high")
         part = _descend(part.withColumn("mask", F.lit(0).cast("long")), 0, end - start, budget // segments)
         nodes = part if nodes is None else nodes.unionByName(part)
-    key = ["turn", "depth", "node", "mask"]
-    done = None
-    while True:
-        large = nodes.groupBy(*key).count().filter((F.col("count") > NODE_LIMIT) & (F.col("depth") <= 64 - LEVELS)).drop("count")
-        large = stored(large)
-        if large.isEmpty():
-            break
-        fits = nodes.join(large, key, "left_anti")
-        done = fits if done is None else done.unionByName(fits)
-        nodes = stored(_descend(nodes.join(large, key, "left_semi"), F.col("depth"), LEVELS, budget))
-    nodes = nodes if done is None else done.unionByName(nodes)
-    grouped = nodes.repartition(*key).sortWithinPartitions(*key, "bits")
-    return grouped.mapInArrow(_pair_runner(budget, total), "high long, low long, other_high long, other_low long")
+    return nodes
 
 
 def _descend(nodes: DataFrame, depth, levels: int, budget: int) -> DataFrame:
@@ -119,8 +153,9 @@ def _descend(nodes: DataFrame, depth, levels: int, budget: int) -> DataFrame:
     new_depth = (F.lit(depth) if isinstance(depth, int) else depth) + levels
     prefix = F.expr("shiftrightunsigned(bits, 64 - new_depth)")
     deeper = deeper.withColumn("new_depth", new_depth.cast("int"))
+    labels = [c for c in ("root_high", "root_low") if c in nodes.columns]
     return deeper.select(
-        "turn", F.col("new_depth").alias("depth"), F.least(prefix, prefix.bitwiseXOR(F.col("mask"))).alias("node"), "mask", "bits", "low"
+        "turn", F.col("new_depth").alias("depth"), F.least(prefix, prefix.bitwiseXOR(F.col("mask"))).alias("node"), "mask", "bits", "low", *labels
     )
 
 
@@ -136,12 +171,12 @@ def _pair_runner(budget: int, total: int | None):
     def run(batches):
         rest = None
         for batch in batches:
-            table = {n: batch.column(n).to_numpy() for n in ("turn", "depth", "node", "mask", "bits", "low")}
+            table = {n: batch.column(n).to_numpy() for n in ("turn", "depth", "node", "mask", "block", "bits", "low")}
             if rest is not None:
                 table = {n: np.concatenate([rest[n], v]) for n, v in table.items()}
             change = np.zeros(len(table["node"]), dtype=bool)
             change[1:] = False
-            for n in ("turn", "depth", "node", "mask"):
+            for n in ("turn", "depth", "node", "mask", "block"):
                 change[1:] |= table[n][1:] != table[n][:-1]
             starts = np.concatenate([[0], np.flatnonzero(change)]) if len(change) else np.zeros(1, dtype=np.int64)
             rest = {n: v[starts[-1] :] for n, v in table.items()}
@@ -159,13 +194,14 @@ def _groups(table: dict, starts: np.ndarray, budget: int, total: int | None):
         lo, hi = int(starts[k]), int(starts[k + 1])
         own = {n: v[lo:hi] for n, v in table.items()}
         bits, low = own["bits"].view(np.uint64), own["low"].view(np.uint64)
-        i, j = trie_pairs(bits, int(own["depth"][0]), int(own["mask"][0]), budget)
-        if total is not None and len(i):
-            close = np.bitwise_count(bits[i] ^ bits[j]).astype(int) + np.bitwise_count(low[i] ^ low[j]) <= total
-            i, j = i[close], j[close]
-        if len(i):
-            root = forest(len(bits), i, j)
-            linked = np.flatnonzero(root != np.arange(len(bits)))
+        root = np.arange(len(bits))
+        for i, j in trie_pairs(bits, int(own["depth"][0]), int(own["mask"][0]), budget):
+            if total is not None:
+                close = np.bitwise_count(bits[i] ^ bits[j]).astype(int) + np.bitwise_count(low[i] ^ low[j]) <= total
+                i, j = i[close], j[close]
+            root = forest(root, i, j)
+        linked = np.flatnonzero(root != np.arange(len(bits)))
+        if len(linked):
             turn = np.uint64(own["turn"][0])
             back = ((bits >> turn) | (bits << (np.uint64(64) - turn))) if turn else bits
             found.append((back[linked], low[linked], back[root[linked]], low[root[linked]]))
@@ -174,24 +210,29 @@ def _groups(table: dict, starts: np.ndarray, budget: int, total: int | None):
         yield pa.RecordBatch.from_arrays(arrays, names=["high", "low", "other_high", "other_low"])
 
 
-def trie_pairs(bits: np.ndarray, depth: int, mask: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of positions whose sorted numbers are within the budget and whose top `depth` bits differ by the mask."""
+def trie_pairs(bits: np.ndarray, depth: int, mask: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of positions whose sorted numbers are within the budget and whose top `depth` bits differ by the mask, about PAIRS at a time."""
     top = bits >> np.uint64(64 - depth)
     first = int(np.searchsorted(top, top[0], side="right"))
     stack = [(0, first, 0, first, depth, 0)] if mask == 0 else [(0, first, first, len(bits), depth, mask.bit_count())]
-    left, right = [], []
+    left, right, held = [], [], 0
     while stack:
         a, b, c, d, at, errors = stack.pop()
         if errors > budget or a == b or c == d:
             continue
         if (b - a) * (d - c) <= 4096 or at == 64:
-            for rows in range(a, b, 512):
-                upper = min(b, rows + 512)
+            step = min(512, max(1, PAIRS // (d - c)))
+            for rows in range(a, b, step):
+                upper = min(b, rows + step)
                 near = np.bitwise_count(bits[rows:upper, None] ^ bits[None, c:d]) <= budget
                 i, j = np.nonzero(near)
                 i, j = i + rows, j + c
                 left.append(i[i < j])
                 right.append(j[i < j])
+                held += len(left[-1])
+                if held >= PAIRS:
+                    yield np.concatenate(left), np.concatenate(right)
+                    left, right, held = [], [], 0
             continue
         one = np.uint64(1 << (63 - at))
         m = a + int(np.searchsorted((bits[a:b] & one) != 0, True))
@@ -199,12 +240,13 @@ def trie_pairs(bits: np.ndarray, depth: int, mask: int, budget: int) -> tuple[np
         stack += [(a, m, c, n, at + 1, errors), (m, b, n, d, at + 1, errors), (a, m, n, d, at + 1, errors + 1)]
         if a != c:
             stack.append((m, b, c, n, at + 1, errors + 1))
-    return np.concatenate(left or [np.zeros(0, int)]), np.concatenate(right or [np.zeros(0, int)])
+    if held:
+        yield np.concatenate(left), np.concatenate(right)
 
 
-def forest(count: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest position connected with each position."""
-    label = np.arange(count)
+def forest(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest position connected with each position, of those before (`label`) and more pairs."""
+    i, j = label[i], label[j]
     while True:
         least = np.minimum(label[i], label[j])
         new = label.copy()

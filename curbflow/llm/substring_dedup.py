@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbflow.llm.buckets import dealt
+from curbflow.llm.buckets import compared, dealt
 from curbflow.llm.common import LOWER, drop_stored, map_slices, spent, stored, stored_parts, texts
 from curbflow.llm.components import components
 
@@ -26,7 +26,7 @@ REACH = 32
 PASSAGE_WORDS = 30
 # Fewer words than this between two of them (a changed sentence) belong to the passage.
 GAP_WORDS = 12
-# Paragraphs of one band bucket that meet in one task at most; larger buckets are dealt out as pairs of blocks.
+# Paragraphs of one band bucket that meet in one task at most; larger buckets are dealt out in blocks.
 BLOCK = 1024
 # Shingles whose signature is computed at once.
 CHUNK = 4096
@@ -224,46 +224,27 @@ def paragraphs(docs: DataFrame, bands: int, rows: int) -> DataFrame:
 
 
 def similar_paragraphs(found: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Links (a, b) of digests that connect all paragraphs that share a band and have the similarity, exactly verified.
+    """Links (a, b) of digests, stored, that connect all paragraphs that share a band and have the similarity, exactly verified.
 
-    Copies count once. A bucket with more than BLOCK paragraphs is cut into blocks by digest, and every pair of blocks is
-    one task's work, so every pair of paragraphs still meets. A task returns a spanning forest of its links.
+    Copies count once. A bucket with more than BLOCK paragraphs is cut into blocks; every pair of paragraphs that isn't connected meets.
     """
     own = found.filter("bands is not null")
-    banded = own.groupBy("digest").agg(F.first("bands").alias("bands"))
-    keyed = dealt(banded.select("digest", F.explode("bands").alias("band")), BLOCK)
+    banded = own.groupBy("digest").agg(F.first("bands").alias("bands"), F.first(F.octet_length("shingles")).cast("long").alias("size"))
+    keyed = dealt(banded.select("digest", F.explode("bands").alias("band"), "size"), BLOCK)
     wanted = keyed.select("digest").distinct()
     members = own.join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("shingles").alias("shingles"))
-    joined = keyed.join(members, "digest")
-    grouped = joined.repartition("band", "x", "y").sortWithinPartitions("band", "x", "y", "digest")
-
-    def run(batches):
-        key, members = None, []
-        for batch in batches:
-            links = []
-            columns = [batch.column(c).to_pylist() for c in ("band", "x", "y", "digest", "shingles")]
-            for band, x, y, digest, shingles in zip(*columns):
-                if (band, x, y) != key:
-                    links += verified(members, similarity)
-                    key, members = (band, x, y), []
-                members.append((digest, shingles))
-            yield _links(links)
-        yield _links(verified(members, similarity))
-
-    return grouped.mapInArrow(run, "a long, b long").distinct()
-
-
-def _links(links: list[tuple[int, int]]) -> pa.RecordBatch:
-    a, b = zip(*links) if links else ((), ())
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    links = compared(keyed, members, lambda together: verified(together, similarity))
+    drop_stored(keyed)
+    return links
 
 
-def verified(members: list[tuple[int, bytes]], similarity: float) -> list[tuple[int, int]]:
-    """A spanning forest over the members with at least this Jaccard similarity; connected ones aren't compared again."""
+def verified(members: list[tuple[int, bytes, int]], similarity: float) -> list[tuple[int, int]]:
+    """Links that connect the members (digest, shingles, label) with at least this Jaccard similarity; those of one label, or connected, aren't compared."""
     if len(members) < 2:
         return []
-    sets = [set(np.frombuffer(s, dtype=np.uint32).tolist()) for _, s in members]
-    root = list(range(len(members)))
+    sets = [set(np.frombuffer(s, dtype=np.uint32).tolist()) for _, s, _ in members]
+    first = {}
+    root = [first.setdefault(label, k) for k, (*_, label) in enumerate(members)]
 
     def find(k: int) -> int:
         while root[k] != k:
@@ -294,7 +275,7 @@ def repeated_spans(docs: DataFrame, similarity: float = SIMILARITY, recall: floa
     every = paragraphs(docs, *tuned_bands(similarity, recall)).withColumn("kind", F.col("bands").isNotNull().cast("int"))
     found, sets = stored_parts(every, "kind", 2)
     found, sets = found.drop("bands", "shingles"), sets.select("digest", "bands", "shingles")
-    links = stored(similar_paragraphs(sets, similarity))
+    links = similar_paragraphs(sets, similarity)
     spent(sets)
     roots = components(links)
     drop_stored(links)

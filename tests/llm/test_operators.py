@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from checks.compare import differences, oracle_connection
 from curbflow.llm import components as graph
-from curbflow.llm import decontaminate, html_extract, language_id, markov_model, packing, quality_model, quality_rules, simhash, substring_dedup, url_filter
+from curbflow.llm import buckets, decontaminate, html_extract, language_id, markov_model, near_dedup, packing, quality_model, quality_rules, simhash, substring_dedup, url_filter
 from curbflow.llm.common import held_out, lower_words
 from curbflow.llm.queries import ORACLES, QUERIES, URL_RULES
 
@@ -284,6 +284,38 @@ def test_trie_join_splits_large_nodes(spark, monkeypatch):
         assert groups(roots) == groups(expected)
 
 
+def test_trie_join_does_not_copy_a_large_group_along_every_path(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "NODE_LIMIT", 64)
+    rows, whole = [], simhash.stored
+    monkeypatch.setattr(simhash, "stored", lambda df: (lambda out: rows.append(out.count()) or out)(whole(df)))
+    random = np.random.default_rng(5)
+    base = [int(b) for b in random.integers(0, 1 << 62, 2, dtype=np.uint64)]
+    base.append(base[0] ^ sum(1 << int(x) for x in random.choice(62, 16, replace=False)))
+    near = lambda b, most: b ^ sum(1 << int(x) for x in random.choice(62, int(random.integers(0, most)), replace=False))
+    values = sorted({near(b, 6) for b in base for _ in range(400)} | {near(base[0], 15) for _ in range(100)})
+    prints = spark.createDataFrame([(k, v, 0) for k, v in enumerate(values)], "doc_id long, high long, low long")
+    links = simhash.hamming_links(prints, 9, 5)
+    roots = {r["node"]: r["root"] for r in graph.components(links, "high", "other_high").collect()}
+    expected = brute_classes({v: v for v in values}, 9)
+    groups = lambda m: sorted(sorted(x) for x in _grouped(m).values() if len(x) > 1)
+    assert groups(roots) == groups(expected)
+    assert max(rows) <= 300 * len(values)
+
+
+def test_trie_pairs_come_in_bounded_numbers(monkeypatch):
+    monkeypatch.setattr(simhash, "PAIRS", 1000)
+    bits = np.sort(np.random.default_rng(6).integers(0, 1 << 10, 300, dtype=np.uint64))
+    found = list(simhash.trie_pairs(bits, 12, 0, 3))
+    assert len(found) > 5 and max(len(i) for i, _ in found) <= 4096 + 1000
+    pairs = [(int(a), int(b)) for i, j in found for a, b in zip(i, j)]
+    near = {(a, b) for a in range(300) for b in range(a + 1, 300) if (int(bits[a]) ^ int(bits[b])).bit_count() <= 3}
+    assert set(pairs) == near and len(pairs) == len(near)
+    root = np.arange(300)
+    for i, j in found:
+        root = simhash.forest(root, i, j)
+    assert (root == simhash.forest(np.arange(300), *np.array(sorted(near)).T)).all()
+
+
 def _grouped(labels):
     out = defaultdict(list)
     for k, v in labels.items():
@@ -603,6 +635,35 @@ def test_near_dedup_decides_by_the_texts(spark):
     assert set(apart) <= ids and {k for k, _ in rows if k % 2 == 0} <= ids
 
 
+@pytest.mark.parametrize("block, block_bytes", [(16, 64 << 20), (1024, 16 * 8 * 100)])
+def test_a_large_group_of_near_copies_meets_in_proportion_to_its_size(spark, monkeypatch, block, block_bytes):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(buckets, "BLOCK_BYTES", block_bytes, raising=False)
+    met, compare = spark.sparkContext.accumulator(0), near_dedup.linked
+    monkeypatch.setattr(near_dedup, "linked", lambda members, similarity: met.add(len(members)) or compare(members, similarity))
+    random = np.random.default_rng(7)
+
+    def edited(text, changes):
+        own = list(text)
+        for at in random.choice(len(own), changes, replace=False):
+            own[at] = f"z{int(random.integers(0, 1 << 30))}"
+        return own
+
+    base = _prose(21, 100).split()
+    # A large group, a smaller one that shares words but is no near copy of it, and texts that are near copies of neither.
+    bases = [base] * 360 + [edited(base, 6)] * 40
+    texts = [edited(b, int(random.integers(0, 3))) for b in bases] + [edited(base, 7) for _ in range(12)]
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    found = {r["doc_id"]: r["root"] for r in near_dedup.verified_classes(docs, **corpus_pipeline.NEAR).collect()}
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    close = [(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    roots = simhash.forest(np.arange(len(texts)), *np.array(close).T)
+    groups = lambda m: sorted(sorted(x) for x in _grouped(m).values())
+    assert groups(found) == groups(dict(enumerate(roots.tolist())))
+    assert len(set(roots.tolist())) > 2
+    assert met.value <= 13 * 6 * len(texts)
+
+
 def test_near_dedup_keeps_one_row_of_each_group(spark):
     left, right, similarity = _edited(7, 300, 3)
     assert similarity >= 0.8
