@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbflow.llm.common import spent, stored
+from curbflow.llm.common import freed, spent, stored
 from curbflow.llm.components import components
 
 # Bytes of shingles of one bucket that meet in one task at most; larger buckets are cut into blocks.
@@ -22,6 +22,7 @@ def dealt(keyed: DataFrame, block: int) -> DataFrame:
     into so many blocks; two of them are one task's work.
     """
     pairs = keyed = stored(keyed)
+    freed(pairs)
     mixed = F.xxhash64("digest")
     sets = keyed.groupBy("band").agg(
         F.count(F.lit(1)).alias("count"), F.sum("size").alias("bytes"), F.bit_xor(mixed).alias("xor"), F.bit_xor(F.xxhash64(mixed, "digest")).alias("other")
@@ -30,8 +31,10 @@ def dealt(keyed: DataFrame, block: int) -> DataFrame:
     shared = sets.filter("count > 1").groupBy("count", "xor", "other").agg(F.min(least).alias("least")).select("count", "least.*")
     blocks = F.least("count", F.greatest(F.ceil(2 * F.col("count") / block), F.ceil(2 * F.col("bytes") / BLOCK_BYTES))).cast("int")
     blocks = F.when((F.col("count") > block) | (F.col("bytes") > BLOCK_BYTES), blocks).otherwise(1)
-    met = stored(keyed.join(shared.select("band", blocks.alias("blocks")), "band").select("band", "digest", "blocks"))
-    spent(pairs)
+    shared = stored(shared.select("band", blocks.alias("blocks")))
+    freed(shared)
+    met = stored(keyed.join(shared, "band").select("band", "digest", "blocks"))
+    spent(pairs, shared)
     return met
 
 

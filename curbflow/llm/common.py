@@ -64,7 +64,12 @@ def spent(*frames: DataFrame) -> None:
     Spark frees them when the driver's JVM collects the plans they belong to; unasked, that may be half an hour later.
     """
     drop_stored(*frames)
-    frames[0].sparkSession._jvm.System.gc()
+    freed(frames[0])
+
+
+def freed(frame: DataFrame) -> None:
+    """Let Spark free the shuffle files of jobs that are done; the frame only names the session."""
+    frame.sparkSession._jvm.System.gc()
 
 
 class Shared:

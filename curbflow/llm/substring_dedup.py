@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbflow.llm.buckets import compared, dealt
-from curbflow.llm.common import LOWER, drop_stored, map_slices, spent, stored, stored_parts, texts
+from curbflow.llm.common import LOWER, drop_stored, freed, map_slices, spent, stored, stored_parts, texts
 from curbflow.llm.components import components
 
 SHINGLE = 5
@@ -292,6 +292,7 @@ def repeated_spans(docs: DataFrame, similarity: float = SIMILARITY, recall: floa
     kept = stored(kept)
     spent(several)
     around = stored(contexts(docs, kept.filter("anchor")))
+    freed(around)
     again = found.select("doc_id", "text_hash", "start", "end", "digest").join(kept.drop("keeper", "anchor"), "digest")
     again = again.filter(~(F.col("doc_id").eqNullSafe(F.col("kept_id")) & F.col("text_hash").eqNullSafe(F.col("kept_hash"))))
     again = again.join(around, "digest", "left")
