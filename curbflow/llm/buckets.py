@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbflow.llm.common import freed, spent, stored
+from curbflow.llm.common import drop_stored, spent, stored
 from curbflow.llm.components import components
 
 # Bytes of shingles of one bucket that meet in one task at most; larger buckets are cut into blocks.
@@ -16,13 +16,31 @@ BLOCK_BYTES = 64 << 20
 
 
 def dealt(keyed: DataFrame, block: int) -> DataFrame:
+    """(band, x, y, digest): the members of every bucket with two or more of them, from distinct rows (digest, band).
+
+    Of buckets with the same members one is kept. A bucket with more than `block` members is cut into blocks by digest, and
+    every pair (x, y) of blocks is one task's work, so every pair of members still meets.
+    """
+    pairs = keyed = stored(keyed)
+    mixed = F.xxhash64("digest")
+    sets = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("count"), F.bit_xor(mixed).alias("xor"), F.bit_xor(F.xxhash64(mixed, "digest")).alias("other"))
+    shared = stored(sets.filter("count > 1").groupBy("count", "xor", "other").agg(F.min("band").alias("band")))
+    blocks = F.when(F.col("count") > block, F.ceil(2 * F.col("count") / block).cast("int")).otherwise(1)
+    keyed = keyed.join(shared.select("band", blocks.alias("blocks")), "band")
+    keyed = keyed.withColumn("own", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    met = stored(keyed.withColumn("other", other).select("band", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "digest"))
+    drop_stored(pairs, shared)
+    return met
+
+
+def shared_buckets(keyed: DataFrame, block: int) -> DataFrame:
     """(band, digest, blocks), stored: the members of every bucket with two or more of them, from distinct rows (digest, band, size in bytes).
 
     Of buckets with the same members one is kept. A bucket with more than `block` members, or more than BLOCK_BYTES of them, is to be cut
     into so many blocks; two of them are one task's work.
     """
     pairs = keyed = stored(keyed)
-    freed(pairs)
     mixed = F.xxhash64("digest")
     sets = keyed.groupBy("band").agg(
         F.count(F.lit(1)).alias("count"), F.sum("size").alias("bytes"), F.bit_xor(mixed).alias("xor"), F.bit_xor(F.xxhash64(mixed, "digest")).alias("other")
@@ -31,15 +49,13 @@ def dealt(keyed: DataFrame, block: int) -> DataFrame:
     shared = sets.filter("count > 1").groupBy("count", "xor", "other").agg(F.min(least).alias("least")).select("count", "least.*")
     blocks = F.least("count", F.greatest(F.ceil(2 * F.col("count") / block), F.ceil(2 * F.col("bytes") / BLOCK_BYTES))).cast("int")
     blocks = F.when((F.col("count") > block) | (F.col("bytes") > BLOCK_BYTES), blocks).otherwise(1)
-    shared = stored(shared.select("band", blocks.alias("blocks")))
-    freed(shared)
-    met = stored(keyed.join(shared, "band").select("band", "digest", "blocks"))
-    spent(pairs, shared)
+    met = stored(keyed.join(shared.select("band", blocks.alias("blocks")), "band").select("band", "digest", "blocks"))
+    spent(pairs)
     return met
 
 
 def compared(met: DataFrame, members: DataFrame, verify: Callable[[list[tuple[int, bytes, int]]], list[tuple[int, int]]]) -> DataFrame:
-    """Links (a, b) of digests, stored, that connect all similar members (digest, shingles) of a bucket of `dealt`.
+    """Links (a, b) of digests, stored, that connect all similar members (digest, shingles) of a bucket of `shared_buckets`.
 
     `verify` gets members (digest, shingles, label) and returns links that connect the similar ones whose labels differ. A bucket of one block
     is one task's work. Others are dealt out by two hashes, each member to two blocks, which connects a large group of copies at a cost in
